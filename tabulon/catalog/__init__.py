@@ -1,7 +1,7 @@
 """Registered queries (one per operator of the survey inventory) and DuckDB oracles."""
 
 from tabulon.catalog.registry import ORACLES, QUERIES
-from tabulon.catalog import tour, profiling  # noqa: F401  (registration side effects)
+from tabulon.catalog import tour, profiling, features  # noqa: F401  (registration side effects)
 
 
 def queries():

@@ -25,3 +25,13 @@ def query(name: str, oracle: str | None = None):
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
+
+
+def sround(expr: str, d: int) -> str:
+    """DuckDB text reproducing Spark's ``round(x, d)`` on doubles.
+
+    Spark rounds HALF_UP the shortest decimal text of the double (2.675 -> 2.68);
+    DuckDB rounds the binary value (2.675 -> 2.67). Going through that text and an
+    exact decimal gives Spark's result.
+    """
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,18)), {d}) as double)"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from tabulon.catalog.registry import query, t
+from tabulon.catalog.registry import query, sround, t
 from tabulon.functions.scalar import net_amount, null_when, threshold_flag
 from tabulon.operators import columns as C
 from tabulon.operators.dedup import dedup_by_key, distinct_rows
@@ -22,11 +22,7 @@ from tabulon.sources.inline import inline_table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
-# DuckDB text that reproduces Spark's round(x, d) on doubles: Spark rounds HALF_UP
-# the decimal text of the double; DuckDB rounds the binary value.
-def _sround(expr: str, d: int) -> str:
-    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,18)), {d}) as double)"
-
+_sround = sround
 
 NET = "l_extendedprice*(1-l_discount)*(1+l_tax)"
 

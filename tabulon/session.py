@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app: str = "tabulon",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     )
     spark = builder.getOrCreate()
