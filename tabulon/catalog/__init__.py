@@ -1,7 +1,8 @@
 """Registered queries (one per operator of the survey inventory) and DuckDB oracles."""
 
 from tabulon.catalog.registry import ORACLES, QUERIES
-from tabulon.catalog import tour, profiling, features  # noqa: F401  (registration side effects)
+from tabulon.catalog import tour, profiling, features, modeling  # noqa: F401
+from tabulon.catalog.modeling import flagship  # noqa: F401  (registration side effects)
 
 
 def queries():
@@ -11,11 +12,3 @@ def queries():
 def oracle_sql():
     return dict(ORACLES)
 
-
-def flagship(spark, sf_dir):
-    from pyspark.sql import functions as F
-    df = QUERIES["claim_status"](spark, sf_dir)
-    return df.groupBy("Claim_Status").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("Expected_Expenses"), 2).alias("avg_expected"),
-        F.round(F.avg("Actual_Expenses"), 2).alias("avg_actual"))
