@@ -24,7 +24,7 @@ from tabulon.operators import tuning as TU
 from tabulon.operators.ordering import top_k
 from tabulon.operators.score import score_claims, score_fraud
 from tabulon.operators.split import hash_split, with_folds
-from tabulon.session import shared_path
+from tabulon.session import cut_lineage, ensure_parallelism, shared_path
 from tabulon.sources.models import load_model, save_model
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -112,6 +112,7 @@ def q_rf_classify(spark, sf):
     train, test = claims_split(spark, sf)
     model = classification_model(train)
     pred = model.transform(with_label(test)).withColumn("p1", MD.positive_probability())
+    pred = cut_lineage(pred.select("label", "p1", "prediction"))  # scored once, read twice
     auc = M.auc(pred, "label", "p1").select("auc").scalar()
     return pred.agg(
         F.count(F.lit(1)).alias("n_scored"),
@@ -138,7 +139,7 @@ def q_model_roundtrip(spark, sf):
 def q_pipeline_extend(spark, sf):
     """Fit the feature recipe, then append a forest to the fitted stages and fit again."""
     train, test = claims_split(spark, sf)
-    train = with_label(train)
+    train = ensure_parallelism(with_label(train))
     recipe = FE.feature_recipe(CLS_CAT, CLS_NUM).fit(train)
     model = MD.extend_fitted(recipe, MD.forest_classifier(numTrees=10), train)
     pred = model.transform(with_label(test))
@@ -175,6 +176,7 @@ def _prepared_train(spark, sf, k=3):
     """Training side with features fitted once and a hash fold column; cached for the trials."""
     train, _ = claims_split(spark, sf)
     train = with_label(train)
+    train = ensure_parallelism(train)
     recipe = FE.feature_recipe(CLS_CAT, CLS_NUM).fit(train)
     data = with_folds(recipe.transform(train).select("label", "features", *LINE_KEY), LINE_KEY, k)
     return data.select("label", "features", "fold").cache()

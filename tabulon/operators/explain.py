@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.models import positive_probability
+from tabulon.session import ensure_parallelism
 
 
 def background_sample(df: DataFrame, features: Sequence[str], size: int, seed: int = 17) -> DataFrame:
@@ -61,7 +62,7 @@ def shapley_contributions(model: PipelineModel, rows: DataFrame, id_col: str, fe
         raise ValueError("empty background sample")
     bg = F.broadcast(background.select("bg_idx", *[F.col(f"`{c}`").alias(f"bg__{c}") for c in features]))
 
-    base = rows.select(F.col(id_col).alias("__id"), *features).withColumn(
+    base = ensure_parallelism(rows).select(F.col(id_col).alias("__id"), *features).withColumn(
         "__j", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
     base = base.withColumn("bg_idx", F.pmod(F.xxhash64("__id", "__j", F.lit(seed)), F.lit(n_bg)).cast("int"))
     # permutation of feature indices: sort (hash, index) pairs, keep the indices

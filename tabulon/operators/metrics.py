@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.session import cut_lineage
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -29,6 +31,10 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
     g = (df.select(y.alias("y"), _c(score).cast("double").alias("p"))
            .groupBy("p").agg(F.count_if(F.col("y") == 1).alias("np"),
                              F.count_if(F.col("y") == 0).alias("nn")))
+    # Both passes below (quantiles, then the sums) read the grouped scores; a
+    # reliable checkpoint in the shared folder computes them once (scoring a model
+    # twice is the expensive part) and survives the loss of an executor.
+    g = cut_lineage(g)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted({q for q in g.approxQuantile("p", probs, 1.0 / (4 * buckets)) if q == q})
     splits = [float("-inf")] + cuts + [float("inf")]

@@ -18,6 +18,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.session import ensure_parallelism
+
 # The reference's MLlib forest settings.
 REFERENCE_REGRESSOR = dict(numTrees=754, maxDepth=5, minInstancesPerNode=15, minInfoGain=5.0, seed=1)
 REFERENCE_CLASSIFIER = dict(numTrees=136, maxDepth=5, minInstancesPerNode=3, minInfoGain=0.0,
@@ -53,12 +55,12 @@ def leaderboard_models(label: str = "label", features: str = "features", seed: i
 
 def fit_with_recipe(recipe: Pipeline, estimator: Estimator, train: DataFrame) -> PipelineModel:
     """Recipe and model fitted together on the training side only (no leakage)."""
-    return Pipeline(stages=list(recipe.getStages()) + [estimator]).fit(train)
+    return Pipeline(stages=list(recipe.getStages()) + [estimator]).fit(ensure_parallelism(train))
 
 
 def extend_fitted(fitted: PipelineModel, estimator: Estimator, train: DataFrame) -> PipelineModel:
     """Append a model to an already fitted pipeline; fitted stages pass through unchanged."""
-    return Pipeline(stages=list(fitted.stages) + [estimator]).fit(train)
+    return Pipeline(stages=list(fitted.stages) + [estimator]).fit(ensure_parallelism(train))
 
 
 def positive_probability(col: str | Column = "probability") -> Column:

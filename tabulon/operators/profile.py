@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from tabulon.functions.scalar import is_missing
 from tabulon.operators.columns import NUMERIC_TYPES, split_by_type
+from tabulon.session import ensure_parallelism
 
 
 def _inline(df_one_row: DataFrame, structs: list[Column]) -> DataFrame:
@@ -82,7 +83,7 @@ def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
             (null_s if num else F.min(x).cast("string")).alias("min_str"),
             (null_s if num else F.max(x).cast("string")).alias("max_str"),
         ))
-    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    return ensure_parallelism(df).agg(F.array(*structs).alias("s")).select(F.inline("s"))
 
 
 # -------------------------------------------------------------------- missing/distinct
@@ -124,14 +125,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram: (bin, lo, hi, n), empty bins included.
 
-    Edges come from min/max scalar subqueries; the maximum lands in the last bin.
+    Edges come from one min/max pass (a single row to the driver); the maximum
+    lands in the last bin.
     The count is a ``groupBy(bin)`` with map-side partial counts.
     """
     base = _numeric_non_missing(df, col)
-    stats = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
-    width = F.when(hi > lo, (hi - lo) / bins).otherwise(F.lit(1.0))
+    st = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
+    if st["lo"] is None:
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
+    lo = F.lit(st["lo"])
+    width = F.lit((st["hi"] - st["lo"]) / bins if st["hi"] > st["lo"] else 1.0)
     b = F.least(F.floor((F.col("x") - lo) / width).cast("int"), F.lit(bins - 1))
     counts = base.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
@@ -155,28 +158,29 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
     every grid point inside its task, and the per-grid-point sums are combined
     map-side again, so only ``gridsize`` partial sums per task cross the network.
     """
+    spark = df.sparkSession
     base = _numeric_non_missing(df, col)
-    stats = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
-                     F.min("x").alias("lo"), F.max("x").alias("hi"))
-    n = stats.select(F.col("n").cast("double")).scalar()
-    h = stats.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar()
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
-    g_lo = lo - F.lit(cut) * h
-    step = ((hi + F.lit(cut) * h) - g_lo) / F.lit(gridsize - 1)
-
-    # Grid parameters become columns first: subqueries may not sit inside the lambda.
-    weighted = (base.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w"))
-                .select("x", "w", g_lo.alias("g_lo"), step.alias("step"), h.alias("h")))
-    contrib = weighted.select(F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(gridsize - 1)),
-        lambda i: F.struct(
-            i.alias("i"),
-            (F.col("w") * F.exp(F.lit(-0.5) * F.pow(
-                (F.col("g_lo") + i * F.col("step") - F.col("x")) / F.col("h"), 2))).alias("k"),
-        ))).alias("c")).select("c.*")
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                  F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
+    if not st["n"] or not st["sd"]:
+        return spark.createDataFrame([], "i int, x double, density double")
+    n = float(st["n"])
+    h_v = st["sd"] * n ** -0.2
+    g_lo_v = st["lo"] - cut * h_v
+    step_v = ((st["hi"] + cut * h_v) - g_lo_v) / (gridsize - 1)
+    g_lo, step, h = F.lit(g_lo_v), F.lit(step_v), F.lit(h_v)
+
+    # Equal values combine into (x, weight). The explicit hash partitioning is reused
+    # by the aggregate (one shuffle) and keeps its partition count, so the kernel
+    # sums after it run on every core instead of one coalesced partition.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    weighted = (base.repartition(parts, "x").groupBy("x")
+                .agg(F.count(F.lit(1)).cast("double").alias("w")))
+    grid = weighted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
+    contrib = grid.select("i", (F.col("w") * F.exp(F.lit(-0.5) * F.pow(
+        (g_lo + F.col("i") * step - F.col("x")) / h, 2))).alias("k"))
     sums = contrib.groupBy("i").agg(F.sum("k").alias("s"))
-    norm = n * h * F.lit(math.sqrt(2 * math.pi))
+    norm = F.lit(n * h_v * math.sqrt(2 * math.pi))
     return sums.select(
         F.col("i").cast("int").alias("i"),
         F.round(g_lo + F.col("i") * step, 4).alias("x"),
@@ -193,7 +197,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{k}")
+    agg = ensure_parallelism(df).agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{k}")
                    for k, (a, b) in enumerate(pairs)])
     structs = []
     for k, (a, b) in enumerate(pairs):
@@ -209,7 +213,7 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
     cols = list(cols)
     if target not in cols:
         cols.append(target)
-    agg = df.agg(*[F.corr(F.col(f"`{c}`").cast("double"), F.col(f"`{target}`").cast("double")).alias(f"c{k}")
+    agg = ensure_parallelism(df).agg(*[F.corr(F.col(f"`{c}`").cast("double"), F.col(f"`{target}`").cast("double")).alias(f"c{k}")
                    for k, c in enumerate(cols)])
     out = _inline(agg, [F.struct(F.lit(c).alias("column_name"), F.round(F.col(f"c{k}"), 6).alias("corr"))
                         for k, c in enumerate(cols)])

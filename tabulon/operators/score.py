@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.scalar import decode_labels, threshold_flag
+from tabulon.session import ensure_parallelism
 
 
 def score_claims(model: PipelineModel, claims: DataFrame, actual: str,
@@ -18,7 +19,7 @@ def score_claims(model: PipelineModel, claims: DataFrame, actual: str,
     A claim is 'Abnormal Claim' when the expected amount is below the actual one;
     rounding happens before the comparison, as in the reference.
     """
-    scored = model.transform(claims)
+    scored = model.transform(ensure_parallelism(claims))
     out = scored.select(*id_cols,
                         F.round("prediction", 2).alias("Expected_Expenses"),
                         F.round(actual, 2).alias("Actual_Expenses"))
@@ -27,7 +28,7 @@ def score_claims(model: PipelineModel, claims: DataFrame, actual: str,
 
 def score_fraud(model: PipelineModel, records: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
     """Class prediction as text; the ids the reference dropped are kept."""
-    scored = model.transform(records)
+    scored = model.transform(ensure_parallelism(records))
     # The reference's text for classes 0 and 1.
     label = decode_labels("prediction", {0: "Normal Policy", 1: "Abnormal Policy"})
     return scored.select(*id_cols, label.alias("Model Prediction"))

@@ -72,3 +72,20 @@ def cut_lineage(df):
     """Reliable checkpoint (written to the shared folder) — survives executor loss."""
     _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df, target: int | None = None):
+    """Spread a DataFrame over at least ``target`` partitions (default: the
+    cluster's parallelism) before CPU-heavy work (model fits, wide aggregates,
+    kernel sums).
+
+    A single unsplittable file (one Parquet row group) reads as one task however
+    many cores there are. Large inputs already have more partitions than cores, so
+    this is a no-op for them and never adds a shuffle at scale. Call it on scans and
+    narrow transformations of scans (checking the partition count of a plan with
+    exchanges would have to run them).
+    """
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
