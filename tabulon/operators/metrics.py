@@ -36,11 +36,12 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
     # twice is the expensive part) and survives the loss of an executor.
     g = cut_lineage(g)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({q for q in g.approxQuantile("p", probs, 1.0 / (4 * buckets)) if q == q})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    gb = Bucketizer(splits=splits, inputCol="p", outputCol="b", handleInvalid="keep").transform(g)
+    cuts = sorted({q for q in g.approxQuantile("p", probs, 1.0 / (4 * buckets)) if q == q}) if probs else []
+    if cuts:
+        splits = [float("-inf")] + cuts + [float("inf")]
+        gb = Bucketizer(splits=splits, inputCol="p", outputCol="b", handleInvalid="keep").transform(g)
+    else:
+        gb = g.withColumn("b", F.lit(0.0))
     # Per-bucket totals: at most `buckets` rows, so the offset window and the
     # broadcast below are bounded by construction.
     per_bucket = gb.groupBy("b").agg(F.sum("nn").alias("bn"))

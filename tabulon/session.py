@@ -85,6 +85,8 @@ def ensure_parallelism(df, target: int | None = None):
     narrow transformations of scans (checking the partition count of a plan with
     exchanges would have to run them).
     """
+    if df.isStreaming:  # micro-batches are partitioned by the source
+        return df
     target = target or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
