@@ -43,7 +43,7 @@ def q_table_shape(spark, sf):
 def _describe_sql(c, ty):
     if ty in _NUMERIC:
         x = f"cast({c} as double)"
-        return (f"select '{c}' as column_name, count({c}) as n, round(avg({x}), 6) as mean, "
+        return (f"select '{c}' as column_name, count({c}) as n, round(cast(sum(cast({c} as decimal(38,10))) as double) / count({c}), 9) as mean, "
                 f"round(stddev_samp({x}), 6) as stddev, min({x}) as min_num, max({x}) as max_num, "
                 f"cast(null as varchar) as min_str, cast(null as varchar) as max_str from lineitem")
     return (f"select '{c}' as column_name, count({c}) as n, cast(null as double) as mean, "

@@ -57,10 +57,21 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------- describe
 
+def exact_mean(x: Column) -> Column:
+    """Mean from an exact decimal sum (10 places, |sum| < 1e28).
+
+    A double sum depends on the order rows are added, so two runs (or two engines)
+    can disagree in the last digits; the decimal sum does not. Only the final
+    division is floating point.
+    """
+    return F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)
+
+
 def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Typed ``describe``: one row per column with count, mean, stddev, min, max.
 
-    Numeric columns fill ``mean, stddev, min_num, max_num``; text columns fill
+    Numeric columns fill ``mean`` (exact sum, 9 places), ``stddev`` (6 places),
+    ``min_num, max_num``; text columns fill
     ``min_str, max_str`` (mean and stddev of text are NULL, as in Spark). Columns of
     other types are skipped, as Spark's ``describe`` does.
     """
@@ -76,7 +87,7 @@ def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.count(x).alias("n"),
-            (F.round(F.avg(xd), 6) if num else null_d).alias("mean"),
+            (F.round(exact_mean(x), 9) if num else null_d).alias("mean"),
             (F.round(F.stddev_samp(xd), 6) if num else null_d).alias("stddev"),
             (F.min(xd) if num else null_d).alias("min_num"),
             (F.max(xd) if num else null_d).alias("max_num"),
