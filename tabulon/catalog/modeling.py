@@ -256,15 +256,15 @@ def _shapley(spark, sf, rows_fn, permutations=4, background=16):
     model = regression_model(train, numTrees=10)
     rows = rows_fn(test).withColumn("row_id", F.concat_ws("|", *[F.col(c).cast("string") for c in LINE_KEY]))
     bg = X.background_sample(train, REG_FEATURES, background)
-    return X.shapley_contributions(model, rows, "row_id", REG_FEATURES, bg, permutations=permutations)
+    return X.shapley_wide(model, rows, "row_id", REG_FEATURES, bg, permutations=permutations)
 
 
 @query("shapley_summary", oracle=f"select count(*) as n_rows, count(*) as n_additive, {len(REG_FEATURES)} as n_features from {TEST_SIDE}")
 def q_shapley_summary(spark, sf):
     """Attributions for every held-out row; reports additivity and the ranked features."""
-    contrib = _shapley(spark, sf, lambda test: test)
-    add = X.additivity(contrib, "row_id")
-    n_feat = X.shapley_summary(contrib, top=10).agg(F.count(F.lit(1))).scalar()
+    wide = cut_lineage(_shapley(spark, sf, lambda test: test))  # one scoring job, read twice
+    add = X.additivity_wide(wide, "row_id", REG_FEATURES)
+    n_feat = X.shapley_summary_wide(wide, REG_FEATURES, top=10).agg(F.count(F.lit(1))).scalar()
     return add.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("additive").alias("n_additive")) \
               .withColumn("n_features", n_feat.cast("int"))
 
@@ -275,8 +275,9 @@ from (select * from {TEST_SIDE} order by l_orderkey, l_partkey, l_suppkey, l_lin
 """)
 def q_shapley_local(spark, sf):
     """Local attribution of the first 5 held-out records (by key): one value per feature."""
-    contrib = _shapley(spark, sf, lambda test: top_k(test, 5, LINE_KEY), permutations=8)
-    add = X.additivity(contrib, "row_id")
+    wide = cut_lineage(_shapley(spark, sf, lambda test: top_k(test, 5, LINE_KEY), permutations=8))
+    contrib = X.contributions_from_wide(wide, "row_id", REG_FEATURES)
+    add = X.additivity_wide(wide, "row_id", REG_FEATURES)
     return add.agg(F.count(F.lit(1)).alias("n_records"),
                    contrib.agg(F.count(F.lit(1))).scalar().alias("n_values"),
                    F.count_if("additive").alias("n_additive"))

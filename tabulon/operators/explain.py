@@ -10,7 +10,8 @@ For every explained row x and permutation j = 0..P-1:
 * F+1 hybrid rows are generated in the task (``explode``): step k takes the first
   k features of the permutation from x and the rest from b;
 * one ``model.transform`` scores every hybrid row;
-* the contribution of the feature switched at step k is f(step k) - f(step k-1).
+* the contribution of the feature switched at step k is f(step k) - f(step k-1),
+  summed as +f / -f terms per record, so no window or per-permutation regrouping.
 
 phi(x, feature) is the mean contribution over the P permutations. Within a
 permutation the differences telescope, so for every row
@@ -47,13 +48,20 @@ def _output(scored: DataFrame, output: str) -> Column:
     return F.col(output).cast("double")
 
 
-def shapley_contributions(model: PipelineModel, rows: DataFrame, id_col: str, features: Sequence[str],
-                          background: DataFrame, permutations: int = 4, seed: int = 17,
-                          output: str = "prediction") -> DataFrame:
-    """Per (id, feature): value, phi, base, fx.
+def shapley_wide(model: PipelineModel, rows: DataFrame, id_col: str, features: Sequence[str],
+                 background: DataFrame, permutations: int = 4, seed: int = 17,
+                 output: str = "prediction") -> DataFrame:
+    """One row per explained record: id, ``value__<f>`` (text), ``phi__<f>``, base, fx.
 
     ``background`` is a prepared sample (see ``background_sample``) with ``bg_idx``
     0..B-1; its size bounds the broadcast.
+
+    No window is needed: the scored hybrid row at step k is the "after" value of the
+    feature switched at step k and the "before" value of the one switched at step
+    k+1, so phi(feature) is a sum of +f and -f terms over the record's hybrid rows.
+    All hybrid rows of a record are generated in one task, so the aggregation by
+    record (fixed-width double buffers, HashAggregate) completes map-side and the
+    shuffle carries one row per record.
     """
     features = list(features)
     nf = len(features)
@@ -61,9 +69,12 @@ def shapley_contributions(model: PipelineModel, rows: DataFrame, id_col: str, fe
     if n_bg == 0:
         raise ValueError("empty background sample")
     bg = F.broadcast(background.select("bg_idx", *[F.col(f"`{c}`").alias(f"bg__{c}") for c in features]))
+    x_cols = [f"x__{i}" for i in range(nf)]
 
-    base = ensure_parallelism(rows).select(F.col(id_col).alias("__id"), *features).withColumn(
-        "__j", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+    base = ensure_parallelism(rows).select(
+        F.col(id_col).alias("__id"), *features,
+        *[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(features, x_cols)])
+    base = base.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
     base = base.withColumn("bg_idx", F.pmod(F.xxhash64("__id", "__j", F.lit(seed)), F.lit(n_bg)).cast("int"))
     # permutation of feature indices: sort (hash, index) pairs, keep the indices
     perm = F.transform(
@@ -73,39 +84,70 @@ def shapley_contributions(model: PipelineModel, rows: DataFrame, id_col: str, fe
         lambda s: s["i"])
     paired = base.join(bg, "bg_idx").withColumn("__perm", perm)
     steps = paired.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(nf))))
-    # position of feature i in the permutation (0-based); it comes from x once k > position
+    k = F.col("__k")
+    # feature i comes from x once the step has passed its position in the permutation
     hybrid = steps.select(
-        "__id", "__j", "__k",
-        F.when(F.col("__k") > 0, F.col("__perm")[F.col("__k") - 1]).alias("__switched"),
-        *[F.when(F.array_position("__perm", F.lit(i)) - 1 < F.col("__k"), F.col(f"`{c}`"))
+        "__id", *x_cols, k,
+        F.when(k > 0, F.col("__perm")[k - 1]).alias("__after"),      # switched at step k
+        F.when(k < nf, F.col("__perm")[k]).alias("__before"),        # switched at step k+1
+        *[F.when(F.array_position("__perm", F.lit(i)) - 1 < k, F.col(f"`{c}`"))
            .otherwise(F.col(f"bg__{c}")).alias(c) for i, c in enumerate(features)])
     scored = model.transform(hybrid)
-    f = scored.select("__id", "__j", "__k", "__switched", _output(scored, output).alias("__f"))
-
-    w = Window.partitionBy("__id", "__j").orderBy("__k")  # F+1 rows per window
-    diffs = f.withColumn("__d", F.col("__f") - F.lag("__f").over(w))
-    ends = diffs.groupBy("__id").agg(
+    fv = _output(scored, output)
+    f = scored.select("__id", *x_cols, "__k", "__after", "__before", fv.alias("__f"))
+
+    zero = F.lit(0.0)
+    phis = [(F.sum(F.when(F.col("__after") == i, F.col("__f")).otherwise(zero)
+                   - F.when(F.col("__before") == i, F.col("__f")).otherwise(zero)) / permutations)
+            .alias(f"phi__{c}") for i, c in enumerate(features)]
+    wide = f.groupBy("__id", *x_cols).agg(
+        *phis,
         F.avg(F.when(F.col("__k") == 0, F.col("__f"))).alias("base"),
         F.max(F.when(F.col("__k") == nf, F.col("__f"))).alias("fx"))
-    phi = (diffs.where(F.col("__k") > 0)
-                .groupBy("__id", "__switched").agg(F.avg("__d").alias("phi")))
-    names = F.array(*[F.lit(c) for c in features])
-    values = rows.select(F.col(id_col).alias("__id"),
-                         F.array(*[F.col(f"`{c}`").cast("string") for c in features]).alias("__vals"))
-    out = (phi.join(ends, "__id").join(values, "__id")
-              .select(F.col("__id").alias(id_col),
-                      names[F.col("__switched")].alias("feature"),
-                      F.col("__vals")[F.col("__switched")].alias("value"),
-                      "phi", "base", "fx"))
-    return out
+    return wide.select(F.col("__id").alias(id_col),
+                       *[F.col(x).alias(f"value__{c}") for c, x in zip(features, x_cols)],
+                       *[f"phi__{c}" for c in features], "base", "fx")
+
+
+def contributions_from_wide(wide: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
+    """(id, feature, value, phi, base, fx): one row per record and feature (in-row unpivot)."""
+    items = [F.struct(F.lit(c).alias("feature"), F.col(f"value__{c}").alias("value"),
+                      F.col(f"phi__{c}").alias("phi")) for c in features]
+    return wide.select(id_col, "base", "fx", F.inline(F.array(*items))).select(
+        id_col, "feature", "value", "phi", "base", "fx")
+
+
+def shapley_contributions(model: PipelineModel, rows: DataFrame, id_col: str, features: Sequence[str],
+                          background: DataFrame, permutations: int = 4, seed: int = 17,
+                          output: str = "prediction") -> DataFrame:
+    """Per (id, feature): value, phi, base, fx."""
+    wide = shapley_wide(model, rows, id_col, features, background, permutations, seed, output)
+    return contributions_from_wide(wide, id_col, features)
 
 
 def shapley_summary(contrib: DataFrame, top: int = 10) -> DataFrame:
-    """Global importance: (feature, mean_abs_phi, rank), top ``top`` features."""
+    """Global importance: (feature, mean_abs_phi), top ``top`` features."""
     imp = contrib.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"))
     return imp.orderBy(F.desc("mean_abs_phi"), "feature").limit(top)
 
 
+def shapley_summary_wide(wide: DataFrame, features: Sequence[str], top: int = 10) -> DataFrame:
+    """Same ranking from the wide table: one aggregate, no regrouping by feature."""
+    agg = wide.agg(*[F.avg(F.abs(f"phi__{c}")).alias(f"m{i}") for i, c in enumerate(features)])
+    ranked = agg.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("mean_abs_phi"))
+        for i, c in enumerate(features)])))
+    return ranked.orderBy(F.desc("mean_abs_phi"), "feature").limit(top)
+
+
+def additivity_wide(wide: DataFrame, id_col: str, features: Sequence[str], tol: float = 1e-6) -> DataFrame:
+    """Per record: sum of phi vs f(x) - base, computed in the record's own row."""
+    total = sum((F.col(f"phi__{c}") for c in features), F.lit(0.0))
+    gap = F.abs(total - (F.col("fx") - F.col("base")))
+    return wide.select(id_col, total.alias("sum_phi"), "base", "fx",
+                       (gap <= F.lit(tol) * F.greatest(F.lit(1.0), F.abs("fx"))).alias("additive"))
+
+
 def additivity(contrib: DataFrame, id_col: str, tol: float = 1e-6) -> DataFrame:
     """Per row: sum(phi) vs f(x) - base, and whether they agree within ``tol`` (relative)."""
     per = contrib.groupBy(id_col).agg(F.sum("phi").alias("sum_phi"), F.first("base").alias("base"),

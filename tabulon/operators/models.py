@@ -44,12 +44,12 @@ def leaderboard_models(label: str = "label", features: str = "features", seed: i
     """The classifier families compared by the AutoML step, all distributed in MLlib."""
     kw = dict(labelCol=label, featuresCol=features)
     return {
-        "logistic_regression": LogisticRegression(maxIter=20, **kw),
+        "logistic_regression": LogisticRegression(maxIter=10, **kw),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, seed=seed, **kw),
         "random_forest": forest_classifier(label, features, seed=seed),
         "gradient_boosted_trees": GBTClassifier(maxIter=10, maxDepth=3, seed=seed, **kw),
         "naive_bayes": NaiveBayes(modelType="gaussian", **kw),
-        "linear_svc": LinearSVC(maxIter=20, **kw),
+        "linear_svc": LinearSVC(maxIter=10, **kw),
     }
 
 
