@@ -233,8 +233,8 @@ def q_regression_metrics(spark, sf):
 
 @query("confusion_metrics", oracle=f"""
 with s as (select cast({NET} > 50000 as integer) as y, cast(l_extendedprice > 50000 as integer) as p from lineitem),
-     c as (select count_if(y = 1 and p = 1) as tp, count_if(y = 0 and p = 1) as fp,
-                  count_if(y = 0 and p = 0) as tn, count_if(y = 1 and p = 0) as fn from s),
+     c as (select cast(count_if(y = 1 and p = 1) as bigint) as tp, cast(count_if(y = 0 and p = 1) as bigint) as fp,
+                  cast(count_if(y = 0 and p = 0) as bigint) as tn, cast(count_if(y = 1 and p = 0) as bigint) as fn from s),
      d as (select *, cast(tp as double) as dtp, cast(fp as double) as dfp, cast(tn as double) as dtn,
                   cast(fn as double) as dfn from c)
 select tp, fp, tn, fn,

@@ -200,7 +200,7 @@ def q_cv_score(spark, sf):
 
 @query("validation_curve", oracle="""
 select 'numTrees' as param, v as param_value, true as score_in_range
-from (values (5.0), (10.0), (15.0)) s(v)
+from (values (5.0::double), (10.0::double), (15.0::double)) s(v)
 """)
 def q_validation_curve(spark, sf):
     """Mean CV AUC for numTrees in 5, 10, 15."""

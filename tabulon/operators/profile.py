@@ -181,12 +181,9 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
     step_v = ((st["hi"] + cut * h_v) - g_lo_v) / (gridsize - 1)
     g_lo, step, h = F.lit(g_lo_v), F.lit(step_v), F.lit(h_v)
 
-    # Equal values combine into (x, weight). The explicit hash partitioning is reused
-    # by the aggregate (one shuffle) and keeps its partition count, so the kernel
-    # sums after it run on every core instead of one coalesced partition.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    weighted = (base.repartition(parts, "x").groupBy("x")
-                .agg(F.count(F.lit(1)).cast("double").alias("w")))
+    # Equal values combine into (x, weight) with a map-side partial count first, so a
+    # value holding a third of the rows becomes one row per task before the shuffle.
+    weighted = base.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w"))
     grid = weighted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
     contrib = grid.select("i", (F.col("w") * F.exp(F.lit(-0.5) * F.pow(
         (g_lo + F.col("i") * step - F.col("x")) / h, 2))).alias("k"))
