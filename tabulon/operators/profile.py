@@ -198,22 +198,32 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
 
 # ------------------------------------------------------------------- correlations
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair (col_a, col_b, corr), one pass.
 
-    Only the upper triangle is aggregated; the result is mirrored in place.
+    Only the upper triangle is aggregated; the result is mirrored in place with
+    ``stack``. The wide expressions are written as SQL text: one call to build them
+    instead of several hundred Column-API calls from Python.
     """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = ensure_parallelism(df).agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{k}")
-                   for k, (a, b) in enumerate(pairs)])
-    structs = []
+    agg = ensure_parallelism(df).selectExpr(*[
+        f"corr(cast({_ident(a)} as double), cast({_ident(b)} as double)) as c{k}"
+        for k, (a, b) in enumerate(pairs)])
+    items = []
     for k, (a, b) in enumerate(pairs):
-        v = F.round(F.col(f"c{k}"), 6)
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
+        items.append(f"{_text(a)}, {_text(b)}, round(c{k}, 6)")
         if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("corr")))
-    return _inline(agg, structs)
+            items.append(f"{_text(b)}, {_text(a)}, round(c{k}, 6)")
+    return agg.selectExpr(f"stack({len(items)}, {', '.join(items)}) as (col_a, col_b, corr)")
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -221,10 +231,11 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
     cols = list(cols)
     if target not in cols:
         cols.append(target)
-    agg = ensure_parallelism(df).agg(*[F.corr(F.col(f"`{c}`").cast("double"), F.col(f"`{target}`").cast("double")).alias(f"c{k}")
-                   for k, c in enumerate(cols)])
-    out = _inline(agg, [F.struct(F.lit(c).alias("column_name"), F.round(F.col(f"c{k}"), 6).alias("corr"))
-                        for k, c in enumerate(cols)])
+    agg = ensure_parallelism(df).selectExpr(*[
+        f"corr(cast({_ident(c)} as double), cast({_ident(target)} as double)) as c{k}"
+        for k, c in enumerate(cols)])
+    items = [f"{_text(c)}, round(c{k}, 6)" for k, c in enumerate(cols)]
+    out = agg.selectExpr(f"stack({len(items)}, {', '.join(items)}) as (column_name, corr)")
     return out.orderBy(F.desc("corr"), F.asc("column_name"))
 
 
