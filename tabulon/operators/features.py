@@ -69,9 +69,12 @@ def one_hot_stage(cols: Sequence[str], in_suffix: str = "_index", suffix: str =
                          outputCols=[f"{c}{suffix}" for c in cols], dropLast=True)
 
 
-def scale_stages(cols: Sequence[str], out: str = "numeric_scaled") -> list:
-    """One assembler + one MinMaxScaler for all numeric columns (constant column -> 0.5)."""
-    return [VectorAssembler(inputCols=list(cols), outputCol=f"{out}__raw", handleInvalid="keep"),
+def scale_stages(cols: Sequence[str], out: str = "numeric_scaled", handle_invalid: str = "error") -> list:
+    """One assembler + one MinMaxScaler for all numeric columns (constant column -> 0.5).
+
+    NULL numbers fail by default (impute first); ``keep`` passes them on as NaN.
+    """
+    return [VectorAssembler(inputCols=list(cols), outputCol=f"{out}__raw", handleInvalid=handle_invalid),
             MinMaxScaler(inputCol=f"{out}__raw", outputCol=out)]
 
 
@@ -85,7 +88,7 @@ def feature_recipe(categorical: Sequence[str], numeric: Sequence[str], *,
         stages += [index_stage(categorical, handle_invalid), one_hot_stage(categorical)]
         inputs += [f"{c}_encoded" for c in categorical]
     if numeric:
-        stages += scale_stages(numeric)
+        stages += scale_stages(numeric, handle_invalid=assemble_invalid)
         inputs.append("numeric_scaled")
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid=assemble_invalid))
     return Pipeline(stages=stages)

@@ -52,8 +52,8 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
                 .join(F.broadcast(offsets), "b")
                 .withColumn("below", F.coalesce(F.col("off"), F.lit(0)) + F.col("below_in")))
     return ranked.agg(
-        F.round((F.sum(F.col("np") * (F.col("below") + F.col("nn") / 2.0))
-                 / (F.sum("np").cast("double") * F.sum("nn").cast("double"))), 6).alias("auc"),
+        F.round(F.try_divide(F.sum(F.col("np") * (F.col("below") + F.col("nn") / 2.0)),
+                             F.sum("np").cast("double") * F.sum("nn").cast("double")), 6).alias("auc"),
         F.sum("np").cast("bigint").alias("n_pos"),
         F.sum("nn").cast("bigint").alias("n_neg"))
 
@@ -70,10 +70,10 @@ def regression_metrics(df: DataFrame, label: str | Column = "label",
         F.count(F.lit(1)).alias("n"),
         F.sum(F.pow(F.col("y") - F.col("p"), 2)).alias("sse"),
         F.var_pop("y").alias("vy"))
-    mse = F.round(F.col("sse") / F.col("n"), 2)
+    mse = F.round(F.try_divide(F.col("sse"), F.col("n")), 2)
     return a.select(
         "n", mse.alias("mse"), F.round(F.sqrt(mse), 2).alias("rmse"),
-        F.round(1 - F.col("sse") / (F.col("vy") * F.col("n")), 4).alias("r2"))
+        F.round(1 - F.try_divide(F.col("sse"), F.col("vy") * F.col("n")), 4).alias("r2"))
 
 
 def confusion_metrics(df: DataFrame, label: str | Column = "label",
@@ -87,15 +87,16 @@ def confusion_metrics(df: DataFrame, label: str | Column = "label",
         F.count_if((F.col("y") == 1) & (F.col("p") == 0)).alias("fn"))
     tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
-    precision = tp / (tp + fp)
-    recall = tp / (tp + fn)
-    po = (tp + tn) / n
-    pe = ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (n * n)
+    div = F.try_divide  # undefined ratios (no positives, no predictions) are NULL, not errors
+    precision = div(tp, tp + fp)
+    recall = div(tp, tp + fn)
+    po = div(tp + tn, n)
+    pe = div((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
     return a.select(
         "tp", "fp", "tn", "fn",
         F.round(po, 6).alias("accuracy"),
         F.round(precision, 6).alias("precision"),
         F.round(recall, 6).alias("recall"),
-        F.round(2 * precision * recall / (precision + recall), 6).alias("f1"),
-        F.round((po - pe) / (1 - pe), 6).alias("kappa"),
-        F.round((tp * tn - fp * fn) / F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 6).alias("mcc"))
+        F.round(div(2 * precision * recall, precision + recall), 6).alias("f1"),
+        F.round(div(po - pe, 1 - pe), 6).alias("kappa"),
+        F.round(div(tp * tn - fp * fn, F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))), 6).alias("mcc"))

@@ -64,7 +64,7 @@ def exact_mean(x: Column) -> Column:
     can disagree in the last digits; the decimal sum does not. Only the final
     division is floating point.
     """
-    return F.sum(x.cast("decimal(38,10)")).cast("double") / F.count(x)
+    return F.try_divide(F.sum(x.cast("decimal(38,10)")).cast("double"), F.count(x))
 
 
 def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -128,7 +128,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, n, share) of one column; share = n / rows, via a scalar subquery."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return counts.withColumn("share", F.round(F.col("n") / total, 6))
+    return counts.withColumn("share", F.round(F.try_divide(F.col("n"), total), 6))
 
 
 # ------------------------------------------------------------------- distributions
@@ -325,8 +325,8 @@ def column_profile(df: DataFrame, categorical: Sequence[str] | None = None) -> D
 def flag_uninformative(profile: DataFrame, max_null_rate: float = 0.95,
                        max_distinct_ratio: float = 0.9) -> DataFrame:
     """Adds ``drop``: all/mostly missing, or (categorical) nearly one value per row."""
-    null_rate = F.col("n_missing") / F.col("n_rows")
-    ratio = F.col("n_distinct") / (F.col("n_rows") - F.col("n_missing"))
+    null_rate = F.try_divide(F.col("n_missing"), F.col("n_rows"))
+    ratio = F.try_divide(F.col("n_distinct"), F.col("n_rows") - F.col("n_missing"))
     return profile.withColumn(
         "drop", (null_rate >= F.lit(max_null_rate)) | F.coalesce(ratio > F.lit(max_distinct_ratio), F.lit(False)))
 
