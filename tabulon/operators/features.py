@@ -56,6 +56,25 @@ def dummies(df: DataFrame, cols: Sequence[str], drop_first: bool = False,
     return res if keep_source else res.drop(*cols)
 
 
+# StringIndexer brings every label of a column to the driver and broadcasts the
+# mapping; above this many levels the fit is refused (near-unique columns such as
+# ids or free text should be dropped first, see profile.drop_uninformative).
+MAX_INDEX_LEVELS = 1_000_000
+
+
+def check_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_INDEX_LEVELS) -> dict[str, int]:
+    """Approximate distinct count of each column (HyperLogLog++, one pass); raises if
+    any column exceeds ``max_levels``."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.05).alias(c) for c in cols]).first()
+    counts = {c: int(row[c]) for c in cols}
+    over = {c: n for c, n in counts.items() if n > max_levels}
+    if over:
+        raise ValueError(f"too many levels to index (limit {max_levels}): {over}")
+    return counts
+
+
 def index_stage(cols: Sequence[str], handle_invalid: str = "error", suffix: str = "_index") -> StringIndexer:
     """Labels by descending frequency (ties alphabetical); ``keep`` maps unseen/NULL to numLabels."""
     return StringIndexer(inputCols=list(cols), outputCols=[f"{c}{suffix}" for c in cols],

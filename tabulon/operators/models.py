@@ -18,6 +18,9 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.ml.feature import StringIndexer
+
+from tabulon.operators.features import MAX_INDEX_LEVELS, check_levels
 from tabulon.session import ensure_parallelism
 
 # The reference's MLlib forest settings.
@@ -53,9 +56,25 @@ def leaderboard_models(label: str = "label", features: str = "features", seed: i
     }
 
 
-def fit_with_recipe(recipe: Pipeline, estimator: Estimator, train: DataFrame) -> PipelineModel:
-    """Recipe and model fitted together on the training side only (no leakage)."""
-    return Pipeline(stages=list(recipe.getStages()) + [estimator]).fit(ensure_parallelism(train))
+def _indexed_columns(stages) -> list[str]:
+    cols = []
+    for st in stages:
+        if isinstance(st, StringIndexer):
+            cols += st.getInputCols() if st.isSet("inputCols") else [st.getInputCol()]
+    return cols
+
+
+def fit_with_recipe(recipe: Pipeline, estimator: Estimator, train: DataFrame,
+                    max_levels: int = MAX_INDEX_LEVELS) -> PipelineModel:
+    """Recipe and model fitted together on the training side only (no leakage).
+
+    Columns the recipe indexes are first checked for a bounded number of levels
+    (one HyperLogLog pass), because the indexer collects its labels to the driver.
+    """
+    stages = list(recipe.getStages())
+    train = ensure_parallelism(train)
+    check_levels(train, _indexed_columns(stages), max_levels)
+    return Pipeline(stages=stages + [estimator]).fit(train)
 
 
 def extend_fitted(fitted: PipelineModel, estimator: Estimator, train: DataFrame) -> PipelineModel:

@@ -291,8 +291,19 @@ def exact_median(df: DataFrame, col: str, buckets: int = 4096, collect_max: int
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
-                  collect_max: int = 50_000) -> DataFrame:
-    """Replace NULL/NaN in ``cols`` by the column's exact median."""
+                  collect_max: int = 50_000, exact: bool = True, relative_error: float = 0.001) -> DataFrame:
+    """Replace NULL/NaN in ``cols`` by the column's median.
+
+    ``exact=True``: the exact median by distributed selection (a few scans).
+    ``exact=False``: MLlib's ``Imputer(strategy='median')`` — one pass of
+    Greenwald-Khanna sketches for all columns, rank error <= ``relative_error``.
+    """
+    if not exact:
+        from pyspark.ml.feature import Imputer
+        cast = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in cols})
+        imp = Imputer(strategy="median", inputCols=list(cols), outputCols=list(cols),
+                      relativeError=relative_error)
+        return imp.fit(cast).transform(cast)
     fills = {}
     for c in cols:
         m = exact_median(df, c, buckets, collect_max)

@@ -49,3 +49,25 @@ def test_unseen_category_scores(spark):
     model = MD.fit_with_recipe(FE.feature_recipe(["c"], ["x"]), MD.forest_classifier(numTrees=3), train)
     new = spark.createDataFrame([("never-seen", 1.5, 0)], "c string, x double, label int")
     assert model.transform(new).first().prediction in (0.0, 1.0)
+
+
+def test_index_level_guard(spark):
+    df = spark.range(500).selectExpr("cast(id as string) as uid", "cast(id % 2 as double) as y")
+    with pytest.raises(ValueError):
+        MD.fit_with_recipe(FE.feature_recipe(["uid"], []), MD.forest_regressor(label="y", numTrees=2), df,
+                           max_levels=100)
+    assert FE.check_levels(df, ["uid"], max_levels=10_000)["uid"] > 400
+
+
+def test_approximate_median_imputer(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(101)] + [(None,)], "x double")
+    out = P.impute_median(df, ["x"], exact=False).where(F.col("x") == 50.0).count()
+    assert out == 2  # the NULL became the median 50
+
+
+def test_write_table_partitioned(spark, tmp_path):
+    from tabulon.sources import write_table
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    path = write_table(df, str(tmp_path / "t"), partition_by=["p"])
+    back = spark.read.parquet(path).where(F.col("p") == "a")
+    assert back.count() == 1
