@@ -281,3 +281,38 @@ def q_shapley_local(spark, sf):
     return add.agg(F.count(F.lit(1)).alias("n_records"),
                    contrib.agg(F.count(F.lit(1))).scalar().alias("n_values"),
                    F.count_if("additive").alias("n_additive"))
+
+
+# ------------------------------------------------- labelled documents classifier
+
+_DOC_BUCKET = ("cast('0x' || substr(md5(concat_ws('|', cast(doc_id as varchar), '123')), 1, 8) as bigint) % 100")
+
+
+def labelled_documents(spark, sf):
+    """Documents with a quality label: (doc_id, lang, source, n_chars, label)."""
+    docs = t(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = t(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return docs.join(labels, "doc_id")
+
+
+def documents_classifier(train, **forest):
+    """The reference's MLlib classifier settings on a keep-unseen recipe."""
+    params = dict(MD.REFERENCE_CLASSIFIER)
+    params.update(forest)
+    recipe = FE.feature_recipe(["lang", "source"], ["n_chars"])
+    return MD.fit_with_recipe(recipe, MD.forest_classifier(label="label", **params), train)
+
+
+@query("rf_classify_documents", oracle=f"""
+select count(*) as n_scored, count(*) as n_prob_in_range, count(*) as n_pred_valid
+from documents d join labels l on d.doc_id = l.doc_id where {_DOC_BUCKET.replace('doc_id', 'd.doc_id')} >= 80
+""")
+def q_rf_classify_documents(spark, sf):
+    """Quality classifier on labelled documents with the reference forest (136 trees,
+    depth 5, 3 rows per leaf, sqrt features); held-out 20% by doc_id hash."""
+    train, test = hash_split(labelled_documents(spark, sf), ["doc_id"], seed=123, train_fraction=0.8)
+    model = documents_classifier(train)
+    pred = model.transform(ensure_parallelism(test)).withColumn("p1", MD.positive_probability())
+    return pred.agg(F.count(F.lit(1)).alias("n_scored"),
+                    F.count_if(F.col("p1").between(0.0, 1.0)).alias("n_prob_in_range"),
+                    F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_pred_valid"))
