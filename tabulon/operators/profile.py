@@ -206,18 +206,43 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], cols: list[str]) -> DataFrame:
+    """One-row DataFrame with column ``c{k}`` = corr of ``pairs[k]``.
+
+    Without NULL/NaN in ``cols`` (checked in the first pass), the correlations come
+    from two passes of plain sums — column means, then centred cross-products — a
+    numerically stable form whose aggregation buffer stays small enough for
+    whole-stage codegen. With missing values the pairwise ``corr`` aggregate is used,
+    so each pair keeps its own complete rows (pandas semantics).
+    """
+    base = ensure_parallelism(df).select(*[F.col(_ident(c)).cast("double").alias(f"v{i}")
+                                           for i, c in enumerate(cols)])
+    idx = {c: i for i, c in enumerate(cols)}
+    first = base.selectExpr("count(1) as n",
+                            *[f"count(nanvl(v{i}, null)) as n{i}" for i in range(len(cols))],
+                            *[f"avg(v{i}) as m{i}" for i in range(len(cols))]).first()
+    complete = all(first[f"n{i}"] == first["n"] for i in range(len(cols)))
+    if not complete:
+        return base.selectExpr(*[f"corr(v{idx[a]}, v{idx[b]}) as c{k}" for k, (a, b) in enumerate(pairs)])
+    means = [first[f"m{i}"] for i in range(len(cols))]
+    centred = base.select(*[(F.col(f"v{i}") - F.lit(m)).alias(f"d{i}") for i, m in enumerate(means)])
+    sq = {i: f"d{i} * d{i}" for i in range(len(cols))}
+    sums = centred.selectExpr(*[f"sum({sq[i]}) as s{i}" for i in range(len(cols))],
+                              *[f"sum(d{idx[a]} * d{idx[b]}) as x{k}" for k, (a, b) in enumerate(pairs)])
+    return sums.selectExpr(*[
+        f"try_divide(x{k}, sqrt(s{idx[a]} * s{idx[b]})) as c{k}" for k, (a, b) in enumerate(pairs)])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair (col_a, col_b, corr), one pass.
+    """Pearson correlation of every ordered pair (col_a, col_b, corr).
 
-    Only the upper triangle is aggregated; the result is mirrored in place with
+    Only the upper triangle is computed; the result is mirrored in place with
     ``stack``. The wide expressions are written as SQL text: one call to build them
     instead of several hundred Column-API calls from Python.
     """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = ensure_parallelism(df).selectExpr(*[
-        f"corr(cast({_ident(a)} as double), cast({_ident(b)} as double)) as c{k}"
-        for k, (a, b) in enumerate(pairs)])
+    agg = _pair_correlations(df, pairs, cols)
     items = []
     for k, (a, b) in enumerate(pairs):
         items.append(f"{_text(a)}, {_text(b)}, round(c{k}, 6)")
@@ -231,9 +256,7 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
     cols = list(cols)
     if target not in cols:
         cols.append(target)
-    agg = ensure_parallelism(df).selectExpr(*[
-        f"corr(cast({_ident(c)} as double), cast({_ident(target)} as double)) as c{k}"
-        for k, c in enumerate(cols)])
+    agg = _pair_correlations(df, [(c, target) for c in cols], cols)
     items = [f"{_text(c)}, round(c{k}, 6)" for k, c in enumerate(cols)]
     out = agg.selectExpr(f"stack({len(items)}, {', '.join(items)}) as (column_name, corr)")
     return out.orderBy(F.desc("corr"), F.asc("column_name"))

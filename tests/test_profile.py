@@ -126,3 +126,21 @@ def test_value_counts_share(employees):
 def test_describe_gender_only(employees):
     r = P.describe_columns(employees, ["gender"]).first()
     assert (r.n, r.mean, r.stddev, r.min_str, r.max_str) == (4, None, None, "Female", "Male")
+
+
+def test_correlation_with_missing_values_is_pairwise(spark):
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=200)
+    b = a + rng.normal(size=200)
+    c = rng.normal(size=200)
+    a[::7] = np.nan
+    c[::5] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c})
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    m = {(r.col_a, r.col_b): r.corr for r in P.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    ref = pdf.corr()  # pairwise complete observations
+    for x in "abc":
+        for y in "abc":
+            assert m[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-6)
