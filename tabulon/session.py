@@ -81,12 +81,18 @@ def ensure_parallelism(df, target: int | None = None):
 
     A single unsplittable file (one Parquet row group) reads as one task however
     many cores there are. Large inputs already have more partitions than cores, so
-    this is a no-op for them and never adds a shuffle at scale. Call it on scans and
-    narrow transformations of scans (checking the partition count of a plan with
-    exchanges would have to run them).
+    this is a no-op for them and never adds a shuffle at scale.
+
+    Only scans and narrow transformations of scans are checked: after an exchange
+    the partitioning is already the shuffle's (and asking an adaptive plan with
+    exchanges for its partition count would execute those shuffles first).
     """
     if df.isStreaming:  # micro-batches are partitioned by the source
         return df
+    from tabulon.plans.inspect import physical_plan  # reads the plan; runs nothing
+
+    if "Exchange" in physical_plan(df, "simple"):
+        return df
     target = target or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
