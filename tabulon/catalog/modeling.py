@@ -28,6 +28,8 @@ from tabulon.session import cut_lineage, ensure_parallelism, shared_path
 from tabulon.sources.models import load_model, save_model
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+# The line key repeats once at sf0.001; price and ship date make a record id unique.
+RECORD_ID = LINE_KEY + ["l_extendedprice", "l_shipdate"]
 THRESHOLD = 50_000.0
 
 _BUCKET = ("cast('0x' || substr(md5(concat_ws('|', cast(l_orderkey as varchar), cast(l_partkey as varchar), "
@@ -40,7 +42,7 @@ def claims(spark, sf):
     """lineitem as claim records: raw features, the charged amount, a Y/N flag."""
     li = t(spark, sf, "lineitem")
     net = net_amount()
-    return li.select(*LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    return li.select(*LINE_KEY, "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                      "l_returnflag", "l_linestatus", net.alias("net_amount"),
                      F.when(net > THRESHOLD, "Y").otherwise("N").alias("fraud_reported"))
 
@@ -128,9 +130,9 @@ def q_model_roundtrip(spark, sf):
     model = regression_model(train, numTrees=10)
     path = save_model(model, shared_path(spark, "models", "claims_rf", unique=True))
     again = load_model(path)
-    a = model.transform(test).select(*LINE_KEY, F.col("prediction").alias("p_mem"))
-    b = again.transform(test).select(*LINE_KEY, F.col("prediction").alias("p_disk"))
-    j = a.join(b, LINE_KEY)
+    a = model.transform(test).select(*RECORD_ID, F.col("prediction").alias("p_mem"))
+    b = again.transform(test).select(*RECORD_ID, F.col("prediction").alias("p_disk"))
+    j = a.join(b, RECORD_ID)
     return j.agg(F.count(F.lit(1)).alias("n_scored"),
                  F.count_if(F.abs(F.col("p_mem") - F.col("p_disk")) <= 1e-9).alias("n_equal"))
 
@@ -254,7 +256,7 @@ def q_model_leaderboard(spark, sf):
 def _shapley(spark, sf, rows_fn, permutations=4, background=16):
     train, test = claims_split(spark, sf)
     model = regression_model(train, numTrees=10)
-    rows = rows_fn(test).withColumn("row_id", F.concat_ws("|", *[F.col(c).cast("string") for c in LINE_KEY]))
+    rows = rows_fn(test).withColumn("row_id", F.concat_ws("|", *[F.col(c).cast("string") for c in RECORD_ID]))
     bg = X.background_sample(train, REG_FEATURES, background)
     return X.shapley_wide(model, rows, "row_id", REG_FEATURES, bg, permutations=permutations)
 

@@ -46,17 +46,16 @@ def _checkpoint_root(spark: SparkSession) -> str:
     laptops); a cluster session without it is an error, because a machine-local
     folder is not visible to other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) visible to every executor")
-        root = tempfile.mkdtemp(prefix="tabulon-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
+        # a core setting cannot be changed at runtime; the context's directory can
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabulon-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
+    elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 

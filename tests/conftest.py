@@ -24,8 +24,9 @@ def spark():
                .config("spark.ui.showConsoleProgress", "false"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # only where the cluster does not name one
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tabulon-test-ckpt-"))
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        # only where the cluster does not name a shared folder
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabulon-test-ckpt-"))
     yield s
     s.stop()
 

@@ -6,7 +6,7 @@ from tabulon.session import cut_lineage, ensure_parallelism, shared_path
 
 
 def test_shared_path_under_checkpoint_dir(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     p = shared_path(spark, "x", unique=True)
     assert p.startswith(root) and p != shared_path(spark, "x", unique=True)
 
