@@ -21,20 +21,26 @@ def _c(c: str | Column) -> Column:
 
 
 def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "score",
-        buckets: int = 1000) -> DataFrame:
-    """One row: (auc, n_pos, n_neg). ``label`` is 1 for positives, 0 for negatives.
+        buckets: int = 1000, max_scores_per_bucket: int = 2_000_000) -> DataFrame:
+    """One row: (auc, n_pos, n_neg). ``label`` is 1 for positives, 0 for negatives;
+    rows with a NULL label or a NULL/NaN score are left out.
 
     AUC = sum over distinct scores p of pos(p) * (neg(< p) + neg(= p)/2) / (P * N),
-    the Mann-Whitney statistic with average ranks for ties.
+    the Mann-Whitney statistic with average ranks for ties. The number of buckets
+    grows with the number of distinct scores so that no window partition holds more
+    than about ``max_scores_per_bucket`` of them.
     """
     y = _c(label).cast("int")
     g = (df.select(y.alias("y"), _c(score).cast("double").alias("p"))
+           .where(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
            .groupBy("p").agg(F.count_if(F.col("y") == 1).alias("np"),
                              F.count_if(F.col("y") == 0).alias("nn")))
     # Both passes below (quantiles, then the sums) read the grouped scores; a
     # reliable checkpoint in the shared folder computes them once (scoring a model
     # twice is the expensive part) and survives the loss of an executor.
     g = cut_lineage(g)
+    if buckets > 1:
+        buckets = max(buckets, -(-g.count() // max_scores_per_bucket))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted({q for q in g.approxQuantile("p", probs, 1.0 / (4 * buckets)) if q == q}) if probs else []
     if cuts:

@@ -138,3 +138,11 @@ def test_bounded_pandas_export(spark):
     from tabulon.sources.export import bounded_pandas
     pdf = bounded_pandas(spark.range(100), max_rows=7)
     assert len(pdf) == 7
+
+
+def test_auc_ignores_missing_and_adapts_buckets(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (0, float("nan")), (1, 0.4), (0, 0.4)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    r = M.auc(df, buckets=2, max_scores_per_bucket=1).first()
+    assert (r.n_pos, r.n_neg) == (2, 2)
+    assert r.auc == pytest.approx(_pairwise_auc([1, 0, 1, 0], [0.9, 0.1, 0.4, 0.4]), abs=1e-9)
