@@ -144,3 +144,10 @@ def test_correlation_with_missing_values_is_pairwise(spark):
     for x in "abc":
         for y in "abc":
             assert m[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-6)
+
+
+def test_distinct_counts_by_fingerprint(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact = {r.column_name: r.n_distinct for r in P.distinct_counts(docs).collect()}
+    fp = {r.column_name: r.n_distinct for r in P.distinct_counts(docs, by_fingerprint=True).collect()}
+    assert exact == fp and exact["text"] > 900
