@@ -40,7 +40,11 @@ TRAIN_SIDE = f"(select * from lineitem where {_BUCKET} < 80)"
 
 def claims(spark, sf):
     """lineitem as claim records: raw features, the charged amount, a Y/N flag."""
-    li = t(spark, sf, "lineitem")
+    return claims_from(t(spark, sf, "lineitem"))
+
+
+def claims_from(li):
+    """The claim projection of a lineitem DataFrame (batch or stream)."""
     net = net_amount()
     return li.select(*LINE_KEY, "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                      "l_returnflag", "l_linestatus", net.alias("net_amount"),
@@ -318,3 +322,31 @@ def q_rf_classify_documents(spark, sf):
     return pred.agg(F.count(F.lit(1)).alias("n_scored"),
                     F.count_if(F.col("p1").between(0.0, 1.0)).alias("n_prob_in_range"),
                     F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_pred_valid"))
+
+
+# ------------------------------------------------------------------ streaming
+
+@query("score_claims_stream", oracle=_count_oracle("n_scored", "n_status_valid"))
+def q_score_claims_stream(spark, sf):
+    """Score held-out claims arriving as a file stream: lineitem read with
+    ``readStream`` (at most 2 files per micro-batch), the batch-fitted pipeline applied
+    row by row, appended to Parquet in the shared folder with its checkpoint there;
+    an ``availableNow`` trigger drains the source and stops."""
+    from pyspark.sql.types import StructType
+
+    from tabulon.streaming import start_claims_scoring
+
+    train, _ = claims_split(spark, sf)
+    model = regression_model(train)
+    source = t(spark, sf, "lineitem")
+    stream = (spark.readStream.schema(StructType(source.schema.fields))
+              .option("maxFilesPerTrigger", 2).parquet(f"{sf.rstrip('/')}/lineitem*.parquet"))
+    held_out = hash_split(claims_from(stream), LINE_KEY, seed=123, train_fraction=0.8)[1]
+    out_dir = shared_path(spark, "streams", "claims_out", unique=True)
+    q = start_claims_scoring(score_claims(model, held_out, "net_amount", RECORD_ID), out_dir,
+                             available_now=True)
+    q.awaitTermination()
+    scored = spark.read.parquet(out_dir)
+    ok = (((F.col("Expected_Expenses") < F.col("Actual_Expenses")) & (F.col("Claim_Status") == "Abnormal Claim"))
+          | ((F.col("Expected_Expenses") >= F.col("Actual_Expenses")) & (F.col("Claim_Status") == "Normal Claim")))
+    return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(ok).alias("n_status_valid"))

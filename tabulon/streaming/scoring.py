@@ -30,11 +30,17 @@ def score_claims_stream(spark: SparkSession, model: PipelineModel, source_dir: s
 
 
 def start_claims_scoring(scored: DataFrame, output_dir: str, checkpoint: str | None = None,
-                         trigger_seconds: int | None = None) -> StreamingQuery:
-    """Append scored claims to Parquet; exactly-once via the file sink's log."""
+                         trigger_seconds: int | None = None, available_now: bool = False) -> StreamingQuery:
+    """Append scored claims to Parquet; exactly-once via the file sink's log.
+
+    ``available_now`` processes everything present at start (in bounded micro-batches)
+    and stops — a restartable batch run; otherwise the query keeps running.
+    """
     ckpt = checkpoint or shared_path(scored.sparkSession, "streams", "claims_scoring", unique=True)
     w = (scored.writeStream.format("parquet").outputMode("append")
          .option("path", output_dir).option("checkpointLocation", ckpt))
-    if trigger_seconds:
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
     return w.start()
