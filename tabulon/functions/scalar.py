@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tabulon.functions.fixed import ABNORMAL_CLAIM, NORMAL_CLAIM
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -55,7 +57,7 @@ def decode_labels(col: str | Column, mapping: Mapping) -> Column:
 
 
 def threshold_flag(expected: str | Column, actual: str | Column,
-                   above: str = "Abnormal Claim", otherwise: str = "Normal Claim") -> Column:
+                   above: str = ABNORMAL_CLAIM, otherwise: str = NORMAL_CLAIM) -> Column:
     """``above`` when expected < actual; NULL on either side gives ``otherwise``."""
     return F.when(_c(expected) < _c(actual), F.lit(above)).otherwise(F.lit(otherwise))
 

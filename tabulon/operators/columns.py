@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
 
+from tabulon.functions.fixed import POLICY_LABELS, PREDICTION_TEXT_COL
 from tabulon.functions.scalar import binary_label, decode_labels, map_labels, null_when
 
 NUMERIC_TYPES = (IntegerType, FloatType, DoubleType, LongType)
@@ -54,9 +55,8 @@ def encode_map(df: DataFrame, col: str, mapping: Mapping, into: str | None = Non
 
 
 def decode_prediction(df: DataFrame, col: str = "prediction",
-                      mapping: Mapping | None = None, into: str = "Model Prediction") -> DataFrame:
-    # The reference's two policy labels for class 0 and class 1.
-    mapping = mapping or {0: "Normal Policy", 1: "Abnormal Policy"}
+                      mapping: Mapping | None = None, into: str = PREDICTION_TEXT_COL) -> DataFrame:
+    mapping = mapping or POLICY_LABELS
     return df.withColumn(into, decode_labels(col, mapping))
 
 

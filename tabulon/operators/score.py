@@ -8,6 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.functions.fixed import (
+    ACTUAL_COL, EXPECTED_COL, POLICY_LABELS, PREDICTION_TEXT_COL, STATUS_COL,
+)
 from tabulon.functions.scalar import decode_labels, threshold_flag
 from tabulon.session import ensure_parallelism
 
@@ -21,14 +24,13 @@ def score_claims(model: PipelineModel, claims: DataFrame, actual: str,
     """
     scored = model.transform(ensure_parallelism(claims))
     out = scored.select(*id_cols,
-                        F.round("prediction", 2).alias("Expected_Expenses"),
-                        F.round(actual, 2).alias("Actual_Expenses"))
-    return out.withColumn("Claim_Status", threshold_flag("Expected_Expenses", "Actual_Expenses"))
+                        F.round("prediction", 2).alias(EXPECTED_COL),
+                        F.round(actual, 2).alias(ACTUAL_COL))
+    return out.withColumn(STATUS_COL, threshold_flag(EXPECTED_COL, ACTUAL_COL))
 
 
 def score_fraud(model: PipelineModel, records: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
     """Class prediction as text; the ids the reference dropped are kept."""
     scored = model.transform(ensure_parallelism(records))
-    # The reference's text for classes 0 and 1.
-    label = decode_labels("prediction", {0: "Normal Policy", 1: "Abnormal Policy"})
-    return scored.select(*id_cols, label.alias("Model Prediction"))
+    label = decode_labels("prediction", POLICY_LABELS)
+    return scored.select(*id_cols, label.alias(PREDICTION_TEXT_COL))
