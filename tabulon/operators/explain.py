@@ -34,6 +34,10 @@ from tabulon.operators.models import positive_probability
 from tabulon.session import ensure_parallelism
 
 
+# Largest background sample that is broadcast to every task.
+MAX_BACKGROUND = 10_000
+
+
 def background_sample(df: DataFrame, features: Sequence[str], size: int, seed: int = 17) -> DataFrame:
     """``size`` rows picked by smallest hash (a bounded top-k), numbered 0..size-1."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in features], F.lit(seed))
@@ -65,10 +69,16 @@ def shapley_wide(model: PipelineModel, rows: DataFrame, id_col: str, features: S
     """
     features = list(features)
     nf = len(features)
-    n_bg = background.count()
+    # The sample is computed once and travels as a broadcast local relation; its
+    # size is checked, not assumed.
+    picked = background.select("bg_idx", *[F.col(f"`{c}`").alias(f"bg__{c}") for c in features])
+    bg_rows = picked.limit(MAX_BACKGROUND + 1).collect()
+    n_bg = len(bg_rows)
     if n_bg == 0:
         raise ValueError("empty background sample")
-    bg = F.broadcast(background.select("bg_idx", *[F.col(f"`{c}`").alias(f"bg__{c}") for c in features]))
+    if n_bg > MAX_BACKGROUND:
+        raise ValueError(f"background sample larger than {MAX_BACKGROUND} rows")
+    bg = F.broadcast(rows.sparkSession.createDataFrame(bg_rows, schema=picked.schema))
     x_cols = [f"x__{i}" for i in range(nf)]
 
     base = ensure_parallelism(rows).select(

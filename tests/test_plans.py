@@ -44,3 +44,31 @@ def test_filter_and_projection_reach_scan(spark):
     df = li.where(F.col("l_quantity") > 45).select("l_orderkey", "l_quantity")
     assert any("l_quantity" in f for f in pushed_filters(df))
     assert read_schemas(df) == ["struct<l_orderkey:bigint,l_quantity:double>"]
+
+
+def test_shapley_plan_has_no_window_and_one_record_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from tabulon.catalog import modeling as MO
+    from tabulon.operators import explain as X
+    train, test = MO.claims_split(spark, SF_SMALL)
+    model = MO.regression_model(train, numTrees=3)
+    rows = test.withColumn("row_id", F.concat_ws("|", *[F.col(c).cast("string") for c in MO.RECORD_ID]))
+    bg = X.background_sample(train, MO.REG_FEATURES, 4)
+    wide = X.shapley_wide(model, rows, "row_id", MO.REG_FEATURES, bg, permutations=2)
+    text = physical_plan(wide, "simple")
+    assert "Window" not in text and "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    assert "BroadcastHashJoin" in text
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name,partial", [
+    ("kde_density", "partial_count"), ("value_counts", "partial_count"),
+    ("distinct_counts", "HashAggregate"), ("histogram", "partial_count"),
+])
+def test_grouping_combines_before_the_shuffle(spark, name, partial):
+    text = physical_plan(E.queries()[name](spark, SF_ORACLE), "simple")
+    lines = text.splitlines()
+    first_exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    assert any(partial in l for l in lines[first_exchange + 1:]), "no map-side aggregate under the shuffle"
