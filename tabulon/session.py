@@ -82,15 +82,19 @@ def ensure_parallelism(df, target: int | None = None):
     many cores there are. Large inputs already have more partitions than cores, so
     this is a no-op for them and never adds a shuffle at scale.
 
-    Only scans and narrow transformations of scans are checked: after an exchange
-    the partitioning is already the shuffle's (and asking an adaptive plan with
-    exchanges for its partition count would execute those shuffles first).
+    Only scans, narrow transformations and broadcast joins of scans are checked:
+    after a shuffle the partitioning is already the shuffle's (and asking an
+    adaptive plan with shuffles for its partition count would execute them first;
+    a broadcast side is small by construction).
     """
     if df.isStreaming:  # micro-batches are partitioned by the source
         return df
     from tabulon.plans.inspect import physical_plan  # reads the plan; runs nothing
 
-    if "Exchange" in physical_plan(df, "simple"):
+    import re
+
+    # a shuffle (not a broadcast of a small side) already set the partitioning
+    if re.search(r"(?<!Broadcast)Exchange ", physical_plan(df, "simple")):
         return df
     target = target or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
