@@ -178,14 +178,15 @@ def q_score_fraud(spark, sf):
 
 # --------------------------------------------------------------------- tuning
 
-def _prepared_train(spark, sf, k=3):
+def _prepared_train(spark, sf, k=3, with_recipe=False):
     """Training side with features fitted once and a hash fold column; cached for the trials."""
     train, _ = claims_split(spark, sf)
     train = with_label(train)
     train = ensure_parallelism(train)
     recipe = FE.feature_recipe(CLS_CAT, CLS_NUM).fit(train)
     data = with_folds(recipe.transform(train).select("label", "features", *LINE_KEY), LINE_KEY, k)
-    return data.select("label", "features", "fold").cache()
+    data = data.select("label", "features", "fold").cache()
+    return (data, recipe) if with_recipe else data
 
 
 def _auc_evaluator():
@@ -223,15 +224,14 @@ select 4 as n_settings, 3 as n_top, true as best_in_range, count(*) as n_scored
 def q_grid_search(spark, sf):
     """2x2 grid (numTrees x maxDepth), 3 folds, by AUC; results table top 3; the chosen
     setting refitted on the training side scores the held-out side."""
-    data = _prepared_train(spark, sf)
+    data, recipe = _prepared_train(spark, sf, with_recipe=True)
     est = MD.forest_classifier()
     cv = TU.cross_validate(est, {"numTrees": [5, 10], "maxDepth": [3, 5]}, _auc_evaluator(), data,
                            parallelism=4)
     res = TU.results_table(spark, cv, top=3).collect()
     refit = TU.refit_best(est, cv, data)
     data.unpersist()
-    train, test = claims_split(spark, sf)
-    recipe = FE.feature_recipe(CLS_CAT, CLS_NUM).fit(ensure_parallelism(with_label(train)))
+    _, test = claims_split(spark, sf)
     scored = refit.transform(recipe.transform(ensure_parallelism(with_label(test))))
     return scored.agg(F.count(F.lit(1)).alias("n_scored")).select(
         F.lit(len(cv.avgMetrics)).alias("n_settings"), F.lit(len(res)).alias("n_top"),
