@@ -41,3 +41,40 @@ def with_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: s
         return big.join(small, on=on, how=how)
     local = big.sparkSession.createDataFrame(rows, schema=small.schema)
     return big.join(F.broadcast(local), on=on, how=how)
+
+
+SALTABLE = ("inner", "left", "leftsemi", "leftanti")
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+                salt: int = 16, threshold: int = 1_000_000) -> DataFrame:
+    """Equi-join whose hot keys (more than ``threshold`` rows on the left) are split
+    over ``salt`` tasks.
+
+    Left rows of a hot key get a salt from a hash of the row (stable under task
+    retries); right rows of a hot key are repeated once per salt value; other keys
+    keep salt 0. At most ``rows / threshold`` keys can be hot, so the hot-key list
+    is bounded and broadcast. Only join types where the repeated right rows cannot
+    duplicate output are allowed (inner, left, semi, anti — the skewed side is the
+    left one).
+    """
+    if how not in SALTABLE:
+        raise ValueError(f"salted join supports {SALTABLE}, not {how!r}")
+    on = list(on)
+    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+               .where(F.col("__n") > threshold).select(*on).withColumn("__hot", F.lit(True)))
+    hot_rows = hot.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(hot_rows) > MAX_BROADCAST_ROWS:  # cannot happen for threshold >= rows / 1e5
+        raise ValueError("too many hot keys; raise the threshold")
+    if not hot_rows:
+        return left.join(right, on=on, how=how)
+    hot_b = F.broadcast(left.sparkSession.createDataFrame(hot_rows, schema=hot.schema))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    l2 = (left.join(hot_b, on=on, how="left")
+              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salt))).otherwise(F.lit(0)))
+              .drop("__hot"))
+    r2 = (right.join(hot_b, on=on, how="left")
+               .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt - 1)))
+                                               .otherwise(F.array(F.lit(0)))))
+               .drop("__hot"))
+    return l2.join(r2, on=on + ["__salt"], how=how).drop("__salt")

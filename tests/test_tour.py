@@ -101,3 +101,19 @@ def test_hyphenated_columns(spark):
     m = {r.column_name: r.n_missing for r in missing_counts(df).collect()}
     assert m == {"capital-gains": 1, "capital-loss": 1}
     assert describe_columns(df).count() == 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "leftsemi", "leftanti"])
+def test_salted_join_equals_plain_join(spark, how):
+    from tabulon.operators.joins import salted_join
+    left = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 else id % 50 end as k", "id")
+    right = spark.range(60).selectExpr("id % 40 as k", "id * 10 as v")
+    plain = sorted(tuple(r) for r in left.join(right, "k", how).collect())
+    salted = sorted(tuple(r) for r in salted_join(left, right, ["k"], how, salt=8, threshold=200).collect())
+    assert salted == plain
+
+
+def test_salted_join_rejects_outer(spark, employees, salaries):
+    from tabulon.operators.joins import salted_join
+    with pytest.raises(ValueError):
+        salted_join(employees, salaries, ["id"], "outer")
