@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tabulon.functions.scalar import hash_bucket
 
