@@ -151,3 +151,10 @@ def test_distinct_counts_by_fingerprint(spark):
     exact = {r.column_name: r.n_distinct for r in P.distinct_counts(docs).collect()}
     fp = {r.column_name: r.n_distinct for r in P.distinct_counts(docs, by_fingerprint=True).collect()}
     assert exact == fp and exact["text"] > 900
+
+
+def test_exact_median_with_a_hot_value(spark):
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([np.full(400, 5.0), rng.normal(0, 10, 800)])  # a third on one value
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    assert P.exact_median(df, "x", buckets=8, collect_max=10) == pytest.approx(float(np.median(vals)))
