@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from tabulon.llm import digest_index
+from tabulon.llm import bpe, digest_index, html_main, url_filter
 
-_QUERIES = {"op6_exact_dedup": digest_index.op6_exact_dedup}
-_ORACLES = {"op6_exact_dedup": digest_index.OP6_SQL}
+_QUERIES = {
+    "op2_bpe": bpe.op2_bpe,
+    "op6_exact_dedup": digest_index.op6_exact_dedup,
+    "op8_url_filter": url_filter.op8_url_filter,
+    "op10_html_main": html_main.op10_html_main,
+}
+_ORACLES = {
+    "op6_exact_dedup": digest_index.OP6_SQL,
+    "op8_url_filter": url_filter.OP8_SQL,
+}
 
 
 def queries():
