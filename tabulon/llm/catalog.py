@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tabulon.llm import bpe, digest_index, html_main, kd_shards, line_dedup, mixing, url_filter
+from tabulon.llm import bpe, digest_index, html_main, jaccard_join, kd_shards, line_dedup, mixing, url_filter
 
 _QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_bpe": bpe.op2_bpe,
     "op5_kd_shards": kd_shards.op5_kd_shards,
     "op6_exact_dedup": digest_index.op6_exact_dedup,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mixing": mixing.op9_mixing,
     "op10_html_main": html_main.op10_html_main,
