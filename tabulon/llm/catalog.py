@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tabulon.llm import bpe, digest_index, html_main, jaccard_join, kd_shards, line_dedup, mixing, url_filter
+from tabulon.llm import bpe, digest_index, html_main, jaccard_join, kd_shards, line_dedup, mixing, quality_outliers, toxicity, url_filter
 
 _QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_bpe": bpe.op2_bpe,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality_outliers": quality_outliers.op4_quality_outliers,
     "op5_kd_shards": kd_shards.op5_kd_shards,
     "op6_exact_dedup": digest_index.op6_exact_dedup,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
