@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from tabulon.functions.scalar import hash_bucket
 
 
+SPLIT_BUCKETS = 1_000_000
+
+
 def with_bucket(df: DataFrame, keys: Sequence[str], seed: int, buckets: int = 100,
                 col: str = "bucket") -> DataFrame:
     return df.withColumn(col, hash_bucket(keys, seed, buckets))
@@ -20,9 +23,10 @@ def with_bucket(df: DataFrame, keys: Sequence[str], seed: int, buckets: int = 10
 
 def hash_split(df: DataFrame, keys: Sequence[str], seed: int = 123,
                train_fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(train, test): a row is in train when its key's bucket (of 100) < 100*fraction."""
-    cut = int(round(train_fraction * 100))
-    b = hash_bucket(keys, seed, 100)
+    """(train, test): a row is in train when its key's bucket (of a million) lies below
+    that share of a million."""
+    cut = int(round(train_fraction * SPLIT_BUCKETS))
+    b = hash_bucket(keys, seed, SPLIT_BUCKETS)
     return df.where(b < cut), df.where(b >= cut)
 
 

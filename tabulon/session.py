@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import posixpath
 import tempfile
 import uuid
@@ -12,16 +11,20 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "tabulon",
                   shuffle_partitions: int | None = None,
-                  driver_memory: str = "16g") -> SparkSession:
-    """Session with AQE, Arrow and a UTC clock; sized for local runs and tests.
+                  driver_memory: str | None = None) -> SparkSession:
+    """Session with AQE, Arrow and a UTC clock.
 
-    On a cluster pass ``master=None`` and let spark-submit supply it; the shuffle
-    partition count then comes from the cluster defaults (AQE coalesces it).
+    The master, the number of shuffle partitions and the driver's memory are set only
+    where they are given; otherwise what spark-submit or the cluster's defaults say
+    holds.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = (
         builder
         .config("spark.sql.adaptive.enabled", "true")
@@ -29,10 +32,8 @@ def build_session(master: str | None = None, app: str = "tabulon",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -73,30 +74,10 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def ensure_parallelism(df, target: int | None = None):
-    """Spread a DataFrame over at least ``target`` partitions (default: the
-    cluster's parallelism) before CPU-heavy work (model fits, wide aggregates,
-    kernel sums).
-
-    A single unsplittable file (one Parquet row group) reads as one task however
-    many cores there are. Large inputs already have more partitions than cores, so
-    this is a no-op for them and never adds a shuffle at scale.
-
-    Only scans, narrow transformations and broadcast joins of scans are checked:
-    after a shuffle the partitioning is already the shuffle's (and asking an
-    adaptive plan with shuffles for its partition count would execute them first;
-    a broadcast side is small by construction).
+def spread(df, keys, partitions: int):
+    """The rows dealt over a stated number of partitions by a hash of their key, each in
+    key order, so that what is fitted on them depends neither on how many cores there
+    are nor on the order in which tasks end.
     """
-    if df.isStreaming:  # micro-batches are partitioned by the source
-        return df
-    from tabulon.plans.inspect import physical_plan  # reads the plan; runs nothing
-
-    import re
-
-    # a shuffle (not a broadcast of a small side) already set the partitioning
-    if re.search(r"(?<!Broadcast)Exchange ", physical_plan(df, "simple")):
-        return df
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    cols = [f"`{k}`" for k in keys]
+    return df.repartition(partitions, *cols).sortWithinPartitions(*cols)

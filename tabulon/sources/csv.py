@@ -3,28 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+# Spark takes a quoted empty field for NULL where NULL is written as nothing; while the
+# file is read it stands for a private-use character instead.
+_EMPTY = "\ue0f0"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, *,
-             header: bool = True, null_value: str = "", nan_value: str = "NaN",
-             mode: str = "FAILFAST") -> DataFrame:
+             header: bool = True, null_value: str = "",
+             nan_value: str = "NaN", mode: str = "FAILFAST", multi_line: bool = True,
+             line_sep: str | None = None) -> DataFrame:
     """Distributed CSV scan; no inference pass, bad rows fail the job by default.
 
+    Fields follow RFC 4180: a quote inside a quoted field is doubled, and a quoted field
+    may hold line breaks (``multi_line``; a file is then one task, so write many files or
+    turn it off for data without line breaks). An unquoted field equal to
+    ``null_value`` is missing; a quoted empty field of a text column is an empty text.
+    Without ``line_sep`` any line end is one, and line breaks within quotes come out as
+    a newline; with it they stay as they are.
+
     ``path`` may be any Hadoop file-system URI the cluster can read; a remote HTTP
     file should be copied to such storage first (the reference fetched one URL).
     """
-    return (spark.read.schema(schema)
+    read = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    df = (read.schema(schema)
             .option("header", header)
             .option("nullValue", null_value)
+            .option("emptyValue", _EMPTY)
             .option("nanValue", nan_value)
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line)
             .option("mode", mode)
             .csv(path))
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: F.when(F.col(f"`{c}`") == _EMPTY, "").otherwise(F.col(f"`{c}`")) for c in texts})
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, null_value: str = "") -> str:
+    """RFC 4180 files: quotes are doubled, an empty text is written as "" and NULL as
+    ``null_value`` without quotes; white space is kept."""
     (df.write.mode("overwrite")
        .option("header", header)
        .option("nullValue", null_value)
+       .option("emptyValue", '""')
+       .option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path

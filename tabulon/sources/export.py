@@ -1,4 +1,4 @@
-"""Exports that leave the DataFrame world only in bounded form."""
+"""Exports to the driver and to flat columns."""
 
 from __future__ import annotations
 
@@ -7,13 +7,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_pandas(df: DataFrame, max_rows: int = 10_000):
-    """``toPandas`` of at most ``max_rows`` rows (Arrow transfer).
-
-    Full results are written with ``df.write.parquet``; only previews and small
-    report tables come to the driver.
+def preview_pandas(df: DataFrame, rows: int):
+    """The first ``rows`` rows as pandas (Arrow transfer); the number is the caller's to
+    state. Full results are written with ``sinks.write_table``.
     """
-    return df.limit(max_rows).toPandas()
+    return df.limit(rows).toPandas()
 
 
 def vector_column_to_array(col: str | Column) -> Column:

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tabulon.operators.score import score_claims
-from tabulon.session import shared_path
 
 
 def score_claims_stream(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType,
@@ -33,10 +32,13 @@ def start_claims_scoring(scored: DataFrame, output_dir: str, checkpoint: str | N
                          trigger_seconds: int | None = None, available_now: bool = False) -> StreamingQuery:
     """Append scored claims to Parquet; exactly-once via the file sink's log.
 
+    The checkpoint lies beside the output (``<output_dir>.checkpoint``) unless one is
+    named, so a restart with the same output goes on where the last run stopped.
+
     ``available_now`` processes everything present at start (in bounded micro-batches)
     and stops — a restartable batch run; otherwise the query keeps running.
     """
-    ckpt = checkpoint or shared_path(scored.sparkSession, "streams", "claims_scoring", unique=True)
+    ckpt = checkpoint or f"{output_dir.rstrip('/')}.checkpoint"
     w = (scored.writeStream.format("parquet").outputMode("append")
          .option("path", output_dir).option("checkpointLocation", ckpt))
     if available_now:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabulon.session import cut_lineage, ensure_parallelism, shared_path
+from tabulon.session import cut_lineage, spread, shared_path
 
 
 def test_shared_path_under_checkpoint_dir(spark):
@@ -17,10 +17,23 @@ def test_cut_lineage_keeps_rows(spark):
     assert cut.count() == 100 and cut.agg(F.sum("y")).first()[0] == 9900
 
 
-def test_ensure_parallelism_only_on_narrow_plans(spark):
-    one = spark.range(0, 1000, numPartitions=1)
-    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 1000, numPartitions=6)
-    assert ensure_parallelism(many, 4) is many
-    shuffled = spark.range(0, 1000, numPartitions=2).groupBy((F.col("id") % 3).alias("k")).count()
-    assert ensure_parallelism(shuffled, 4) is shuffled  # no hidden execution of the shuffle
+def test_spread_has_the_stated_partitions_whatever_the_cores(spark):
+    df = spark.range(0, 1000, numPartitions=3)
+    out = spread(df, ["id"], 5)
+    assert out.rdd.getNumPartitions() == 5 and out.count() == 1000
+    again = spread(spark.range(0, 1000, numPartitions=7).orderBy(F.desc("id")), ["id"], 5)
+    assert out.rdd.glom().collect() == again.rdd.glom().collect()
+
+
+def test_build_session_sets_only_what_is_given():
+    """A submitted master and partition count stay; checked in a process of its own."""
+    import subprocess
+    import sys
+
+    code = ("import os; os.environ['PYSPARK_SUBMIT_ARGS'] = '--master local[2] --conf spark.sql.shuffle.partitions=77 "
+            "--conf spark.ui.enabled=false pyspark-shell'\n"
+            "from tabulon.session import build_session\n"
+            "s = build_session(); print('HAS', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__file__.rsplit("/tests/", 1)[0])
+    assert "HAS local[2] 77" in out.stdout, out.stderr[-500:]
