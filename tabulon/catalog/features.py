@@ -214,7 +214,7 @@ def q_auc_score(spark, sf):
 @query("auc_score_distinct", oracle=_AUC_SQL.format(s=_SCORED.format(p="l_extendedprice")))
 def q_auc_score_distinct(spark, sf):
     """Nearly all scores distinct: exercises the bucketed running count."""
-    return M.auc(_scored(spark, sf, "l_extendedprice"), buckets=64)
+    return M.auc(_scored(spark, sf, "l_extendedprice"))
 
 
 @query("regression_metrics", oracle=f"""

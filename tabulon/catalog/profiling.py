@@ -43,8 +43,8 @@ def q_table_shape(spark, sf):
 def _describe_sql(c, ty):
     if ty in _NUMERIC:
         x = f"cast({c} as double)"
-        return (f"select '{c}' as column_name, count({c}) as n, round(cast(sum(cast({c} as decimal(38,10))) as double) / count({c}), 9) as mean, "
-                f"round(stddev_samp({x}), 6) as stddev, min({x}) as min_num, max({x}) as max_num, "
+        return (f"select '{c}' as column_name, count({c}) as n, cast(printf('%.8e', avg({x})) as double) as mean, "
+                f"cast(printf('%.8e', stddev_samp({x})) as double) as stddev, min({x}) as min_num, max({x}) as max_num, "
                 f"cast(null as varchar) as min_str, cast(null as varchar) as max_str from lineitem")
     return (f"select '{c}' as column_name, count({c}) as n, cast(null as double) as mean, "
             f"cast(null as double) as stddev, cast(null as double) as min_num, cast(null as double) as max_num, "
@@ -177,8 +177,7 @@ select round(median(l_extendedprice), 6) as median_price, round(median(l_quantit
 def q_median_exact(spark, sf):
     """Exact medians of two lineitem columns by distributed selection."""
     li = t(spark, sf, "lineitem")
-    m1 = P.exact_median(li, "l_extendedprice", buckets=4096, collect_max=1_000)
-    m2 = P.exact_median(li, "l_quantity", buckets=4096, collect_max=1_000)
+    m1, m2 = P.exact_medians(li, ["l_extendedprice", "l_quantity"]).values()
     return li.agg(F.count(F.lit(1)).alias("n")).select(
         F.round(F.lit(m1), 6).alias("median_price"), F.round(F.lit(m2), 6).alias("median_qty"))
 

@@ -1,15 +1,12 @@
 """Exact evaluation metrics as Spark aggregates over a scored table.
 
-All metrics are one or two aggregation passes; none brings scored rows to the
-driver. ROC AUC is exact (ties get half credit) and scales: rows are first grouped
-by score (a hot score becomes one row), distinct scores are cut into quantile
-buckets, and the running count of negatives is a per-bucket window plus a
-per-bucket offset — no window over the whole table in one task.
+None brings scored rows to the driver. ROC AUC is exact (ties get half credit): rows
+are grouped by score, so a hot score becomes one row, and the running count of negatives
+is a window within each range of scores plus what lies in the ranges before it.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,43 +17,30 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "score",
-        buckets: int = 1000, max_scores_per_bucket: int = 2_000_000) -> DataFrame:
+def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "score") -> DataFrame:
     """One row: (auc, n_pos, n_neg). ``label`` is 1 for positives, 0 for negatives;
     rows with a NULL label or a NULL/NaN score are left out.
 
     AUC = sum over distinct scores p of pos(p) * (neg(< p) + neg(= p)/2) / (P * N),
-    the Mann-Whitney statistic with average ranks for ties. The number of buckets
-    grows with the number of distinct scores so that no window partition holds more
-    than about ``max_scores_per_bucket`` of them.
+    the Mann-Whitney statistic with average ranks for ties. The distinct scores are
+    range-partitioned; what lies below a partition is the sum of the partitions before
+    it, and the running count is a window within each.
     """
     y = _c(label).cast("int")
     g = (df.select(y.alias("y"), _c(score).cast("double").alias("p"))
            .where(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
            .groupBy("p").agg(F.count_if(F.col("y") == 1).alias("np"),
                              F.count_if(F.col("y") == 0).alias("nn")))
-    # Both passes below (quantiles, then the sums) read the grouped scores; a
-    # reliable checkpoint in the shared folder computes them once (scoring a model
-    # twice is the expensive part) and survives the loss of an executor.
-    g = cut_lineage(g)
-    if buckets > 1:
-        buckets = max(buckets, -(-g.count() // max_scores_per_bucket))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({q for q in g.approxQuantile("p", probs, 1.0 / (4 * buckets)) if q == q}) if probs else []
-    if cuts:
-        splits = [float("-inf")] + cuts + [float("inf")]
-        gb = Bucketizer(splits=splits, inputCol="p", outputCol="b", handleInvalid="keep").transform(g)
-    else:
-        gb = g.withColumn("b", F.lit(0.0))
-    # Per-bucket totals: at most `buckets` rows, so the offset window and the
-    # broadcast below are bounded by construction.
-    per_bucket = gb.groupBy("b").agg(F.sum("nn").alias("bn"))
-    offsets = per_bucket.select(
-        "b", (F.sum("bn").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))).alias("off"))
+    # The range boundaries must be the same for the totals and the windows, so the
+    # partitioned scores are written once, to the shared folder.
+    g = cut_lineage(g.repartitionByRange("p").withColumn("b", F.spark_partition_id()))
+    per_range = g.groupBy("b").agg(F.sum("nn").alias("bn"))  # a row per partition
+    offsets = per_range.select(
+        "b", F.sum("bn").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)).alias("off"))
     within = Window.partitionBy("b").orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (gb.withColumn("below_in", F.sum("nn").over(within) - F.col("nn"))
-                .join(F.broadcast(offsets), "b")
-                .withColumn("below", F.coalesce(F.col("off"), F.lit(0)) + F.col("below_in")))
+    ranked = (g.withColumn("below_in", F.sum("nn").over(within) - F.col("nn"))
+               .join(F.broadcast(offsets), "b")
+               .withColumn("below", F.coalesce(F.col("off"), F.lit(0)) + F.col("below_in")))
     return ranked.agg(
         F.round(F.try_divide(F.sum(F.col("np") * (F.col("below") + F.col("nn") / 2.0)),
                              F.sum("np").cast("double") * F.sum("nn").cast("double")), 6).alias("auc"),
@@ -66,16 +50,18 @@ def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "sco
 
 def regression_metrics(df: DataFrame, label: str | Column = "label",
                        prediction: str | Column = "prediction") -> DataFrame:
-    """(n, mse, rmse, r2): MSE and RMSE to 2 places, R² to 4, as the reference prints.
+    """(n, mse, rmse, r2): MSE and RMSE to 2 places, R² to 4, as the reference prints,
+    over the rows that have both a label and a prediction.
 
     RMSE is the root of the *rounded* MSE (reference order). R² = 1 - SSE/SST with
     SST = n * var_pop(label) — not ``regr_r2``, which is a squared correlation.
     """
     y, p = _c(label).cast("double"), _c(prediction).cast("double")
-    a = df.select(y.alias("y"), p.alias("p")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.pow(F.col("y") - F.col("p"), 2)).alias("sse"),
-        F.var_pop("y").alias("vy"))
+    a = (df.select(F.nanvl(y, F.lit(None)).alias("y"), F.nanvl(p, F.lit(None)).alias("p"))
+         .where("y is not null and p is not null").agg(
+             F.count(F.lit(1)).alias("n"),
+             F.sum(F.pow(F.col("y") - F.col("p"), 2)).alias("sse"),
+             F.var_pop("y").alias("vy")))
     mse = F.round(F.try_divide(F.col("sse"), F.col("n")), 2)
     return a.select(
         "n", mse.alias("mse"), F.round(F.sqrt(mse), 2).alias("rmse"),
@@ -83,21 +69,34 @@ def regression_metrics(df: DataFrame, label: str | Column = "label",
 
 
 def confusion_metrics(df: DataFrame, label: str | Column = "label",
-                      prediction: str | Column = "prediction") -> DataFrame:
-    """Confusion counts and accuracy, precision, recall, F1, Cohen's kappa, MCC (6 places)."""
+                      prediction: str | Column = "prediction", positive: int = 1) -> DataFrame:
+    """Confusion counts and accuracy, precision, recall, F1, Cohen's kappa, MCC (6 places).
+
+    ``positive`` is the stated class; all others are negative, so tp, fp, tn and fn are
+    one against the rest. Accuracy and kappa compare the classes themselves: taking
+    class 2 for class 3 is an error. Rows without a label or a prediction are left out.
+    """
     y, p = _c(label).cast("int"), _c(prediction).cast("int")
-    a = df.select(y.alias("y"), p.alias("p")).agg(
-        F.count_if((F.col("y") == 1) & (F.col("p") == 1)).alias("tp"),
-        F.count_if((F.col("y") == 0) & (F.col("p") == 1)).alias("fp"),
-        F.count_if((F.col("y") == 0) & (F.col("p") == 0)).alias("tn"),
-        F.count_if((F.col("y") == 1) & (F.col("p") == 0)).alias("fn"))
+    cells = (df.select(y.alias("y"), p.alias("p")).where("y is not null and p is not null")
+             .groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")))  # classes x classes
+    # chance agreement: sum over classes of (labels of it) * (predictions of it)
+    margins = (cells.select(F.inline(F.array(F.struct(F.col("y").alias("k"), F.col("n").alias("a"), F.lit(0).cast("long").alias("b")),
+                                             F.struct(F.col("p").alias("k"), F.lit(0).cast("long").alias("a"), F.col("n").alias("b")))))
+               .groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+               .agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("chance")))
+    yes, said = F.col("y") == positive, F.col("p") == positive
+    counts = cells.agg(
+        *[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("long").alias(k)
+          for k, c in (("tp", yes & said), ("fp", ~yes & said), ("tn", ~yes & ~said), ("fn", yes & ~said),
+                       ("same", F.col("y") == F.col("p")))])
+    a = counts.select("*", margins.scalar().alias("chance"))
     tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
     n = tp + fp + tn + fn
     div = F.try_divide  # undefined ratios (no positives, no predictions) are NULL, not errors
     precision = div(tp, tp + fp)
     recall = div(tp, tp + fn)
-    po = div(tp + tn, n)
-    pe = div((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
+    po = div(F.col("same").cast("double"), n)
+    pe = div(F.col("chance"), n * n)
     return a.select(
         "tp", "fp", "tn", "fn",
         F.round(po, 6).alias("accuracy"),

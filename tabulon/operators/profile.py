@@ -17,7 +17,6 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from tabulon.functions.scalar import is_missing
 from tabulon.operators.columns import NUMERIC_TYPES, split_by_type
-from tabulon.session import ensure_parallelism
 
 
 def _inline(df_one_row: DataFrame, structs: list[Column]) -> DataFrame:
@@ -33,6 +32,10 @@ def _numeric_non_missing(df: DataFrame, col: str) -> DataFrame:
     return df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+def _finite(df: DataFrame, col: str) -> DataFrame:
+    return _numeric_non_missing(df, col).where(F.abs("x") != F.lit(float("inf")))
+
+
 # --------------------------------------------------------------------------- schema
 
 def schema_table(df: DataFrame) -> DataFrame:
@@ -57,21 +60,18 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------- describe
 
-def exact_mean(x: Column) -> Column:
-    """Mean from an exact decimal sum (10 places, |sum| < 1e28).
-
-    A double sum depends on the order rows are added, so two runs (or two engines)
-    can disagree in the last digits; the decimal sum does not. Only the final
-    division is floating point.
-    """
-    return F.try_divide(F.sum(x.cast("decimal(38,10)")).cast("double"), F.count(x))
+def significant(x: Column, digits: int = 9) -> Column:
+    """A double rounded to so many significant digits: sums of doubles differ in their
+    last digits with the order of the rows."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits - 1}e", x).cast("double"))
 
 
 def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Typed ``describe``: one row per column with count, mean, stddev, min, max.
 
-    Numeric columns fill ``mean`` (exact sum, 9 places), ``stddev`` (6 places),
-    ``min_num, max_num``; text columns fill
+    Numeric columns fill ``mean``, ``stddev`` (both to 9 significant digits),
+    ``min_num, max_num``; NaN is missing in all of them and in the count, infinities
+    are values. Text columns fill
     ``min_str, max_str`` (mean and stddev of text are NULL, as in Spark). Columns of
     other types are skipped, as Spark's ``describe`` does.
     """
@@ -82,19 +82,19 @@ def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     for c in cols:
         x = F.col(f"`{c}`")
         num = isinstance(_dtype(df, c), NUMERIC_TYPES)
-        xd = x.cast("double")
+        xd = F.nanvl(x.cast("double"), F.lit(None).cast("double")) if num else x
         null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
-            F.count(x).alias("n"),
-            (F.round(exact_mean(x), 9) if num else null_d).alias("mean"),
-            (F.round(F.stddev_samp(xd), 6) if num else null_d).alias("stddev"),
+            F.count(xd).alias("n"),
+            (significant(F.avg(xd)) if num else null_d).alias("mean"),
+            (significant(F.stddev_samp(xd)) if num else null_d).alias("stddev"),
             (F.min(xd) if num else null_d).alias("min_num"),
             (F.max(xd) if num else null_d).alias("max_num"),
             (null_s if num else F.min(x).cast("string")).alias("min_str"),
             (null_s if num else F.max(x).cast("string")).alias("max_str"),
         ))
-    return ensure_parallelism(df).agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
 
 
 # -------------------------------------------------------------------- missing/distinct
@@ -116,13 +116,12 @@ def fingerprint(col: Column) -> Column:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, *,
-                    exact: bool = True, rsd: float = 0.01, by_fingerprint: bool = False) -> DataFrame:
+                    exact: bool = True, rsd: float = 0.01, by_fingerprint: bool = True) -> DataFrame:
     """(column_name, n_distinct) sorted by n_distinct desc; NULL is not counted.
 
     ``cols`` defaults to the categorical columns. Exact counting shuffles every
-    distinct value once (after map-side de-duplication); for long texts
-    ``by_fingerprint=True`` shuffles a 16-byte fingerprint per distinct value instead
-    (see ``fingerprint``). ``exact=False`` uses HyperLogLog++
+    distinct value once (after map-side de-duplication), as a 16-byte fingerprint (see
+    ``fingerprint``); ``by_fingerprint=False`` shuffles the values themselves. ``exact=False`` uses HyperLogLog++
     (``approx_count_distinct``), which needs no per-value shuffle at all.
     """
     if cols is None:
@@ -140,22 +139,24 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, *,
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """(value, n, share) of one column; share = n / rows, via a scalar subquery."""
+    """(value, n, share) of one column; the total is the sum of the groups, whose
+    exchange is reused, so the table is read once."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.round(F.try_divide(F.col("n"), total), 6))
 
 
 # ------------------------------------------------------------------- distributions
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
-    """Equal-width histogram: (bin, lo, hi, n), empty bins included.
+    """Equal-width histogram of the finite values: (bin, lo, hi, n), empty bins included;
+    NULL, NaN and infinities are left out.
 
     Edges come from one min/max pass (a single row to the driver); the maximum
     lands in the last bin.
     The count is a ``groupBy(bin)`` with map-side partial counts.
     """
-    base = _numeric_non_missing(df, col)
+    base = _finite(df, col)
     st = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
     if st["lo"] is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
@@ -179,13 +180,11 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
 
     Bandwidth by Scott's rule, h = stddev_samp * n^(-1/5); the grid spans
     [min - cut*h, max + cut*h] (the usual plotting defaults: 200 points, cut 3).
-    Exact, with no cross join: equal values are first combined into (x, weight)
-    with a map-side partial count, each distinct value then emits its kernel at
-    every grid point inside its task, and the per-grid-point sums are combined
-    map-side again, so only ``gridsize`` partial sums per task cross the network.
+    Exact: the kernel sums of all grid points are one aggregate over the scan, so a
+    task forwards ``gridsize`` numbers whatever it reads. Infinities are left out.
     """
     spark = df.sparkSession
-    base = _numeric_non_missing(df, col)
+    base = _finite(df, col)
     st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                   F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
     if not st["n"] or not st["sd"]:
@@ -194,19 +193,15 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
     h_v = st["sd"] * n ** -0.2
     g_lo_v = st["lo"] - cut * h_v
     step_v = ((st["hi"] + cut * h_v) - g_lo_v) / (gridsize - 1)
-    g_lo, step, h = F.lit(g_lo_v), F.lit(step_v), F.lit(h_v)
-
-    # Equal values combine into (x, weight) with a map-side partial count first, so a
-    # value holding a third of the rows becomes one row per task before the shuffle.
-    weighted = base.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    grid = weighted.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
-    contrib = grid.select("i", (F.col("w") * F.exp(F.lit(-0.5) * F.pow(
-        (g_lo + F.col("i") * step - F.col("x")) / h, 2))).alias("k"))
-    sums = contrib.groupBy("i").agg(F.sum("k").alias("s"))
+
+    # one aggregate over the scan: a sum for every grid point, combined map-side
+    points = [g_lo_v + i * step_v for i in range(gridsize)]
+    sums = base.selectExpr("array(" + ", ".join(
+        f"sum(exp(-0.5D * pow(({p!r}D - x) / {h_v!r}D, 2)))" for p in points) + ") as s")
     norm = F.lit(n * h_v * math.sqrt(2 * math.pi))
-    return sums.select(
+    return sums.select(F.posexplode("s").alias("i", "s")).select(
         F.col("i").cast("int").alias("i"),
-        F.round(g_lo + F.col("i") * step, 4).alias("x"),
+        F.round(F.lit(g_lo_v) + F.col("i") * F.lit(step_v), 4).alias("x"),
         F.round(F.col("s") / norm, 12).alias("density"),
     )
 
@@ -224,28 +219,13 @@ def _text(value: str) -> str:
 def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], cols: list[str]) -> DataFrame:
     """One-row DataFrame with column ``c{k}`` = corr of ``pairs[k]``.
 
-    Without NULL/NaN in ``cols`` (checked in the first pass), the correlations come
-    from two passes of plain sums — column means, then centred cross-products — a
-    numerically stable form whose aggregation buffer stays small enough for
-    whole-stage codegen. With missing values the pairwise ``corr`` aggregate is used,
-    so each pair keeps its own complete rows (pandas semantics).
+    Each pair keeps the rows in which both are present (NULL and NaN are missing, as
+    in pandas); one pass.
     """
-    base = ensure_parallelism(df).select(*[F.col(_ident(c)).cast("double").alias(f"v{i}")
-                                           for i, c in enumerate(cols)])
+    base = df.select(*[F.nanvl(F.col(_ident(c)).cast("double"), F.lit(None).cast("double")).alias(f"v{i}")
+                       for i, c in enumerate(cols)])
     idx = {c: i for i, c in enumerate(cols)}
-    first = base.selectExpr("count(1) as n",
-                            *[f"count(nanvl(v{i}, null)) as n{i}" for i in range(len(cols))],
-                            *[f"avg(v{i}) as m{i}" for i in range(len(cols))]).first()
-    complete = all(first[f"n{i}"] == first["n"] for i in range(len(cols)))
-    if not complete:
-        return base.selectExpr(*[f"corr(v{idx[a]}, v{idx[b]}) as c{k}" for k, (a, b) in enumerate(pairs)])
-    means = [first[f"m{i}"] for i in range(len(cols))]
-    centred = base.select(*[(F.col(f"v{i}") - F.lit(m)).alias(f"d{i}") for i, m in enumerate(means)])
-    sq = {i: f"d{i} * d{i}" for i in range(len(cols))}
-    sums = centred.selectExpr(*[f"sum({sq[i]}) as s{i}" for i in range(len(cols))],
-                              *[f"sum(d{idx[a]} * d{idx[b]}) as x{k}" for k, (a, b) in enumerate(pairs)])
-    return sums.selectExpr(*[
-        f"try_divide(x{k}, sqrt(s{idx[a]} * s{idx[b]})) as c{k}" for k, (a, b) in enumerate(pairs)])
+    return base.selectExpr(*[f"corr(v{idx[a]}, v{idx[b]}) as c{k}" for k, (a, b) in enumerate(pairs)])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -279,57 +259,74 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
 
 # ------------------------------------------------------------------------- median
 
-def _kth_smallest(base: DataFrame, k: int, lo: float, hi: float, below: int, n_in: int,
-                  buckets: int, collect_max: int) -> float:
-    """k-th smallest (0-based, over all rows) of column ``x`` by bucket narrowing.
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> dict[str, float | None]:
+    """Exact median of every column (mean of the two middle values for even n), NULL and
+    NaN skipped; infinities are values.
 
-    Invariant: every row in [lo, hi] is candidate, ``below`` rows lie under lo and
-    ``n_in`` rows lie in [lo, hi]. Each round is one filtered scan + a
-    ``groupBy(bucket)`` of at most ``buckets`` groups; the interval shrinks to the
-    min/max of the bucket that holds rank k. Only when at most ``collect_max`` rows
-    remain are they brought to the driver.
+    Spark's ``median`` buffers every distinct value of a group in one task. Here the two
+    middle ranks of all columns are narrowed down together: a round is one filtered
+    scan and a ``groupBy(column, rank, bucket)``, and the interval of a rank shrinks to
+    the least and largest value of the bucket that holds it, until they are one value.
+    Only those counts reach the driver. Both ends of an interval are values of the
+    column and fall in different buckets, so every round gets nearer.
     """
-    x = F.col("x")
+    names = [f"v{i}" for i in range(len(cols))]
+    base = df.select(*[F.nanvl(F.col(_ident(c)).cast("double"), F.lit(None).cast("double")).alias(v)
+                       for c, v in zip(cols, names)])
+    inf = float("inf")
+    first = base.agg(*[f(F.when(F.abs(v) != inf, F.col(v))).alias(f"{k}{v}") for v in names
+                       for k, f in (("lo", F.min), ("hi", F.max))],
+                     *[F.count(v).alias(f"n{v}") for v in names],
+                     *[F.count_if(F.col(v) == -inf).alias(f"under{v}") for v in names],
+                     *[F.count(F.when(F.abs(v) != inf, 1)).alias(f"fin{v}") for v in names]).first()
+    done: dict[tuple[int, int], float] = {}
+    open_: dict[tuple[int, int], tuple[float, float, int]] = {}  # (column, rank) -> lo, hi, rows below lo
+    for i, v in enumerate(names):
+        n, under, finite = first[f"n{v}"], first[f"under{v}"], first[f"fin{v}"]
+        for k in {(n - 1) // 2, n // 2} if n else ():
+            if k < under:
+                done[i, k] = -inf
+            elif k >= under + finite:
+                done[i, k] = inf
+            else:
+                open_[i, k] = first[f"lo{v}"], first[f"hi{v}"], under
     while True:
-        if lo == hi:
-            return lo
-        cand = base.where((x >= F.lit(lo)) & (x <= F.lit(hi)))
-        if n_in <= collect_max:
-            vals = sorted(r[0] for r in cand.collect())
-            return vals[k - below]
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        rows = sorted(cand.groupBy(b.alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                      .collect())
-        acc = below
-        for r in rows:
-            if acc + r["n"] > k:
-                lo, hi, below, n_in = r["mn"], r["mx"], acc, r["n"]
-                break
-            acc += r["n"]
-        else:  # pragma: no cover - counts always cover rank k
-            raise RuntimeError("rank outside the candidate interval")
-
-
-def exact_median(df: DataFrame, col: str, buckets: int = 4096, collect_max: int = 50_000) -> float | None:
-    """Exact median (mean of the two middle values for even n), NULL/NaN skipped.
-
-    Spark's ``median`` buffers every distinct value of the group in one task; this
-    selection needs only a few filtered scans, whatever the size of the data.
-    """
-    base = _numeric_non_missing(df, col)
-    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = st["n"]
-    if n == 0:
-        return None
-    ranks = sorted({(n - 1) // 2, n // 2})
-    vals = [_kth_smallest(base, k, st["lo"], st["hi"], 0, n, buckets, collect_max) for k in ranks]
-    return sum(vals) / len(vals)
+        for key in [key for key, (lo, hi, _) in open_.items() if lo == hi]:
+            done[key] = open_.pop(key)[0]
+        if not open_:
+            break
+        parts = []
+        for (i, k), (lo, hi, _) in open_.items():
+            x = F.col(names[i])
+            # halves, so that the span of the largest doubles is not infinite
+            share = (x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else (x > lo).cast("double")
+            b = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
+            parts.append(F.when(x.between(lo, hi), F.struct(
+                F.lit(i).alias("i"), F.lit(k).cast("long").alias("k"), b.alias("b"), x.alias("x"))))
+        rows = (base.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).select("p.*")
+                .groupBy("i", "k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                .orderBy("i", "k", "b").collect())
+        for key in list(open_):
+            below = open_[key][2]
+            for r in (r for r in rows if (r["i"], r["k"]) == key):
+                if below + r["n"] > key[1]:
+                    open_[key] = r["lo"], r["hi"], below
+                    break
+                below += r["n"]
+    out = {}
+    for i, c in enumerate(cols):
+        vals = [v for (j, _), v in done.items() if j == i]
+        out[c] = sum(vals) / len(vals) if vals else None
+    return out
+
+
+def exact_median(df: DataFrame, col: str, buckets: int = 4096) -> float | None:
+    """``exact_medians`` of one column."""
+    return exact_medians(df, [col], buckets)[col]
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
-                  collect_max: int = 50_000, exact: bool = True, relative_error: float = 0.001) -> DataFrame:
+                  exact: bool = True, relative_error: float = 0.001) -> DataFrame:
     """Replace NULL/NaN in ``cols`` by the column's median.
 
     ``exact=True``: the exact median by distributed selection (a few scans).
@@ -343,8 +340,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
                       relativeError=relative_error)
         return imp.fit(cast).transform(cast)
     fills = {}
-    for c in cols:
-        m = exact_median(df, c, buckets, collect_max)
+    for c, m in exact_medians(df, cols, buckets).items():
         x = F.col(f"`{c}`")
         miss = x.isNull() | (F.isnan(x) if isinstance(_dtype(df, c), (DoubleType, FloatType)) else F.lit(False))
         fills[c] = F.when(miss, F.lit(m)).otherwise(x) if m is not None else x
@@ -354,7 +350,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
 # ----------------------------------------------------------------- column removal
 
 def column_profile(df: DataFrame, categorical: Sequence[str] | None = None,
-                   by_fingerprint: bool = False) -> DataFrame:
+                   by_fingerprint: bool = True) -> DataFrame:
     """(column_name, n_rows, n_missing, n_distinct) in one pass; n_distinct only for
     categorical columns (NULL for the rest); ``by_fingerprint`` as in ``distinct_counts``."""
     if categorical is None:
@@ -383,7 +379,7 @@ def flag_uninformative(profile: DataFrame, max_null_rate: float = 0.95,
 
 
 def drop_uninformative(df: DataFrame, max_null_rate: float = 0.95, max_distinct_ratio: float = 0.9,
-                       keep: Sequence[str] = (), by_fingerprint: bool = False) -> tuple[DataFrame, DataFrame]:
+                       keep: Sequence[str] = (), by_fingerprint: bool = True) -> tuple[DataFrame, DataFrame]:
     """(profile with decisions, table without the flagged columns).
 
     The profile is one row per column, so deciding on the driver is bounded.

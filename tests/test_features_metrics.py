@@ -83,13 +83,12 @@ def _pairwise_auc(y, p):
     return wins / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 50])
-def test_auc_exact_with_ties(spark, buckets):
+def test_auc_exact_with_ties(spark):
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 400)
     p = np.round(rng.random(400) * 0.7 + 0.3 * y, 1)  # many ties
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, p)], "label int, score double")
-    r = M.auc(df, buckets=buckets).first()
+    r = M.auc(df).first()
     assert r.auc == pytest.approx(_pairwise_auc(y, p), abs=1e-6)
     assert (r.n_pos, r.n_neg) == (int(y.sum()), int((1 - y).sum()))
 
@@ -134,15 +133,32 @@ def test_fused_recipe_equals_per_column_stages(spark):
     assert [r.features.toArray().tolist() for r in per_col] == [r.features.toArray().tolist() for r in fused]
 
 
-def test_bounded_pandas_export(spark):
-    from tabulon.sources.export import bounded_pandas
-    pdf = bounded_pandas(spark.range(100), max_rows=7)
+def test_preview_pandas(spark):
+    from tabulon.sources.export import preview_pandas
+    pdf = preview_pandas(spark.range(100), 7)
     assert len(pdf) == 7
 
 
-def test_auc_ignores_missing_and_adapts_buckets(spark):
+def test_auc_ignores_missing(spark):
     rows = [(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (0, float("nan")), (1, 0.4), (0, 0.4)]
     df = spark.createDataFrame(rows, "label int, score double")
-    r = M.auc(df, buckets=2, max_scores_per_bucket=1).first()
+    r = M.auc(df).first()
     assert (r.n_pos, r.n_neg) == (2, 2)
     assert r.auc == pytest.approx(_pairwise_auc([1, 0, 1, 0], [0.9, 0.1, 0.4, 0.4]), abs=1e-9)
+
+
+def test_metrics_with_missing_values_and_more_classes(spark):
+    from tabulon.operators import metrics as M
+
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0), (5.0, None), (None, 1.0)], "label double, prediction double")
+    r = M.regression_metrics(df).first()
+    assert (r.n, r.mse) == (2, 1.0)
+    df = spark.createDataFrame([(1, 1), (0, 0), (2, 1), (2, 2), (None, 1)], "label int, prediction int")
+    r = M.confusion_metrics(df).first()
+    assert (r.tp, r.fp, r.tn, r.fn, r.accuracy) == (1, 1, 2, 0, 0.75)
+
+
+def test_split_follows_small_fractions(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    train, test = hash_split(df, ["k"], train_fraction=0.995)
+    assert 700 < test.count() < 1300

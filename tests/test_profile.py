@@ -90,7 +90,7 @@ def test_exact_median_by_selection(spark, n):
     vals = np.round(rng.exponential(50, n), 1)  # skewed, with ties
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     # tiny buckets / collect limit force several narrowing rounds
-    assert P.exact_median(df, "x", buckets=4, collect_max=3) == pytest.approx(float(np.median(vals)), abs=1e-9)
+    assert P.exact_median(df, "x", buckets=4) == pytest.approx(float(np.median(vals)), abs=1e-9)
 
 
 def test_exact_median_skips_null_nan_and_imputes(spark):
@@ -157,4 +157,29 @@ def test_exact_median_with_a_hot_value(spark):
     rng = np.random.default_rng(11)
     vals = np.concatenate([np.full(400, 5.0), rng.normal(0, 10, 800)])  # a third on one value
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    assert P.exact_median(df, "x", buckets=8, collect_max=10) == pytest.approx(float(np.median(vals)))
+    assert P.exact_median(df, "x", buckets=8) == pytest.approx(float(np.median(vals)))
+
+
+def test_infinite_nan_tiny_and_large_values(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1.0, 1e-12, 5e27), (3.0, 3e-12, 5e27), (nan, None, 5e27), (None, nan, 5e27)],
+                               "a double, b double, c double")
+    r = {x.column_name: x for x in P.describe_columns(df).collect()}
+    assert (r["a"].n, r["a"].mean, r["a"].max_num) == (2, 2.0, 3.0)
+    assert r["b"].mean == pytest.approx(2e-12, rel=1e-8) and r["b"].stddev == pytest.approx(2 ** 0.5 * 1e-12, rel=1e-8)
+    assert r["c"].mean == pytest.approx(5e27) and r["c"].stddev == 0
+    e = spark.createDataFrame([(-inf,), (1.0,), (2.0,), (4.0,), (inf,), (inf,), (nan,), (None,)], "x double")
+    assert P.exact_median(e, "x", buckets=2) == 3.0
+    assert P.exact_median(e.where("x = double('infinity')"), "x") == inf
+    big = spark.createDataFrame([(-1.7e308,), (0.5,), (1.7e308,)], "x double")
+    assert P.exact_median(big, "x", buckets=4) == 0.5
+    h = P.histogram(e, "x", bins=3).collect()
+    assert [x.n for x in h] == [1, 1, 1] and h[0].lo == 1.0 and h[-1].hi == 4.0
+
+
+def test_correlations_skip_nan_by_pair(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.5), (4.0, nan), (5.0, 9.0)], "a double, b double")
+    got = {(r.col_a, r.col_b): r["corr"] for r in P.correlation_matrix(df, ["a", "b"]).collect()}
+    want = df.toPandas().corr().loc["a", "b"]
+    assert got["a", "b"] == pytest.approx(want, abs=1e-6) and got["a", "a"] == got["b", "b"] == 1.0
