@@ -14,7 +14,7 @@ from tabulon.catalog.registry import query, sround, t
 from tabulon.functions.scalar import net_amount, null_when, threshold_flag
 from tabulon.operators import columns as C
 from tabulon.operators.dedup import dedup_by_key, distinct_rows
-from tabulon.operators.joins import equi_join, with_small
+from tabulon.operators.joins import equi_join, salted_join, with_small
 from tabulon.operators.ordering import limit_rows, sort_desc, top_k
 from tabulon.session import shared_path
 from tabulon.sources.csv import read_csv, write_csv
@@ -148,6 +148,21 @@ def q_decode_prediction(spark, sf):
     return C.decode_prediction(df, "prediction")
 
 
+@query("join_skewed", oracle=f"""
+with l as (select *, case when l_quantity < 5 then null else l_returnflag end as flag from lineitem),
+     g as (select l_returnflag as flag, count(*) as n_flag, max(l_shipdate) as last_ship from lineitem group by 1)
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l.flag, n_flag, last_ship
+from l left join g on l.flag = g.flag
+""")
+def q_join_skewed(spark, sf):
+    """Left join on a key of three values and NULL, its hot keys split over tasks."""
+    li = t(spark, sf, "lineitem")
+    flags = li.groupBy(F.col("l_returnflag").alias("flag")).agg(F.count(F.lit(1)).alias("n_flag"),
+                                                                F.max("l_shipdate").alias("last_ship"))
+    left = li.withColumn("flag", F.when(F.col("l_quantity") < 5, None).otherwise(F.col("l_returnflag")))
+    return salted_join(left.select(*LINE_KEY, "l_extendedprice", "flag"), flags, ["flag"], "left", rows_per_task=1000)
+
+
 @query("claim_status", oracle=f"""
 with li as (select *, {NET} as net from lineitem),
      g as (select l_returnflag, l_linestatus, avg(net) as expected from li group by 1, 2)

@@ -1,11 +1,8 @@
 """Sampled Shapley attributions as one Spark job (Štrumbelj & Kononenko, 2014).
 
-For every explained row x and permutation j = 0..P-1:
+For every explained row x, permutation j = 0..P-1 and background row b of B:
 
-* a background row b is chosen by hashing (row id, j) into a background sample of
-  B rows — an equi-join against a broadcast table of proven size B, not a cross
-  join;
-* the feature order is a permutation drawn from hashes of (id, j, feature), so a
+* the feature order is a permutation drawn from hashes of (row, j, feature), so a
   retried task rebuilds the same rows;
 * F+1 hybrid rows are generated in the task (``explode``): step k takes the first
   k features of the permutation from x and the rest from b;
@@ -13,10 +10,10 @@ For every explained row x and permutation j = 0..P-1:
 * the contribution of the feature switched at step k is f(step k) - f(step k-1),
   summed as +f / -f terms per record, so no window or per-permutation regrouping.
 
-phi(x, feature) is the mean contribution over the P permutations. Within a
-permutation the differences telescope, so for every row
-``sum(phi) = f(x) - mean_j f(b_j)`` exactly (up to float rounding) — that is the
-``base`` value reported and the invariant the tests check.
+Every record meets the whole background (a broadcast table of checked size), so all
+records have the same base value, the mean of f over the background, and
+``sum(phi) = f(x) - base`` up to float rounding. For a model that is linear in its
+features phi is exactly weight * (x - background mean).
 
 Features are the raw input columns (before encoding), so one-hot slots of a
 category move together.
@@ -31,19 +28,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.models import positive_probability
-from tabulon.session import ensure_parallelism
+from tabulon.session import cut_lineage
 
-
-# Largest background sample that is broadcast to every task.
-MAX_BACKGROUND = 10_000
-
-
-def background_sample(df: DataFrame, features: Sequence[str], size: int, seed: int = 17) -> DataFrame:
-    """``size`` rows picked by smallest hash (a bounded top-k), numbered 0..size-1."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in features], F.lit(seed))
-    picked = df.select(*features).withColumn("__h", h).orderBy("__h", *features).limit(size)
-    w = Window.orderBy("__h", *features)  # <= size rows: bounded single-task window
-    return picked.withColumn("bg_idx", (F.row_number().over(w) - 1).cast("int")).drop("__h")
+def background_sample(df: DataFrame, features: Sequence[str], size: int, keys: Sequence[str] = (),
+                      seed: int = 17) -> DataFrame:
+    """``size`` rows picked by smallest hash (a bounded top-k), numbered 0..size-1. The hash
+    is of the record's ``keys`` (the features if none are given: equal rows then come
+    together)."""
+    by = list(keys) or list(features)
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in by], F.lit(seed))
+    cols = [c for c in dict.fromkeys([*features, *by])]
+    picked = df.select(*cols).withColumn("__h", h).orderBy("__h", *cols).limit(size)
+    w = Window.orderBy("__h", *cols)  # <= size rows: bounded single-task window
+    return (picked.withColumn("bg_idx", (F.row_number().over(w) - 1).cast("int")).select(*features, "bg_idx"))
 
 
 def _output(scored: DataFrame, output: str) -> Column:
@@ -54,69 +51,65 @@ def _output(scored: DataFrame, output: str) -> Column:
 
 def shapley_wide(model: PipelineModel, rows: DataFrame, id_col: str, features: Sequence[str],
                  background: DataFrame, permutations: int = 4, seed: int = 17,
-                 output: str = "prediction") -> DataFrame:
+                 output: str = "prediction", max_background: int = 10_000) -> DataFrame:
     """One row per explained record: id, ``value__<f>`` (text), ``phi__<f>``, base, fx.
 
-    ``background`` is a prepared sample (see ``background_sample``) with ``bg_idx``
-    0..B-1; its size bounds the broadcast.
+    ``background`` (see ``background_sample``) is broadcast; at most ``max_background``
+    rows. Records are told apart by a row number written to the shared folder, so equal
+    ids do not mix.
 
     No window is needed: the scored hybrid row at step k is the "after" value of the
     feature switched at step k and the "before" value of the one switched at step
     k+1, so phi(feature) is a sum of +f and -f terms over the record's hybrid rows.
     All hybrid rows of a record are generated in one task, so the aggregation by
-    record (fixed-width double buffers, HashAggregate) completes map-side and the
-    shuffle carries one row per record.
+    record (fixed-width double buffers, HashAggregate) completes map-side; the shuffle
+    carries one row of numbers per record, and ids and values join it at the end.
     """
     features = list(features)
     nf = len(features)
-    # The sample is computed once and travels as a broadcast local relation; its
-    # size is checked, not assumed.
-    picked = background.select("bg_idx", *[F.col(f"`{c}`").alias(f"bg__{c}") for c in features])
-    bg_rows = picked.limit(MAX_BACKGROUND + 1).collect()
+    picked = background.select(*[F.col(f"`{c}`").alias(f"bg__{c}") for c in features])
+    bg_rows = picked.limit(max_background + 1).collect()
     n_bg = len(bg_rows)
     if n_bg == 0:
         raise ValueError("empty background sample")
-    if n_bg > MAX_BACKGROUND:
-        raise ValueError(f"background sample larger than {MAX_BACKGROUND} rows")
-    bg = F.broadcast(rows.sparkSession.createDataFrame(bg_rows, schema=picked.schema))
-    x_cols = [f"x__{i}" for i in range(nf)]
-
-    base = ensure_parallelism(rows).select(
-        F.col(id_col).alias("__id"), *features,
-        *[F.col(f"`{c}`").cast("string").alias(x) for c, x in zip(features, x_cols)])
-    base = base.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-    base = base.withColumn("bg_idx", F.pmod(F.xxhash64("__id", "__j", F.lit(seed)), F.lit(n_bg)).cast("int"))
+    if n_bg > max_background:
+        raise ValueError(f"background sample larger than {max_background} rows")
+    bg = F.array(*[F.struct(*[F.lit(r[i]).cast(picked.schema[i].dataType).alias(f"b{i}") for i in range(nf)])
+                   for r in bg_rows])
+    base = cut_lineage(rows.select(F.col(id_col).alias("__id"), *features)
+                       .withColumn("__row", F.monotonically_increasing_id()))
+    drawn = base.select("__row", *features, F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("__j"))
     # permutation of feature indices: sort (hash, index) pairs, keep the indices
     perm = F.transform(
         F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(nf - 1)),
-                                 lambda i: F.struct(F.xxhash64(F.col("__id"), F.col("__j"), i, F.lit(seed)).alias("h"),
+                                 lambda i: F.struct(F.xxhash64(F.col("__row"), F.col("__j"), i, F.lit(seed)).alias("h"),
                                                     i.alias("i")))),
         lambda s: s["i"])
-    paired = base.join(bg, "bg_idx").withColumn("__perm", perm)
+    paired = drawn.withColumn("__perm", perm).withColumn("__b", F.explode(bg))
     steps = paired.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(nf))))
     k = F.col("__k")
     # feature i comes from x once the step has passed its position in the permutation
     hybrid = steps.select(
-        "__id", *x_cols, k,
+        "__row", k,
         F.when(k > 0, F.col("__perm")[k - 1]).alias("__after"),      # switched at step k
         F.when(k < nf, F.col("__perm")[k]).alias("__before"),        # switched at step k+1
         *[F.when(F.array_position("__perm", F.lit(i)) - 1 < k, F.col(f"`{c}`"))
-           .otherwise(F.col(f"bg__{c}")).alias(c) for i, c in enumerate(features)])
+           .otherwise(F.col(f"__b.b{i}")).alias(c) for i, c in enumerate(features)])
     scored = model.transform(hybrid)
-    fv = _output(scored, output)
-    f = scored.select("__id", *x_cols, "__k", "__after", "__before", fv.alias("__f"))
+    f = scored.select("__row", "__k", "__after", "__before", _output(scored, output).alias("__f"))
 
     zero = F.lit(0.0)
     phis = [(F.sum(F.when(F.col("__after") == i, F.col("__f")).otherwise(zero)
-                   - F.when(F.col("__before") == i, F.col("__f")).otherwise(zero)) / permutations)
+                   - F.when(F.col("__before") == i, F.col("__f")).otherwise(zero)) / (permutations * n_bg))
             .alias(f"phi__{c}") for i, c in enumerate(features)]
-    wide = f.groupBy("__id", *x_cols).agg(
+    wide = f.groupBy("__row").agg(
         *phis,
         F.avg(F.when(F.col("__k") == 0, F.col("__f"))).alias("base"),
         F.max(F.when(F.col("__k") == nf, F.col("__f"))).alias("fx"))
-    return wide.select(F.col("__id").alias(id_col),
-                       *[F.col(x).alias(f"value__{c}") for c, x in zip(features, x_cols)],
-                       *[f"phi__{c}" for c in features], "base", "fx")
+    named = base.select("__row", F.col("__id").alias(id_col),
+                        *[F.col(f"`{c}`").cast("string").alias(f"value__{c}") for c in features])
+    return named.join(wide, "__row").select(id_col, *[f"value__{c}" for c in features],
+                                            *[f"phi__{c}" for c in features], "base", "fx")
 
 
 def contributions_from_wide(wide: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:

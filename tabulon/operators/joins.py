@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.session import cut_lineage
+
 JOIN_TYPES = ("inner", "left", "right", "outer", "leftsemi", "leftanti")
 
 # Largest small side (rows) that is collected and broadcast; beyond it the join
@@ -28,53 +30,63 @@ def equi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: s
     return left.join(right, on=on, how=how)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join in which a NULL key equals a NULL key; the key appears once."""
+    other = right.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(on)],
+                         *[F.col(f"`{c}`") for c in right.columns if c not in on])
+    cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(on)]
+    return left.join(other, cond, how).drop(*[f"__k{i}" for i in range(len(on))])
+
+
 def with_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left",
                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``small`` onto ``big``, broadcasting ``small`` only if it has <= max_rows rows.
+    """Join ``small`` onto ``big`` (inner or left; a NULL key equals a NULL key),
+    broadcasting ``small`` only if it has <= max_rows rows.
 
-    The check materialises at most ``max_rows + 1`` rows of ``small`` once; when it
-    fits, the collected rows become a local relation that Spark broadcasts, so the
-    big side is never shuffled. Otherwise the plain (shuffle) join is returned.
+    ``small`` is computed once, written to the shared checkpoint folder and counted
+    there; beyond the bound the same rows are joined by a shuffle.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return big.join(small, on=on, how=how)
-    local = big.sparkSession.createDataFrame(rows, schema=small.schema)
-    return big.join(F.broadcast(local), on=on, how=how)
+    on = [on] if isinstance(on, str) else list(on)
+    small = cut_lineage(small)
+    fits = small.count() <= max_rows
+    return _null_safe(big, F.broadcast(small) if fits else small, on, how)
 
 
 SALTABLE = ("inner", "left", "leftsemi", "leftanti")
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                salt: int = 16, threshold: int = 1_000_000) -> DataFrame:
-    """Equi-join whose hot keys (more than ``threshold`` rows on the left) are split
-    over ``salt`` tasks.
-
-    Left rows of a hot key get a salt from a hash of the row (stable under task
-    retries); right rows of a hot key are repeated once per salt value; other keys
-    keep salt 0. At most ``rows / threshold`` keys can be hot, so the hot-key list
-    is bounded and broadcast. Only join types where the repeated right rows cannot
-    duplicate output are allowed (inner, left, semi, anti — the skewed side is the
-    left one).
+                rows_per_task: int = 1_000_000) -> DataFrame:
+    """Equi-join whose hot keys (more than ``rows_per_task`` rows on the left) are split
+    over as many tasks as their rows need.
+
+    A left row of a hot key takes its salt from its place in the scan (partition and
+    row number, the same when a task is repeated), so equal rows spread too; right rows
+    of a hot key are repeated once per salt; other keys keep salt 0. At most
+    ``rows / rows_per_task`` keys can be hot; the list is counted, and the bar raised
+    until it may be broadcast. Rows with a NULL key match nothing and are not shuffled.
+    Only join types where the repeated right rows cannot duplicate output are allowed
+    (the skewed side is the left one).
     """
     if how not in SALTABLE:
         raise ValueError(f"salted join supports {SALTABLE}, not {how!r}")
     on = list(on)
-    hot = (left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-               .where(F.col("__n") > threshold).select(*on).withColumn("__hot", F.lit(True)))
-    hot_rows = hot.limit(MAX_BROADCAST_ROWS + 1).collect()
-    if len(hot_rows) > MAX_BROADCAST_ROWS:  # cannot happen for threshold >= rows / 1e5
-        raise ValueError("too many hot keys; raise the threshold")
-    if not hot_rows:
-        return left.join(right, on=on, how=how)
-    hot_b = F.broadcast(left.sparkSession.createDataFrame(hot_rows, schema=hot.schema))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    l2 = (left.join(hot_b, on=on, how="left")
-              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salt))).otherwise(F.lit(0)))
-              .drop("__hot"))
-    r2 = (right.join(hot_b, on=on, how="left")
-               .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt - 1)))
-                                               .otherwise(F.array(F.lit(0)))))
-               .drop("__hot"))
-    return l2.join(r2, on=on + ["__salt"], how=how).drop("__salt")
+    has_key = F.lit(True)
+    for k in on:
+        has_key = has_key & F.col(f"`{k}`").isNotNull()
+    counts = cut_lineage(left.where(has_key).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+                         .where(F.col("__n") > rows_per_task))
+    bar = rows_per_task
+    while counts.where(F.col("__n") > bar).count() > MAX_BROADCAST_ROWS:
+        bar *= 4
+    hot = F.broadcast(counts.where(F.col("__n") > bar)
+                      .select(*on, F.ceil(F.col("__n") / rows_per_task).cast("long").alias("__salts")))
+    salted = (left.where(has_key).withColumn("__at", F.monotonically_increasing_id()).join(hot, on=on, how="left")
+              .withColumn("__salt", F.pmod(F.col("__at"), F.coalesce("__salts", F.lit(1)))).drop("__salts", "__at"))
+    repeated = (right.join(hot, on=on, how="left")
+                .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)))
+                .drop("__salts"))
+    out = salted.join(repeated, on=[*on, "__salt"], how=how).drop("__salt")
+    if how in ("left", "leftanti"):
+        out = out.unionByName(left.where(~has_key), allowMissingColumns=True)
+    return out

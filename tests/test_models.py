@@ -62,16 +62,29 @@ def test_classifier_probability_and_text(split):
 
 
 def test_grid_search_table(spark, split):
-    train, _ = split
-    data = MO._prepared_train(spark, SF_SMALL)
-    cv = TU.cross_validate(MD.forest_classifier(), {"numTrees": [3, 5], "maxDepth": [2, 3]},
-                           MO._auc_evaluator(), data, parallelism=2)
-    res = TU.results_table(spark, cv, top=3).collect()
+    data = MO._train_folds(spark, SF_SMALL, 4)
+    trials = TU.cross_validate(MD.forest_classifier(), {"numTrees": [3, 5], "maxDepth": [2, 3]},
+                               MO._auc_evaluator(), data, 4, recipe=MO._cls_recipe(), parallelism=2)
+    assert all(len(t.scores["score"]) == 4 for t in trials)
+    res = TU.results_table(spark, trials, top=3).collect()
     assert len(res) == 3 and res[0].rank_test_score == 1
     assert res[0].mean_test_score >= res[-1].mean_test_score
-    curve = TU.validation_curve(MD.forest_classifier(), "maxDepth", [2, 4], MO._auc_evaluator(), data)
+    curve = TU.validation_curve(MD.forest_classifier(), "maxDepth", [2, 4], MO._auc_evaluator(), data, 4,
+                                recipe=MO._cls_recipe())
     assert [r.param_value for r in curve.collect()] == [2.0, 4.0]
-    data.unpersist()
+
+
+def test_recipe_is_fitted_in_each_fold(spark):
+    """A value far out in one fold must not scale the rows of the fold that validates it."""
+    from pyspark.ml import Pipeline
+
+    df = spark.createDataFrame([(i % 5, float(i % 2), float(i), "x") for i in range(50)] + [(4, 1.0, 1e6, "x")],
+                               "fold int, label double, v double, c string")
+    from tabulon.operators import features as FE
+    sides = list(TU.fold_sides(df, 5, recipe=FE.feature_recipe(["c"], ["v"])))
+    top = [max(r.features.toArray().max() for r in valid.collect()) for _, valid in sides]
+    assert isinstance(FE.feature_recipe(["c"], ["v"]), Pipeline)
+    assert top[4] > 1000 and max(top[:4]) <= 1.0  # scaled by the other folds only
 
 
 def test_shapley_additivity(spark, split, reg_model):
@@ -101,3 +114,21 @@ def test_streaming_scoring(spark, split, reg_model):
     q.stop()
     res = spark.read.parquet(out)
     assert res.count() == 50 and set(res.columns) >= {"Claim_Status", "Expected_Expenses"}
+    batch.limit(80).exceptAll(batch.limit(50)).limit(30).write.mode("append").parquet(src)
+    again = score_claims_stream(spark, reg_model, src, batch.schema, "net_amount", MO.LINE_KEY)
+    q = start_claims_scoring(again, out)  # a restart with the same output goes on
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out).count() == 80
+
+
+def test_equal_ids_are_explained_apart(spark, split, reg_model):
+    train, test = split
+    rows = test.limit(3).withColumn("row_id", F.lit("same"))
+    rows = rows.unionByName(rows)
+    bg = X.background_sample(train, MO.REG_FEATURES, 4, MO.RECORD_ID)
+    wide = X.shapley_wide(reg_model, rows, "row_id", MO.REG_FEATURES, bg, permutations=2).collect()
+    one = X.shapley_wide(reg_model, test.limit(3).withColumn("row_id", F.lit("a")), "row_id", MO.REG_FEATURES, bg,
+                         permutations=2).collect()
+    assert len(wide) == 6 and len({round(r.base, 6) for r in wide + one}) == 1
+    assert sorted(round(r.fx, 4) for r in wide) == sorted(2 * [round(r.fx, 4) for r in one])

@@ -1,8 +1,4 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables.
-
-Model queries (forests, tuning, Shapley) are slower; they run when
-TABULON_SLOW=1 (the driver's own check runs all of them at sf0.01).
-"""
+"""Every registered query against its DuckDB oracle on the sf0.001 tables."""
 
 import os
 import sys
@@ -10,16 +6,13 @@ import sys
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from tabulon import catalog as E
 from conftest import ROOT, SF_SMALL
 from tabulon.sources.tables import TABLES
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 from oracle_check import rows_of  # noqa: E402
 
-SLOW = {"rf_regress", "rf_classify", "model_roundtrip", "pipeline_extend", "score_claims", "score_fraud",
-        "cv_score", "validation_curve", "grid_search", "model_leaderboard", "shapley_summary",
-        "shapley_local", "rf_classify_documents", "score_claims_stream"}
 NAMES = sorted(E.oracle_sql())
 
 
@@ -37,8 +30,6 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    if name in SLOW and not os.environ.get("TABULON_SLOW"):
-        pytest.skip("model query: set TABULON_SLOW=1")
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
     gc, gr = rows_of(got)
