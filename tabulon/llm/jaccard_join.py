@@ -8,7 +8,7 @@ the more shared shingles are asked of its partners. A pair is a candidate if it
 min(l, l') prefix shingles, which no similar pair can miss.
 
 Equal sets are one class from the start. Of the candidates, those in the same block (the
-documents whose prefixes share most with the same document) are compared side by side in
+candidates of the same document, each with the one it shares most prefix shingles with) are compared side by side in
 one task; a block of very many is divided, its pivot going to each part. Pairs that the
 blocks have not brought together, and that are not in one component already, come from a
 join of the postings, so no candidate is lost.
@@ -123,7 +123,7 @@ def prefixes(docs: DataFrame, known, percent: int, words: int) -> DataFrame:
                 ordered, count = in_order(s, tokens_known, times)
                 least = -(-percent * len(s) // 100)  # a similar partner shares as many
                 base = len(s) - least
-                cost = int(count[:base + 1].sum())
+                cost = int(np.maximum(count[:base + 1], 1).sum())
                 l = min(max(1, least), 1 + sum(cost > c for c in COSTS))
                 cut = base + l
                 k = int(np.searchsorted(count[:cut], 1))
@@ -224,9 +224,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rare = (lists.where("not known").withColumn("c", F.count(F.lit(1)).over(same)).where("c > 1").drop("c"))
     postings = stored(rare.unionByName(lists.where("known")).drop("known"), "jj_postings")
 
-    pivots = postings.groupBy("token").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    votes = (postings.join(pivots.select("token", "pivot"), "token").where("id != pivot")
-             .groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("votes"), F.max("need").alias("need")))
+    pivots = (postings.groupBy("token").agg(F.min(F.struct("id", "n", "need")).alias("p"), F.count(F.lit(1)).alias("c"))
+              .where("c > 1").select("token", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"),
+                                     F.col("p.need").alias("pivot_need")))
+    near = f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)"
+    votes = (postings.join(pivots, "token").where("id != pivot").where(near)
+             .groupBy("id", "pivot", "need", "pivot_need").agg(F.count(F.lit(1)).alias("votes"))
+             .where("votes >= least(need, pivot_need)"))
     own = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("pivot")).alias("p"))).alias("best"))
     own = stored(own.select("id", (-F.col("best.p")).alias("block")), "jj_own")
     sizes = own.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
@@ -253,7 +257,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "need", "component", "home")])
     b = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "need", "component", "home")])
     pairs = (a.join(b, "token")
-             .where("id_a < id_b and component_a != component_b and not (home_a <=> home_b)")
+             .where("id_a < id_b and component_a != component_b and coalesce(home_a != home_b, true)")
+             .where("coalesce(home_a.block != id_b, true) and coalesce(home_b.block != id_a, true)")
              .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
              .groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"),
                                           F.min(F.least("need_a", "need_b")).alias("need"))
