@@ -4,6 +4,7 @@ and the metric queries over deterministic scored tables."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabulon.catalog.registry import query, sround, t
@@ -175,6 +176,48 @@ def q_feature_recipe(spark, sf):
     return features_to_columns(model.transform(li), "features", 3 + 2 + len(REC_NUM), keep=LINE_KEY)
 
 
+# 18 + 18 columns as in the reference's fraud recipe, most with hyphens in their names.
+WIDE_CAT = ["l_returnflag", "l_linestatus"] + [f"key-mod-{k}" for k in range(2, 18)]
+WIDE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"] + [f"part-mod-{k}" for k in range(3, 17)]
+
+
+def _wide_lineitem(spark, sf):
+    li = t(spark, sf, "lineitem")
+    return li.select(*LINE_KEY, "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     *[(F.col("l_orderkey") % k).cast("string").alias(f"key-mod-{k}") for k in range(2, 18)],
+                     *[(F.col("l_partkey") % k).cast("double").alias(f"part-mod-{k}") for k in range(3, 17)])
+
+
+_WIDE_X = {c: c if c.startswith("l_") else f"l_partkey % {c.rsplit('-', 1)[1]}" for c in WIDE_NUM}
+_WIDE_C = {c: c if c.startswith("l_") else f"l_orderkey % {c.rsplit('-', 1)[1]}" for c in WIDE_CAT}
+
+
+@query("feature_recipe_wide", oracle=f"""
+with s as (select {" + ".join(f"count(distinct {x})" for x in _WIDE_C.values())} + {len(WIDE_NUM)} as n_slots,
+           {", ".join(f"min({x})::double as lo{i}, max({x})::double as hi{i}" for i, x in enumerate(_WIDE_X.values()))}
+           from lineitem)
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, n_slots, {float(len(WIDE_CAT))}::double as onehot_sum,
+       round({" + ".join(f"(case when hi{i} = lo{i} then 0.5 else ({x} - lo{i}) / (hi{i} - lo{i}) end)"
+                         for i, x in enumerate(_WIDE_X.values()))}, 6) as scaled_sum,
+       {len(WIDE_NUM)} as n_normalized
+from lineitem, s
+""")
+def q_feature_recipe_wide(spark, sf):
+    """The recipe over 18 categorical and 18 numeric columns: slots, one hot value for each
+    category, and the sum of the scaled values; every scaled slot is named by its column."""
+    df = _wide_lineitem(spark, sf)
+    out = FE.feature_recipe(WIDE_CAT, WIDE_NUM).fit(df).transform(df)
+    names = FE.feature_names(out, scaled=WIDE_NUM)
+    named = [n for n in names if n.endswith("_normalized")]
+    k = len(names) - len(WIDE_NUM)
+    arr = vector_to_array(F.col("features"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    return out.select(*LINE_KEY, F.lit(len(names)).cast("long").alias("n_slots"),
+                      total(F.slice(arr, 1, k)).alias("onehot_sum"),
+                      F.round(total(F.slice(arr, k + 1, len(WIDE_NUM))), 6).alias("scaled_sum"),
+                      F.lit(sum(f"{c}_normalized" == n for c, n in zip(WIDE_NUM, named))).alias("n_normalized"))
+
+
 # ------------------------------------------------------------------ split
 
 @query("hash_split", oracle="""

@@ -141,9 +141,13 @@ def vectorize_features(df: DataFrame, input_cols: Sequence[str], target: str,
     return asm.transform(df.withColumnRenamed(target, "label")).select(*keep, "label", "features")
 
 
-def feature_names(df: DataFrame, vector_col: str = "features") -> list[str]:
-    """Slot names from the vector's ML attribute metadata, in slot order."""
+def feature_names(df: DataFrame, vector_col: str = "features", scaled: Sequence[str] = (),
+                  scaled_as: str = "numeric_scaled") -> list[str]:
+    """Slot names from the vector's ML attribute metadata, in slot order. The scaler drops
+    its inputs' names; given the columns that were ``scaled``, in order, their slots are
+    named ``{column}_normalized``."""
+    own = {f"{scaled_as}_{i}": f"{c}_normalized" for i, c in enumerate(scaled)}
     meta = df.schema[vector_col].metadata.get("ml_attr", {})
     attrs = meta.get("attrs", {})
     slots = [(a["idx"], a["name"]) for group in attrs.values() for a in group]
-    return [name for _, name in sorted(slots)]
+    return [own.get(name, name) for _, name in sorted(slots)]
