@@ -9,7 +9,8 @@ min(l, l') prefix shingles, which no similar pair can miss.
 
 Equal sets are one class from the start. Of the candidates, those in the same block (the
 candidates of the same document, each with the one it shares most prefix shingles with) are compared side by side in
-one task; a block of very many is divided, its pivot going to each part. Pairs that the
+one task; a block of very many is divided, its pivot going to each part. Documents that
+still share much with a component not their own then meet all of it. Pairs that the
 blocks have not brought together, and that are not in one component already, come from a
 join of the postings, so no candidate is lost.
 """
@@ -247,18 +248,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "jj_links")
     linked = components(links)
 
-    # what the blocks have not settled: candidates of different components and blocks
+    # second blocks: a document with the component (not its own) that it shares most with
     home = own.join(members, ["id", "block"]).select("id", F.struct("block", "part").alias("home"))
     open_ = (postings.join(linked.select("id", "component"), "id", "left").join(home, "id", "left")
              .withColumn("component", F.coalesce("component", "id")))
+    parts_of = open_.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    most = (parts_of.groupBy("token").agg(F.max(F.struct("c", (-F.col("component")).alias("t"))).alias("best"),
+                                          F.count(F.lit(1)).alias("several"))
+            .where("several > 1").select("token", (-F.col("best.t")).alias("target")))
+    open_ = stored(open_.join(stored(most, "jj_targets"), "token"), "jj_open")
+    votes = (open_.where("component != target").groupBy("id", "need", "target").agg(F.count(F.lit(1)).alias("votes"))
+             .where("votes >= need"))
+    voters = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("target")).alias("t"))).alias("best"))
+    voters = stored(voters.select("id", (-F.col("best.t")).alias("target")), "jj_voters")
+    second, groups = _second_blocks(voters, linked, block)
+    links2 = stored(compare_blocks(docs, second, percent, words), "jj_blocks2")
+    after = linked if links2.isEmpty() else components(links.unionByName(links2))
+
+    # what the blocks have not settled: candidates of different components
+    open_ = (open_.drop("target").withColumnRenamed("component", "first")
+             .join(after.select("id", "component"), "id", "left").join(groups, "id", "left")
+             .withColumn("component", F.coalesce("component", "first")))
     mixed = (open_.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo != hi").select("token"))
-    open_ = stored(open_.join(mixed, "token"), "jj_open")
-    a = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "need", "component", "home")])
-    b = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "need", "component", "home")])
-    pairs = (a.join(b, "token")
+    open_ = stored(open_.join(mixed, "token"), "jj_rest_open")
+    cols = ("id", "n", "need", "first", "component", "home", "target", "voters")
+    x = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in cols])
+    y = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in cols])
+    pairs = (x.join(y, "token")
              .where("id_a < id_b and component_a != component_b and coalesce(home_a != home_b, true)")
              .where("coalesce(home_a.block != id_b, true) and coalesce(home_b.block != id_a, true)")
+             .where("coalesce(target_a != first_b, true) and coalesce(target_b != first_a, true)")
+             .where("coalesce(target_a != target_b, true) or coalesce(voters_a != voters_b, true)")
              .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
              .groupBy("id_a", "id_b").agg(F.count(F.lit(1)).alias("shared"),
                                           F.min(F.least("need_a", "need_b")).alias("need"))
@@ -270,12 +291,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .unionByName(hubs.select(F.col("id_a").alias("id"), F.col("id_a").alias("block"),
                                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))))
     more = stored(compare_blocks(docs, stored(rest, "jj_rest"), percent, words), "jj_more")
-    final = linked if more.isEmpty() else components(links.unionByName(more))
+    final = after if more.isEmpty() else components(links.unionByName(links2).unionByName(more))
     return (sets.join(classes, ["digest", "n"], "left").withColumn("rep", F.coalesce("rep", "id"))
             .join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component")))
 
 
+def _second_blocks(voters: DataFrame, linked: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks (id, block, part) that bring the voters of each target component together with
+    all its documents; either side is divided where it has very many, and every division
+    of one meets every division of the other. Also (id, target, voters): the division in
+    which a voter met the others."""
+    wanted = voters.select(F.col("target").alias("component")).distinct()
+    whole = (linked.join(wanted, "component").select("id", "component")
+             .union(wanted.select(F.col("component").alias("id"), "component")).distinct())
+    sizes = (whole.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("i"))
+             .join(voters.groupBy(F.col("target").alias("component"))
+                   .agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("j")), "component"))
+    sizes = stored(sizes, "jj_sizes")
+    side = whole.join(sizes, "component").select(
+        "id", F.col("component").alias("block"),
+        F.explode(F.transform(F.sequence(F.lit(0), F.col("j") - 1),
+                              lambda j: F.pmod(F.xxhash64("id"), F.col("i")).cast("int") * F.col("j") + j)).alias("part"))
+    groups = (voters.join(sizes, voters["target"] == sizes["component"])
+              .select("id", "target", F.pmod(F.xxhash64("id"), F.col("j")).cast("int").alias("voters"), "i", "j"))
+    other = groups.select("id", F.col("target").alias("block"), F.explode(
+        F.transform(F.sequence(F.lit(0), F.col("i") - 1), lambda i: i * F.col("j") + F.col("voters"))).alias("part"))
+    return stored(side.unionByName(other), "jj_second"), groups.select("id", "target", "voters")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (near_duplicates(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")))
+
+
+OP7_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (
+  select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_distinct(list_transform(range(1, len(ws) - 3), lambda i : array_to_string(ws[i:i + 4], ' '))) end) as sh
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id
+           group by 1, 2),
+link as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+pair as (select a, b from link union all select b, a from link),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.doc_id, pair.b from reach join pair on reach.other = pair.a)
+select reach.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(other) as component_id
+from reach left join n on n.doc_id = reach.doc_id group by reach.doc_id
+"""
