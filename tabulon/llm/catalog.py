@@ -19,6 +19,7 @@ _QUERIES = {
 _ORACLES = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op6_exact_dedup": digest_index.OP6_SQL,
+    "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_url_filter": url_filter.OP8_SQL,
 }
 
