@@ -52,9 +52,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = (rows.where("text is not null").select("id", "fp", F.explode(chunks_of("text", window, divisor)).alias("c"))
            .select("id", "fp", "c.pos", "c.lines", "c.chunk").where(F.col("lines") >= min_lines))
     keyed = cut.withColumn("h", F.xxhash64("chunk"))
-    often = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written, so that the joins below shuffle both sides and Spark can split a hot hash
+    often = stored(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "line_often")
     same = stored(keyed.join(often, "h", "left_semi"), "line_chunks")
-    first = same.groupBy("h", "chunk").agg(F.min(F.struct("id", "pos")).alias("first"))
+    first = stored(same.groupBy("h", "chunk").agg(F.min(F.struct("id", "pos")).alias("first")), "line_first")
     later = (same.join(first, ["h", "chunk"]).where(~F.struct("id", "pos").eqNullSafe(F.col("first")))
              .groupBy("id", "fp").agg(F.collect_set("pos").alias("gone")))
     later = later.select(F.col("id").alias("l_id"), F.col("fp").alias("l_fp"), "gone")
