@@ -5,6 +5,10 @@ so boundaries move with the content when lines are put in or taken out. A chunk
 several lines that occurs again anywhere is removed everywhere but at its first
 occurrence. Equal 64-bit hashes only nominate chunks; their bytes decide.
 
+``dedup_passages`` is the finest such rule: every line that is not blank is a boundary and
+neighbouring chunks share it, so that a repeated passage of two lines or more goes as a
+whole, whatever stands around it.
+
 DataFrame functions only: lines, hashes and chunks are arrays within the row.
 """
 
@@ -78,6 +82,60 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256")))
 
 
+def pairs_of(text: str) -> Column:
+    """Each line of a text column that is not blank with the next such line, as
+    array<struct<pos, end, digest>>: where both stand, and the SHA-256 of what runs from
+    the one through the other."""
+    return F.expr(f"""
+      transform(array(split({text}, '\\n')), ls ->
+        transform(array(filter(sequence(0, size(ls) - 1), i -> get(ls, i) rlike '[^\\\\x20\\\\x09-\\\\x0D]')), at ->
+          transform(if(size(at) > 1, slice(at, 1, size(at) - 1), cast(array() as array<int>)), (s, k) ->
+            transform(array(get(at, k + 1)), e ->
+              named_struct('pos', s, 'end', e, 'digest',
+                           unhex(sha2(cast(array_join(slice(ls, s + 1, e - s + 1), '\\n') as binary), 256))))[0]
+          ))[0])[0]""")
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``_row`` (the input row), text (what is left of it), n_lines,
+    removed_lines.
+
+    A line goes where it and a neighbour, blank lines between them left out of account,
+    stood together before: in a document with a lesser id, or further up. So of every
+    passage of two lines or more that occurs again no line is left but at its first
+    occurrence, and the first occurrence of every single line stays. Blank lines within
+    a passage go with it; they alone are none. Where a passage repeats itself with a
+    line in common (a line three times over), that line stays. NULL ids and texts, rows
+    with the same id and text, and empty tables are as in ``dedup_lines``.
+    """
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = packed(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(text), text=text)
+    pairs = (rows.where("text is not null").select("id", "fp", F.explode(pairs_of("text")).alias("p"))
+             .select("p.digest", F.struct("id", "fp", "p.pos", "p.end").alias("at")))
+    # written, so that the join below shuffles both sides and Spark can split a hot digest
+    first = stored(pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+                   .where("n > 1").select("digest", "first"), "line_pairs")
+    shared = F.expr("at.id <=> first.id and at.fp = first.fp and at.pos = first.end")
+    gone = (pairs.join(first, "digest").where(~F.col("at").eqNullSafe(F.col("first")))
+            .select(F.col("at.id").alias("l_id"), F.col("at.fp").alias("l_fp"),
+                    F.struct((F.col("at.pos") + shared.cast("int")).alias("s"), F.col("at.end").alias("e")).alias("r"))
+            .groupBy("l_id", "l_fp").agg(F.collect_set("r").alias("gone")))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
+    parts = joined.withColumn("ls", F.split("text", "\n")).withColumn("stay", F.expr(
+        "array_except(sequence(0, size(ls) - 1), flatten(transform(gone, r -> sequence(r.s, r.e))))"))
+    return parts.select(
+        "_row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+            F.expr("array_join(transform(stay, i -> get(ls, i)), '\\n')")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("ls")).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("ls") - F.size("stay")).cast("long").alias("removed_lines"))
+
+
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_passages(table(spark, sf_dir, "documents"))
+            .select("_row.doc_id", "n_lines", "removed_lines",
+                    F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256")))
+
+
 OP1_SQL = f"""
 with l as (
   select doc_id, unnest(string_split(text, chr(10))) as line,
@@ -99,3 +157,24 @@ select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_chunks, 0) as n_chunk
        sha256(coalesce(r.text, '')) as text_sha256
 from documents left join r using (doc_id)
 """
+
+OP1_PASSAGE_SQL = r"""
+with l as (
+  select doc_id, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) as i
+  from documents where text is not null),
+p as (select doc_id, i as s, lead(i) over (partition by doc_id order by i) as e
+      from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs as (select p.doc_id, s, e, string_agg(line, chr(10) order by i) as passage
+          from p join l on l.doc_id = p.doc_id and i between s and e group by 1, 2, 3),
+seen as (select *, row_number() over w as k, first_value(doc_id) over w as first_id, first_value(e) over w as first_e
+         from pairs window w as (partition by passage order by doc_id, s)),
+gone as (select distinct l.doc_id, i from seen join l
+         on l.doc_id = seen.doc_id and i between s + (seen.doc_id = first_id and s = first_e)::int and e where k > 1),
+r as (select l.doc_id, count(*) as n_lines, count(gone.i) as removed_lines,
+             string_agg(line, chr(10) order by l.i) filter (gone.i is null) as text
+      from l left join gone on gone.doc_id = l.doc_id and gone.i = l.i group by 1)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(removed_lines, 0) as removed_lines,
+       sha256(coalesce(r.text, '')) as text_sha256
+from documents left join r using (doc_id)
+"""

@@ -90,6 +90,59 @@ def test_line_dedup_of_nothing(spark):
     assert line_dedup.dedup_lines(frame(spark, []).limit(0)).count() == 0
 
 
+def brute_passages(rows):
+    """Lines to keep, of {(id, text)}: no two of them that stood together before."""
+    docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    first, out = {}, {}
+    for i, t in docs:
+        lines, gone = t.split("\n"), set()
+        at = [k for k, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
+        for s, e in zip(at, at[1:]):
+            f = first.setdefault("\n".join(lines[s:e + 1]), (i, t, s, e))
+            if f != (i, t, s, e):
+                gone |= set(range(s + (f[:2] == (i, t) and f[3] == s), e + 1))
+        out[i, t] = [x for k, x in enumerate(lines) if k not in gone]
+    return out
+
+
+def test_passages_after_foreign_lines_go(spark):
+    """Passages of 2 to 5 lines between foreign lines: all later occurrences go, all else stays."""
+    rnd = random.Random(7)
+    passages = [[f"passage {p} line {k} {rnd.random()}" for k in range(2 + p % 4)] for p in range(24)]
+    rows = []
+    for i in range(96):
+        own = [[f"own {i} {side} {k}" for k in range(rnd.randint(1, 3))] for side in "ab"]
+        rows.append((i, "\n".join(own[0] + passages[i % 24] + own[1])))
+    rows.append((200, "one\n\n" + passages[0][0] + "\n\n\ntwo"))  # a line alone, and blank lines, are no passage
+    rows.append((201, "three\n\n" + passages[0][0] + "\n\n\nfour"))
+    got = {r["doc_id"]: r for r in line_dedup.dedup_passages(frame(spark, rows)).select("_row.doc_id", "text", "removed_lines").collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        want = t.split("\n") if i < 24 or i >= 200 else [x for x in t.split("\n") if x.startswith("own")]
+        assert got[i]["text"].split("\n") == want and got[i]["removed_lines"] == t.count("\n") + 1 - len(want)
+
+
+def test_passages_against_brute_force(spark):
+    rnd = random.Random(9)
+    rows = [(i, "\n".join(rnd.choice(["a", "b", "c", "d", "", " \t", f"own {i}", *"efghijkl"])
+                          for _ in range(rnd.randint(1, 12)))) for i in range(150)]
+    rows += [(300, "same\n" * 40), (301, "same\n" * 40), (302, "x\n\nx\n\nx"), (303, rows[5][1]), rows[6]] + ODD
+    want = brute_passages(rows)
+    got = line_dedup.dedup_passages(frame(spark, rows)).select(
+        "_row.doc_id", F.col("_row.text").alias("old"), "text", "n_lines", "removed_lines", "_row.size").collect()
+    assert len(got) == len(rows) and all(r["size"] == -1 for r in got)
+    for r in got:
+        if r["old"] is None:
+            assert r["text"] is None and r["n_lines"] == r["removed_lines"] == 0
+        else:
+            left, n = want[r["doc_id"], r["old"]], r["old"].count("\n") + 1
+            assert (r["text"], r["n_lines"], r["removed_lines"]) == ("\n".join(left), n, n - len(left))
+    lines = lambda ts: {x for t in ts if t for x in t.split("\n") if x.strip()}
+    assert lines(r["text"] for r in got) == lines(r["old"] for r in got)  # each line's first occurrence stays
+    assert [r["text"] for r in got if r["doc_id"] == 302] == ["x\n\nx"]
+    assert line_dedup.dedup_passages(frame(spark, []).limit(0)).count() == 0
+
+
 # ------------------------------------------------------------------------ 2 bpe
 
 @pytest.fixture(scope="module")
