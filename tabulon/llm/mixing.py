@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import n_words, packed, stored, table, unit_hash
-from tabulon.llm.descent import cuts, nearer
+from tabulon.llm.descent import cuts
 
 #: Sources that the driver will share budgets out to (a row of totals each).
 MAX_SOURCES = 100_000
@@ -67,7 +67,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     copies (how often the document is taken) and taken (words).
 
     A document is taken whole or not. Where the budget falls within a document, the next
-    ones that still fit are taken instead, for two more rounds. NULL text has no words and is taken
+    ones that still fit are taken instead, for two more rounds, or that document itself
+    where this comes nearer to the target. NULL text has no words and is taken
     with the epochs only; NULL is a source like any other; rows equal in id and text have
     equal keys and are taken alike. An empty table gives no rows.
     """
@@ -89,21 +90,31 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         epochs = int(target // r["size"]) if r["size"] else 0
         plan.append((r["source"], r["size"], float(target), epochs, float(target - epochs * r["size"])))
     groups = spark.createDataFrame(plan, "source string, source_size long, target double, epochs long, budget double")
-    # the document on which the budget falls is passed over, and smaller ones further on
-    # fill what is left; the last such round takes it if that comes nearer to the budget
-    taken = F.lit(False)
+    # each round takes what comes before the document on which the budget falls, and the
+    # next one fills what is left with smaller ones further on
     for k in range(ROUNDS):
         if k:
             small = stored(small.join(groups.select("source", "budget", f"hi{k - 1}"), "source")
                            .where(F.col("position") >= F.col(f"hi{k - 1}")).where("size <= budget")
                            .drop("budget", f"hi{k - 1}"), "mix_left")
-        found = cuts(small, groups, "source", F.col("position"), F.col("size"), levels=3, label="mix_cuts")
-        end = nearer() if k == ROUNDS - 1 else F.col("cut_lo")
+        found = cuts(small, groups, "source", F.col("position"), F.col("size"), levels=3, label="mix_cuts").join(
+            small.groupBy("source").agg(F.sum("size").alias("all")), "source", "left")
+        below = F.when(F.col("cut_lo") < 1, F.col("cut_below")).otherwise(F.coalesce("all", F.lit(0)))
+        left = F.col("budget") - below
         groups = stored(found.select(
-            *[c for c in groups.columns if c != "budget"], (F.col("budget") - F.col("cut_below")).alias("budget"),
+            *[c for c in groups.columns if c != "budget"], left.alias("budget"),
             F.col("budget").alias(f"gap{k}"), F.col("cut_hi").alias(f"hi{k}"),
-            F.when(F.col("budget") > 0, end).otherwise(F.lit(0.0)).alias(f"end{k}")), "mix_groups")
-        fits = F.col("position") < F.col(f"end{k}")
+            F.when(F.col("budget") > 0, F.col("cut_lo")).otherwise(F.lit(0.0)).alias(f"end{k}"),
+            F.when(F.col("cut_in") > left, F.col("cut_in") - left).alias(f"over{k}")), "mix_groups")
+    # the round that ends with the document on which the budget falls, where that comes
+    # nearer to the budget than all rounds without such a document
+    over = [F.col(f"over{k}") for k in range(ROUNDS)]
+    last = F.coalesce(*[F.when(o == F.least("budget", *over), k) for k, o in [(ROUNDS, F.col("budget")), *enumerate(over)]])
+    groups = groups.withColumn("last", last)
+    taken = F.lit(False)
+    for k in range(ROUNDS):
+        fits = F.col("position") < F.when(F.col("last") == k, F.col(f"hi{k}")).when(
+            F.col("last") > k, F.col(f"end{k}")).otherwise(F.lit(0.0))
         if k:
             fits &= F.col("size") <= F.col(f"gap{k}")
             for j in range(k):  # not before where an earlier round ended

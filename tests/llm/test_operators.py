@@ -507,6 +507,21 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mix(frame(spark, []).limit(0)).count() == 0
 
 
+def test_mixing_takes_the_document_on_the_budget_where_that_is_nearer(spark):
+    one = frame(spark, [(1, "w " * 100, "en", "one")])
+    assert [r["copies"] for r in mixing.mix(one, share=0.9).collect()] == [1]
+    assert [r["copies"] for r in mixing.mix(one, share=0.4).collect()] == [0]
+    rnd = random.Random(10)
+    rows = [(i, "w " * rnd.randint(50, 900), "en", f"s{i % 30}") for i in range(120)]
+    by = collections.defaultdict(list)
+    for r in mixing.mix(frame(spark, rows)).select("_row.source", "size", "target", "taken", "copies").collect():
+        by[r["source"]].append(r)
+    assert len(by) == 30
+    for v in by.values():
+        assert abs(sum(r["taken"] for r in v) - v[0]["target"]) <= max(r["size"] for r in v) / 2
+        assert max(r["copies"] for r in v) - min(r["copies"] for r in v) <= 1
+
+
 def test_cuts_find_where_the_sum_meets_the_budget(spark):
     rng = np.random.default_rng(1)
     data = [(str(g), float(p), int(a)) for g in range(3) for p, a in zip(rng.random(500), rng.integers(1, 50, 500))]
