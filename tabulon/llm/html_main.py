@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -207,9 +208,9 @@ def score(root: Node) -> Node | None:
     return best
 
 
-def _text(node: Node) -> str:
+def _text(*items: Node | str) -> str:
     out: list[str] = []
-    todo: list[Node | str] = [node]
+    todo: list[Node | str] = list(reversed(items))
     while todo:
         x = todo.pop()
         if isinstance(x, str):
@@ -224,12 +225,26 @@ def _text(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
+def _around(best: Node) -> list[Node | str]:
+    """The best container with what stands beside it and reads like it: blocks, and runs of
+    text and inline elements, of which under a quarter is link text; blocks with more
+    links by a fifth of the best score."""
+    out: list[Node | str] = []
+    for alone, part in groupby(best.parent.items, lambda x: id(x) if x is best or isinstance(x, Node) and x.tag in BLOCK else 0):
+        part = list(part)
+        chars = sum(len("".join(x.split())) if isinstance(x, str) else x.chars for x in part)
+        linked = sum(x.chars if x.tag == "a" else x.linked for x in part if isinstance(x, Node))
+        keep = part[0] is best or linked < 0.25 * chars or alone and chars and part[0].score >= 0.2 * best.score
+        out += part if keep else [" "]
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page; empty where nothing scores."""
     root = parse(html or "")
     best = score(root)
     if best is None:
-        return " ".join(_text(root).split())
+        return _text(root)
     up = best
     while up is not None:  # an article element is kept as a whole
         if up.tag == "article":
@@ -237,18 +252,11 @@ def main_text(html: str | None) -> str:
         up = up.parent
     if best.parent is None:
         return _text(best)
-    out = []
-    for x in best.parent.items:
-        if x is best:
-            out.append(_text(best))
-        elif best.tag == "article" and not (isinstance(x, Node) and x.tag == "article"):
-            continue  # what lies around an article is not part of it
-        elif isinstance(x, Node) and not x.drop and x.chars:
-            density = x.linked / x.chars
-            if x.score >= max(10, 0.2 * best.score) or x.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") \
-                    and density < 0.25:
-                out.append(_text(x))
-    return " ".join(filter(None, out))
+    if best.tag != "article":
+        return _text(*_around(best))
+    # what lies around an article is not part of it, but for articles as good
+    return " ".join(filter(None, (_text(x) for x in best.parent.items if x is best or isinstance(x, Node) and not x.drop
+                                  and x.tag == "article" and x.chars and x.score >= max(10, 0.2 * best.score))))
 
 
 def extract_main(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id", "url")) -> DataFrame:

@@ -563,6 +563,17 @@ def test_main_text(body, want):
     assert html_main.main_text(cut[:cut.index("</section>")]).startswith(want[:20])
 
 
+@pytest.mark.parametrize("before,after,want", [
+    ("Intro, <b>bold </b>and <a href=x>on</a>", "<div><p>Short last section.</p></div>", "Intro, bold and on %s Short last section."),
+    ("<h4>Head</h4><ul><li>one<li>two</ul>", "<table><tr><td>1<td>2</table>tail", "Head one two %s 1 2 tail"),
+    ("<a href=/>Home</a> <a href=/n>News</a>", "<ul><li><a href=/1>More of this</a></ul><nav>menu</nav> ", "%s"),
+])
+def test_main_text_beside_the_best_container(before, after, want):
+    body = " ".join(["Long, plain, sentence, with, many, commas, in it."] * 30)
+    page = f"<html><body><div>{before}<div class=body><p>{body}</p><p>{body}</p></div>{after}</div></body></html>"
+    assert html_main.main_text(page) == want % f"{body} {body}"
+
+
 def test_main_text_of_odd_input(spark):
     for html in (None, "", "<", "<p", "<p class=", "</p></div>", "<!--", "<nav>menu</nav>", "<script>a", "&", "<a href='>"):
         assert isinstance(html_main.main_text(html), str)
