@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tabulon.llm import bpe, digest_index, html_main, jaccard_join, kd_shards, line_dedup, mixing, quality_outliers, toxicity, url_filter
+from tabulon.llm import (bpe, collocations, digest_index, hard_negatives, html_main, jaccard_join, kd_shards, line_dedup,
+                         mixing, quality_outliers, token_count, toxicity, url_filter)
 
 _QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +17,9 @@ _QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mixing": mixing.op9_mixing,
     "op10_html_main": html_main.op10_html_main,
+    "op11_token_counts": token_count.op11_token_counts,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 _ORACLES = {
     "op1_line_dedup": line_dedup.OP1_SQL,
@@ -23,6 +27,8 @@ _ORACLES = {
     "op6_exact_dedup": digest_index.OP6_SQL,
     "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_url_filter": url_filter.OP8_SQL,
+    "op12_collocations": collocations.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
 
 

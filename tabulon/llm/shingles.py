@@ -7,7 +7,11 @@ whole batch; a shingle's hash is a mix of its words' hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RANDOM.integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -20,6 +24,17 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = {1: np.ones(1, np.uint64), -1: np.ones(1, np.uint64)}
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most so many bytes of text, or of one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False) + 1
+    upto = np.concatenate(([0], np.cumsum(sizes)))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _power(sign: int, n: int) -> np.ndarray:
     """Powers 0..n-1 of the base, or of its inverse modulo 2**64."""
     if len(_powers[sign]) < n:
@@ -36,14 +51,34 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word of a byte array."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).view(np.int8)))
+#: Bytes hashed at once: tables of powers are no longer.
+SEGMENT = 1 << 16
+
+
+def word_hashes(data: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of every word of a byte array; ``space`` marks the bytes
+    between words."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], space[data], [True])).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power(1, len(data))[:len(data)], out=sums[1:])
-    h = (sums[end] - sums[start]) * _power(-1, len(data))[start]
-    return mix(h + (end - start).astype(np.uint64)), start
+    h = np.zeros(len(start), np.uint64)
+    up, down = _power(1, SEGMENT), _power(-1, SEGMENT)
+    i = 0
+    while i < len(start):
+        at = start[i]
+        j = int(np.searchsorted(end, at + SEGMENT, "right"))
+        if j <= i:  # one word longer than a segment, in parts
+            for k in range(at, end[i], SEGMENT):
+                part = data[k:min(k + SEGMENT, end[i])]
+                turn = np.full(1, pow(_BASE, int(k - at), 2 ** 64), np.uint64)
+                h[i:i + 1] += (_BYTE[part] * up[:len(part)]).sum(dtype=np.uint64, keepdims=True) * turn
+            i += 1
+            continue
+        part = data[at:end[j - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * up[:len(part)], out=sums[1:])
+        h[i:j] = (sums[end[i:j] - at] - sums[start[i:j] - at]) * down[start[i:j] - at]
+        i = j
+    return mix(h + (end - start).astype(np.uint64)), start, end
 
 
 def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
@@ -52,7 +87,7 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     offsets = np.cumsum([0] + [len(r) + 1 for r in raw])
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    h, start = word_hashes(data)
+    h, start, _ = word_hashes(data)
     bound = np.searchsorted(start, offsets)
     turn = [_power(1, words + 2)[i + 1] for i in range(words)]
     n = len(h) - words + 1
