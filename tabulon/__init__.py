@@ -13,6 +13,14 @@ collects a table to the driver. Sub-packages:
 * ``catalog``    registered queries and their DuckDB oracles.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from tabulon.session import build_session, shared_path
 
+# functions that run in Python workers travel with their code: a cluster's workers need
+# numpy and pyarrow, but not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session", "shared_path"]

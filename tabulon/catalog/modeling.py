@@ -24,6 +24,7 @@ from tabulon.operators import explain as X
 from tabulon.operators import features as FE
 from tabulon.operators import metrics as M
 from tabulon.operators import models as MD
+from tabulon.operators import trees as T
 from tabulon.operators import tuning as TU
 from tabulon.operators.ordering import top_k
 from tabulon.operators.score import score_claims, score_fraud
@@ -67,7 +68,9 @@ def spread_by_key(df, keys):
 
 
 def claims_split(spark, sf):
-    return hash_split(spread_by_key(claims(spark, sf), LINE_KEY), LINE_KEY, seed=123, train_fraction=0.8)
+    """(train, test); only what is fitted on is spread, scoring reads the table as it lies."""
+    train, test = hash_split(claims(spark, sf), LINE_KEY, seed=123, train_fraction=0.8)
+    return spread_by_key(train, LINE_KEY), test
 
 
 REG_FEATURES = REG_INDEX + REG_SCALED + REG_RAW  # raw columns the regression recipe reads
@@ -349,11 +352,20 @@ def _with_row_id(df):
     return df.withColumn("row_id", F.concat_ws("|", *[F.col(c).cast("string") for c in RECORD_ID]))
 
 
-def _shapley(spark, sf, rows_fn, permutations=2, background=8):
+#: Training rows whose mean output is the base value of the attributions.
+BACKGROUND = 100
+
+
+def _tree_shapley(spark, sf, kind, rows_fn):
+    """(exact attributions, model, rows) of the held-out side's rows."""
     train, test = claims_split(spark, sf)
-    bg = X.background_sample(train, REG_FEATURES, background, RECORD_ID)
-    return X.shapley_wide(regression_model(train), _with_row_id(rows_fn(test)), "row_id", REG_FEATURES, bg,
-                          permutations=permutations)
+    rows = cut_lineage(_with_row_id(rows_fn(test)))
+    if kind == "regression":
+        model, cols, scaled = regression_model(train), REG_FEATURES, REG_SCALED
+    else:
+        model, cols, scaled = classification_model(train), CLS_CAT + CLS_NUM, CLS_NUM
+    bg = X.background_sample(train, cols, BACKGROUND, RECORD_ID)
+    return T.tree_shapley_wide(model, rows, "row_id", cols, bg, scaled), model, rows
 
 
 _TOP5 = f"(select * from {TEST_SIDE} order by l_orderkey, l_partkey, l_suppkey, l_linenumber limit 5)"
@@ -362,15 +374,19 @@ _TOP5 = f"(select * from {TEST_SIDE} order by l_orderkey, l_partkey, l_suppkey,
 @query("shapley_summary", oracle=f"""select count(*) as n_rows, count(*) as n_additive, {len(REG_FEATURES)} as n_features,
        true as one_base, true as amount_leads from {TEST_SIDE}""")
 def q_shapley_summary(spark, sf):
-    """Attributions for every held-out row: they add up, all rows have one base value, and
-    the charged amount is explained by price above all."""
-    wide = cut_lineage(_shapley(spark, sf, lambda test: test))  # one scoring job, read twice
-    add = X.additivity_wide(wide, "row_id", REG_FEATURES)
+    """Exact attributions for every held-out row against 100 background rows: they add up to
+    the model's own prediction, all rows have one base value, and the charged amount is
+    explained by price above all."""
+    wide, model, rows = _tree_shapley(spark, sf, "regression", lambda test: test)
+    wide = cut_lineage(wide)
+    fx = model.transform(rows).select("row_id", "prediction")
+    total = sum((F.col(f"phi__{c}") for c in REG_FEATURES), F.col("base"))
     ranked = [r["feature"] for r in X.shapley_summary_wide(wide, REG_FEATURES, top=10).collect()]
-    return add.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("additive").alias("n_additive"),
-                   (F.max("base") - F.min("base") <= 1e-6 * F.max(F.abs("base"))).alias("one_base")) \
-              .withColumns({"n_features": F.lit(len(ranked)), "amount_leads": F.lit(ranked[0] in (
-                  "l_extendedprice", "l_quantity"))})
+    return wide.join(fx, "row_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.abs(total - F.col("prediction")) <= 1e-6 * F.abs("prediction")).alias("n_additive"),
+        (F.max("base") - F.min("base") <= 1e-6 * F.max(F.abs("base"))).alias("one_base")) \
+        .withColumns({"n_features": F.lit(len(ranked)), "amount_leads": F.lit(ranked[0] in ("l_extendedprice", "l_quantity"))})
 
 
 @query("shapley_local", oracle=f"""
@@ -379,7 +395,7 @@ from {_TOP5}
 """)
 def q_shapley_local(spark, sf):
     """Local attribution of the first 5 held-out records (by key): one value per feature."""
-    wide = cut_lineage(_shapley(spark, sf, lambda test: top_k(test, 5, LINE_KEY), permutations=8))
+    wide = cut_lineage(_tree_shapley(spark, sf, "regression", lambda test: top_k(test, 5, LINE_KEY))[0])
     contrib = X.contributions_from_wide(wide, "row_id", REG_FEATURES)
     add = X.additivity_wide(wide, "row_id", REG_FEATURES)
     return add.agg(F.count(F.lit(1)).alias("n_records"),
@@ -388,16 +404,12 @@ def q_shapley_local(spark, sf):
                    (F.max("base") - F.min("base") <= 1e-6 * F.max(F.abs("base"))).alias("one_base"))
 
 
-@query("shapley_class1", oracle=f"select count(*) as n_records, count(*) as n_additive, count(*) as n_fx_same from {_TOP5}")
+@query("shapley_class1", oracle=f"select count(*) as n_records, count(*) as n_additive, count(*) as n_fx_same from {TEST_SIDE}")
 def q_shapley_class1(spark, sf):
-    """Class-1 attribution of the fraud classifier for the first 5 held-out records: values
-    add up to the positive probability that the classifier gives the record."""
-    train, test = claims_split(spark, sf)
-    model = classification_model(train)
-    rows = cut_lineage(_with_row_id(top_k(test, 5, LINE_KEY)))
+    """Class-1 attribution of the fraud classifier for every held-out record: values add up
+    to the positive probability that the classifier gives the record."""
     cols = CLS_CAT + CLS_NUM
-    wide = X.shapley_wide(model, rows, "row_id", cols, X.background_sample(train, cols, 8, RECORD_ID), permutations=8,
-                          output="probability")
+    wide, model, rows = _tree_shapley(spark, sf, "classification", lambda test: test)
     p1 = model.transform(rows).select("row_id", MD.positive_probability().alias("p1"))
     add = X.additivity_wide(wide, "row_id", cols).join(p1, "row_id")
     return add.agg(F.count(F.lit(1)).alias("n_records"), F.count_if("additive").alias("n_additive"),
@@ -431,34 +443,127 @@ def q_shapley_linear(spark, sf):
 _DOC_BUCKET = ("cast('0x' || substr(md5(concat_ws('|', cast(doc_id as varchar), '123')), 1, 8) as bigint) % 1000000")
 
 
+DOC_NUM = ["n_chars", "n_words", "word_chars", "symbols", "repeated_lines", "capitals"]
+
+
 def labelled_documents(spark, sf):
-    """Documents with a quality label: (doc_id, lang, source, n_chars, label)."""
-    docs = t(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    """Documents with a quality label: (doc_id, lang, source, n_chars and shares counted over
+    the whole text, label)."""
+    text = F.coalesce("text", F.lit(""))
+    words = F.greatest(F.regexp_count(text, F.lit(r"\S+")), F.lit(1))
+    lines = F.split(text, "\n")
+    docs = t(spark, sf, "documents").select(
+        "doc_id", "lang", "source", "n_chars", words.alias("n_words"),
+        (F.length(text) / words).alias("word_chars"),
+        (F.regexp_count(text, F.lit(r"[^\w\s.,;:!?'-]")) / words).alias("symbols"),
+        (1 - F.size(F.array_distinct(lines)) / F.size(lines)).alias("repeated_lines"),
+        (F.regexp_count(text, F.lit("[A-Z]")) / words).alias("capitals"))
     labels = t(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     return docs.join(labels, "doc_id")
 
 
+def documents_recipe():
+    return FE.feature_recipe(["lang", "source"], DOC_NUM)
+
+
 def documents_classifier(train, **forest):
     """The reference's MLlib classifier settings on a keep-unseen recipe."""
     params = dict(MD.REFERENCE_CLASSIFIER)
     params.update(forest)
-    recipe = FE.feature_recipe(["lang", "source"], ["n_chars"])
-    return MD.fit_with_recipe(recipe, MD.forest_classifier(label="label", **params), train)
+    return MD.fit_with_recipe(documents_recipe(), MD.forest_classifier(label="label", **params), train)
 
 
 @query("rf_classify_documents", oracle=f"""
-select count(*) as n_scored, count(*) as n_prob_in_range, count(*) as n_pred_valid
+select count(*) as n_scored, count(*) as n_prob_in_range, count(*) as n_pred_valid, true as beats_bar
 from documents d join labels l on d.doc_id = l.doc_id where {_DOC_BUCKET.replace('doc_id', 'd.doc_id')} >= 800000
 """)
 def q_rf_classify_documents(spark, sf):
     """Quality classifier on labelled documents with the reference forest (136 trees,
-    depth 5, 3 rows per leaf, sqrt features); held-out 20% by doc_id hash."""
+    depth 5, 3 rows per leaf, sqrt features); held-out 20% by doc_id hash, whose AUC must
+    exceed 0.75."""
     train, test = hash_split(labelled_documents(spark, sf), ["doc_id"], seed=123, train_fraction=0.8)
     model = documents_classifier(train)
-    pred = model.transform(test).withColumn("p1", MD.positive_probability())
+    pred = cut_lineage(model.transform(test).withColumn("p1", MD.positive_probability()).select("label", "p1", "prediction"))
+    auc = M.auc(pred, "label", "p1").first()["auc"]
     return pred.agg(F.count(F.lit(1)).alias("n_scored"),
                     F.count_if(F.col("p1").between(0.0, 1.0)).alias("n_prob_in_range"),
-                    F.count_if(F.col("prediction") == (F.col("p1") > 0.5).cast("double")).alias("n_pred_valid"))
+                    F.count_if(F.col("prediction") == (F.col("p1") > 0.5).cast("double")).alias("n_pred_valid")) \
+        .withColumn("beats_bar", F.lit(auc > 0.75))
+
+
+# ----------------------------------------------- tuning at the reference's size
+
+def _document_folds(spark, sf, k=10):
+    train, _ = hash_split(labelled_documents(spark, sf), ["doc_id"], seed=123, train_fraction=0.8)
+    return cut_lineage(with_folds(train, ["doc_id"], k))
+
+
+# The fraud grid and the first of its curves.
+FRAUD_GRID = dict(trees=list(range(135, 142)), min_split=[7, 8, 9], min_leaf=[4, 5, 3])
+CURVE_TREES = list(range(50, 200, 10))
+
+
+@query("grid_search_reference", oracle="""
+select n as n_estimators, s as min_samples_split, l as min_samples_leaf, 10 as n_folds, true as beats_bar, true as rank_follows
+from range(135, 142) a(n), (values (7), (8), (9)) b(s), (values (3), (4), (5)) c(l)
+where (select count(*) from documents d join labels q on d.doc_id = q.doc_id) > 0
+""")
+def q_grid_search_reference(spark, sf):
+    """The reference's fraud grid, 63 settings in 10 folds by AUC, on the labelled documents:
+    30 fits in place of 630."""
+    trials = TU.forest_grid(MD.forest_classifier(), _document_folds(spark, sf), 10, **FRAUD_GRID, recipe=documents_recipe())
+    rows = [(t.params["n_estimators"], t.params["min_samples_split"], t.params["min_samples_leaf"], len(t.scores["score"]),
+             t.mean("score")) for t in trials]
+    table = TU.results_table(spark, trials).select(F.from_json("params", "n_estimators int, min_samples_split int, "
+                                                               "min_samples_leaf int").alias("p"), "rank_test_score")
+    means = spark.createDataFrame(rows, "n_estimators int, min_samples_split int, min_samples_leaf int, n_folds int, mean double")
+    by = ["n_estimators", "min_samples_split", "min_samples_leaf"]
+    ranked = means.withColumn("r", F.rank().over(Window.orderBy(F.desc("mean"))))
+    return ranked.join(table.select("p.*", "rank_test_score"), by).select(
+        F.col("n_estimators").cast("long").alias("n_estimators"), "min_samples_split", "min_samples_leaf", "n_folds",
+        (F.col("mean") > 0.75).alias("beats_bar"), (F.col("r") == F.col("rank_test_score")).alias("rank_follows"))
+
+
+@query("validation_curve_reference", oracle="""
+select n as n_estimators, 10 as n_folds, true as beats_bar from range(50, 200, 10) a(n)
+where (select count(*) from documents d join labels q on d.doc_id = q.doc_id) > 0
+""")
+def q_validation_curve_reference(spark, sf):
+    """The reference's curve of 15 forest sizes in 10 folds, from one fit a fold."""
+    trials = TU.forest_grid(MD.forest_classifier(minInstancesPerNode=1), _document_folds(spark, sf), 10, CURVE_TREES,
+                            recipe=documents_recipe())
+    rows = [(t.params["n_estimators"], len(t.scores["score"]), t.mean("score") > 0.75) for t in trials]
+    return spark.createDataFrame(rows, "n_estimators long, n_folds int, beats_bar boolean")
+
+
+@query("leaderboard_documents", oracle="select m as model, true as rank_follows, true as in_range from (values "
+       + ", ".join(f"('{m}')" for m in _MODELS) + ") s(m) where (select count(*) from labels) > 0")
+def q_leaderboard_documents(spark, sf):
+    """The six families on the labelled documents, by kappa and MCC as well as AUC, ranked by
+    kappa."""
+    metrics = {"kappa": M.ConfusionEvaluator("kappa"), "mcc": M.ConfusionEvaluator("mcc"), "auc": _auc_evaluator()}
+    board, _ = TU.leaderboard(MD.leaderboard_models(), metrics, _document_folds(spark, sf, 3), 3, recipe=documents_recipe(),
+                              sort="kappa", fit_best=False)
+    return board.select("model", (F.rank().over(Window.orderBy(F.desc("mean_kappa"))) == F.col("rank")).alias("rank_follows"),
+                        (F.col("mean_kappa").between(-1, 1) & F.col("mean_mcc").between(-1, 1)
+                         & F.col("mean_auc").between(0.3, 1)).alias("in_range"))
+
+
+@query("rf_min_split", oracle=f"""select count(*) as n_scored, true as bound_holds, true as was_needed, true as good_fit
+from {TEST_SIDE}""")
+def q_rf_min_split(spark, sf):
+    """The regression forest grown to depth 10 and pruned so that no node of fewer than 40
+    rows is split; held-out R² stays above 0.9."""
+    train, test = claims_split(spark, sf)
+    model = regression_model(train, maxDepth=10, minInstancesPerNode=1, numTrees=10)
+    was = T.smallest_split(T.node_table(spark, model.stages[-1]))
+    cut = T.prune_small_nodes(model.stages[-1], spark, 40)
+    now = T.smallest_split(T.node_table(spark, cut))
+    pruned = PipelineModel([*model.stages[:-1], cut])
+    pred = cut_lineage(pruned.transform(test).select("net_amount", "prediction"))
+    r2 = M.regression_metrics(pred, "net_amount", "prediction").first()["r2"]
+    return pred.agg(F.count(F.lit(1)).alias("n_scored")).select(
+        "n_scored", F.lit(now >= 40).alias("bound_holds"), F.lit(was < 40).alias("was_needed"), F.lit(r2 > 0.9).alias("good_fit"))
 
 
 # ------------------------------------------------------------------ streaming

@@ -62,6 +62,14 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path, CUSTOMER_CSV_SCHEMA)
 
 
+@query("csv_documents", oracle="select doc_id, text, lang, source, n_chars from documents")
+def q_csv_documents(spark, sf):
+    """All columns and whole texts of documents through CSV files: quotes, line breaks, empty
+    texts and all."""
+    path = write_csv(t(spark, sf, "documents"), shared_path(spark, "csv", unique=True))
+    return read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint", line_sep="\n")
+
+
 # ------------------------------------------------------------- projections
 
 

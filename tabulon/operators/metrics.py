@@ -7,6 +7,9 @@ is a window within each range of scores plus what lies in the ranges before it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,31 +20,33 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "score") -> DataFrame:
-    """One row: (auc, n_pos, n_neg). ``label`` is 1 for positives, 0 for negatives;
-    rows with a NULL label or a NULL/NaN score are left out.
+def auc(df: DataFrame, label: str | Column = "label", score: str | Column = "score",
+        by: Sequence[str] = ()) -> DataFrame:
+    """One row (for each value of the columns ``by``): (auc, n_pos, n_neg). ``label`` is 1 for
+    positives, 0 for negatives; rows with a NULL label or a NULL/NaN score are left out.
 
     AUC = sum over distinct scores p of pos(p) * (neg(< p) + neg(= p)/2) / (P * N),
     the Mann-Whitney statistic with average ranks for ties. The distinct scores are
     range-partitioned; what lies below a partition is the sum of the partitions before
     it, and the running count is a window within each.
     """
+    by = list(by)
     y = _c(label).cast("int")
-    g = (df.select(y.alias("y"), _c(score).cast("double").alias("p"))
+    g = (df.select(*by, y.alias("y"), _c(score).cast("double").alias("p"))
            .where(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
-           .groupBy("p").agg(F.count_if(F.col("y") == 1).alias("np"),
-                             F.count_if(F.col("y") == 0).alias("nn")))
+           .groupBy(*by, "p").agg(F.count_if(F.col("y") == 1).alias("np"),
+                                  F.count_if(F.col("y") == 0).alias("nn")))
     # The range boundaries must be the same for the totals and the windows, so the
     # partitioned scores are written once, to the shared folder.
-    g = cut_lineage(g.repartitionByRange("p").withColumn("b", F.spark_partition_id()))
-    per_range = g.groupBy("b").agg(F.sum("nn").alias("bn"))  # a row per partition
-    offsets = per_range.select(
-        "b", F.sum("bn").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)).alias("off"))
-    within = Window.partitionBy("b").orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = cut_lineage(g.repartitionByRange(*by, "p").withColumn("b", F.spark_partition_id()))
+    per_range = g.groupBy(*by, "b").agg(F.sum("nn").alias("bn"))  # a row per partition (and group)
+    upto = (Window.partitionBy(*by) if by else Window).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(*by, "b", F.sum("bn").over(upto).alias("off"))
+    within = Window.partitionBy(*by, "b").orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (g.withColumn("below_in", F.sum("nn").over(within) - F.col("nn"))
-               .join(F.broadcast(offsets), "b")
+               .join(offsets if by else F.broadcast(offsets), [*by, "b"])
                .withColumn("below", F.coalesce(F.col("off"), F.lit(0)) + F.col("below_in")))
-    return ranked.agg(
+    return ranked.groupBy(*by).agg(
         F.round(F.try_divide(F.sum(F.col("np") * (F.col("below") + F.col("nn") / 2.0)),
                              F.sum("np").cast("double") * F.sum("nn").cast("double")), 6).alias("auc"),
         F.sum("np").cast("bigint").alias("n_pos"),
@@ -105,3 +110,20 @@ def confusion_metrics(df: DataFrame, label: str | Column = "label",
         F.round(div(2 * precision * recall, precision + recall), 6).alias("f1"),
         F.round(div(po - pe, 1 - pe), 6).alias("kappa"),
         F.round(div(tp * tn - fp * fn, F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))), 6).alias("mcc"))
+
+
+class ConfusionEvaluator(Evaluator):
+    """A column of ``confusion_metrics`` (accuracy, precision, recall, f1, kappa, mcc ...) as
+    an evaluator, for cross-validation and the leaderboard; larger is better. A metric that
+    is not defined (MCC of a constant answer) counts as 0."""
+
+    def __init__(self, metric: str = "kappa", label: str = "label", prediction: str = "prediction"):
+        super().__init__()
+        self.metric, self.label, self.prediction = metric, label, prediction
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        value = confusion_metrics(dataset, self.label, self.prediction).first()[self.metric]
+        return float(value) if value is not None else 0.0
+
+    def isLargerBetter(self) -> bool:
+        return True
