@@ -295,3 +295,14 @@ def q_confusion_metrics(spark, sf):
     scored = li.select((net_amount() > 50000).cast("int").alias("label"),
                        (F.col("l_extendedprice") > 50000).cast("int").alias("prediction"))
     return M.confusion_metrics(scored)
+
+
+@query("string_index_table", oracle="""
+with v as (select concat(l_orderkey, '-', l_partkey % 40) as v, l_quantity from lineitem),
+     labels as (select v, row_number() over (order by count(*) desc, v) - 1 as label from v group by v)
+select v.v as key, l_quantity, cast(label as double) as key_index from v join labels on labels.v = v.v
+""")
+def q_string_index_table(spark, sf):
+    """Labels of a column of nearly as many values as rows, ranked and joined on the cluster."""
+    df = t(spark, sf, "lineitem").select(F.concat("l_orderkey", F.lit("-"), F.col("l_partkey") % 40).alias("key"), "l_quantity")
+    return FE.index_by_table(df, "key", FE.label_table(df, "key"))

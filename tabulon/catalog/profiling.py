@@ -201,3 +201,81 @@ def q_drop_uninformative(spark, sf):
     docs = t(spark, sf, "documents").withColumn("note", F.lit(None).cast("double"))
     decided, _kept = P.drop_uninformative(docs)
     return decided
+
+
+# ------------------------------------------------------------------ hard values
+
+# Columns derived from orders by the key: NULL and NaN, infinities, a decimal, a short, numbers
+# at both ends of the double, and whole numbers that no double holds.
+_HARD = {
+    "gaps": ("case when o_orderkey % 7 = 0 then null when o_orderkey % 11 = 0 then cast('NaN' as double) else o_totalprice end", "double"),
+    "cents": ("cast(o_totalprice as decimal(18, 2))", "decimal"),
+    "small": ("cast(o_orderkey % 100 as smallint)", "smallint"),
+    "huge": ("case when o_orderkey % 2 = 0 then 1e308 else -1e308 end", "double"),
+    "same": ("cast(1e308 as double)", "double"),
+    "tiny": ("(o_orderkey % 5 + 1) * 1e-300", "double"),
+    "big": ("9007199254740993 + 2 * (o_orderkey % 9)", "bigint"),
+}
+_HARD_SQL = "(select o_orderkey, " + ", ".join(f"{sql} as {c}" for c, (sql, _) in _HARD.items()) + " from orders)"
+
+
+def hard_orders(spark, sf):
+    """orders as derived columns of hard values."""
+    return t(spark, sf, "orders").selectExpr("o_orderkey", *[f"{sql} as {c}" for c, (sql, _) in _HARD.items()])
+
+
+def _hard_describe(c):
+    x = f"(case when isnan(cast({c} as double)) then null else cast({c} as double) end)"
+    # halves of a power of two, so that sums and squares of the largest doubles are finite
+    up, down = ("* pow(2.0, 540)", "/ pow(2.0, 540)") if c in ("huge", "same") else ("", "")
+    return (f"select '{c}' as column_name, count({x}) as n, cast(printf('%.8e', avg({x} {down}) {up}) as double) as mean, "
+            f"cast(printf('%.8e', stddev_samp({x} {down}) {up}) as double) as stddev, min({x}) as min_num, max({x}) as max_num, "
+            f"cast(null as varchar) as min_str, cast(null as varchar) as max_str from {_HARD_SQL}")
+
+
+#: Not the balanced column, whose mean is what rounding leaves, nor the one whose spread is in
+#: the last places of a double.
+_HARD_DESCRIBED = [c for c in _HARD if c not in ("huge", "big")]
+
+
+@query("describe_hard", oracle=_union([_hard_describe(c) for c in _HARD_DESCRIBED]))
+def q_describe_hard(spark, sf):
+    """Summary of columns with NULL, NaN, decimals, shorts, 1e308 and 1e-300."""
+    return P.describe_columns(hard_orders(spark, sf), _HARD_DESCRIBED)
+
+
+@query("histogram_hard", oracle=f"""
+with c as (select case when huge > 0 then 3 else 0 end as bin, count(*) as n from {_HARD_SQL} group by 1)
+select b as bin, (b - 2) * 5e307 as lo, (b - 1) * 5e307 as hi, coalesce(n, 0) as n
+from (values (0), (1), (2), (3)) g(b) left join c on c.bin = b
+""")
+def q_histogram_hard(spark, sf):
+    """Four bins over a range wider than the largest double."""
+    return P.histogram(hard_orders(spark, sf), "huge", 4)
+
+
+@query("median_hard", oracle=f"""
+select o_orderkey, coalesce(case when isnan(gaps) then null else gaps end,
+                            (select median(gaps) from {_HARD_SQL} where not isnan(gaps))) as gaps,
+       coalesce(case when o_orderkey % 4 = 0 then null else big end,
+                (select quantile_disc(big, 0.5) from {_HARD_SQL} where o_orderkey % 4 != 0)) as big
+from {_HARD_SQL}
+""")
+def q_median_hard(spark, sf):
+    """Median imputation of a column with NULL and NaN, and of longs beyond 2**53."""
+    df = hard_orders(spark, sf).selectExpr("o_orderkey", "gaps", "case when o_orderkey % 4 = 0 then null else big end as big")
+    return P.impute_median(df, ["gaps", "big"])
+
+
+def _near(c):
+    """As a double; large longs less a constant, so that squares keep their last places."""
+    return f"cast({c} as double) - 9007199254740992.0" if c == "big" else f"cast({c} as double)"
+
+
+@query("correlation_hard", oracle=_union([
+    f"select '{a}' as col_a, '{b}' as col_b, round(corr(a, b), 6) as corr from (select {_near(a)} as a, "
+    f"{_near(b)} as b from {_HARD_SQL}) where not isnan(a) and not isnan(b)"
+    for a in ("gaps", "cents", "small", "big") for b in ("gaps", "cents", "small", "big")]))
+def q_correlation_hard(spark, sf):
+    """Correlations over each pair's complete rows, with NULL, NaN, decimals and large longs."""
+    return P.correlation_matrix(hard_orders(spark, sf), ["gaps", "cents", "small", "big"])

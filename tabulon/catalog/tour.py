@@ -14,7 +14,7 @@ from tabulon.catalog.registry import query, sround, t
 from tabulon.functions.scalar import net_amount, null_when, threshold_flag
 from tabulon.operators import columns as C
 from tabulon.operators.dedup import dedup_by_key, distinct_rows
-from tabulon.operators.joins import equi_join, salted_join, with_small
+from tabulon.operators.joins import equi_join, salted_join, skew_join, with_small
 from tabulon.operators.ordering import limit_rows, sort_desc, top_k
 from tabulon.session import shared_path
 from tabulon.sources.csv import read_csv, write_csv
@@ -171,6 +171,40 @@ def q_join_skewed(spark, sf):
     return salted_join(left.select(*LINE_KEY, "l_extendedprice", "flag"), flags, ["flag"], "left", rows_per_task=1000)
 
 
+# A key that holds a third of the orders and a tenth of the customers, keys that only one
+# side has, and NULLs.
+_SKEW_O = "case when o_orderkey % 3 = 0 then 1 when o_orderkey % 97 = 0 then null when o_orderkey % 5 = 0 then -2 else o_custkey end"
+_SKEW_C = "case when c_custkey % 10 = 0 then 1 when c_custkey % 89 = 0 then null when c_custkey % 7 = 0 then -3 else c_custkey end"
+_SKEW_SIDES = f"""l as (select {_SKEW_O} as k, o_orderkey from orders),
+     r as (select {_SKEW_C} as k, c_custkey, c_nationkey from customer)"""
+
+
+def _skewed(how, sql):
+    exists = how in ("leftsemi", "leftanti")
+    sums = "count(*) as n, sum(o_orderkey)::bigint as orders" + (
+        "" if exists else ", sum(c_custkey)::bigint as customers, count(c_nationkey) as nations")
+
+    @query(f"join_skewed_{how.removeprefix('left') if exists else how}", oracle=f"""
+with {_SKEW_SIDES},
+     j as ({sql})
+select k, {sums} from j group by k
+""")
+    def run(spark, sf):
+        left = t(spark, sf, "orders").selectExpr(f"{_SKEW_O} as k", "o_orderkey")
+        right = t(spark, sf, "customer").selectExpr(f"{_SKEW_C} as k", "c_custkey", "c_nationkey")
+        out = [F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders")]
+        if not exists:
+            out += [F.sum("c_custkey").alias("customers"), F.count("c_nationkey").alias("nations")]
+        return skew_join(left, right, "k", how, rows_per_task=400).groupBy("k").agg(*out)
+    run.__doc__ = f"{how} join on a key that is hot on both sides, every key's rows counted and summed."
+
+
+for _how, _kind in (("inner", "join"), ("left", "left join"), ("right", "right join"), ("outer", "full join")):
+    _skewed(_how, f"select coalesce(l.k, r.k) as k, o_orderkey, c_custkey, c_nationkey from l {_kind} r on l.k = r.k")
+_skewed("leftsemi", "select * from l where k in (select k from r where k is not null)")
+_skewed("leftanti", "select * from l where not exists (select 1 from r where r.k = l.k)")
+
+
 @query("claim_status", oracle=f"""
 with li as (select *, {NET} as net from lineitem),
      g as (select l_returnflag, l_linestatus, avg(net) as expected from li group by 1, 2)

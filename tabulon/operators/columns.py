@@ -11,12 +11,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructType
+from pyspark.sql.types import NumericType, StructType
 
 from tabulon.functions.fixed import POLICY_LABELS, PREDICTION_TEXT_COL
 from tabulon.functions.scalar import binary_label, decode_labels, map_labels, null_when
 
-NUMERIC_TYPES = (IntegerType, FloatType, DoubleType, LongType)
+#: Every number type: byte, short, int, long, float, double and decimal.
+NUMERIC_TYPES = (NumericType,)
 
 
 def copy_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -63,8 +64,8 @@ def decode_prediction(df: DataFrame, col: str = "prediction",
 def split_by_type(schema: StructType, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """(numeric, categorical) column names in schema order.
 
-    int/long/float/double are numeric; every other type (string, date, timestamp,
-    boolean, decimal, short, byte) counts as categorical.
+    Numbers of every width, decimals too, are numeric; every other type (string, date,
+    timestamp, boolean) counts as categorical.
     """
     numeric, categorical = [], []
     for f in schema.fields:

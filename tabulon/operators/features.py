@@ -14,10 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.columns import split_by_type
+from tabulon.operators.joins import skew_join
+from tabulon.session import cut_lineage
 
 # Dummy columns are one projection per distinct value; above this many levels in a
 # column the encoding is refused (use the indexer + one-hot vector instead).
@@ -81,6 +83,47 @@ def index_stage(cols: Sequence[str], handle_invalid: str = "error", suffix: str
                          handleInvalid=handle_invalid, stringOrderType="frequencyDesc")
 
 
+def label_table(df: DataFrame, col: str) -> DataFrame:
+    """(value, n, label) of a column's values as text: labels 0, 1, 2 ... (double) by descending
+    frequency, ties by value, as ``StringIndexer`` numbers them, for any number of values.
+
+    The counts are range-partitioned in that order and written; a label is the place within
+    its range plus the size of the ranges before it. No list of labels reaches the driver.
+    NULL has no label.
+    """
+    counts = (df.select(F.col(f"`{col}`").cast("string").alias("value")).where("value is not null")
+              .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    order = [F.desc("n"), F.asc("value")]
+    ranges = cut_lineage(counts.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    sizes = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("size"))  # a row for each partition
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return (ranges.withColumn("place", place).join(F.broadcast(starts), "range")
+            .select("value", "n", (F.col("start") + F.col("place")).cast("double").alias("label")))
+
+
+def index_by_table(df: DataFrame, col: str, labels: DataFrame, into: str | None = None,
+                   handle_invalid: str = "error", rows_per_task: int = 1_000_000) -> DataFrame:
+    """``df`` with the label of ``col`` from a ``label_table``, joined with hot values split.
+
+    A value that the table lacks, or NULL: ``keep`` numbers it as the first label after the
+    table's, ``skip`` drops the row, ``error`` fails the call where there is such a row.
+    """
+    if handle_invalid not in ("error", "keep", "skip"):
+        raise ValueError(f"handle_invalid {handle_invalid!r}")
+    into = into or f"{col}_index"
+    keyed = df.withColumn("__value", F.col(f"`{col}`").cast("string"))
+    table = cut_lineage(labels.select(F.col("value").alias("__value"), F.col("label").alias("__label")))
+    out = skew_join(keyed, table, "__value", "inner" if handle_invalid == "skip" else "left", rows_per_task)
+    if handle_invalid == "error" and not out.where("__label is null").isEmpty():
+        raise ValueError(f"{col!r} has values without a label")
+    label = F.col("__label")
+    if handle_invalid == "keep":
+        label = F.coalesce(label, F.lit(float(table.count())))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != into], label.alias(into))
+
+
 def one_hot_stage(cols: Sequence[str], in_suffix: str = "_index", suffix: str = "_encoded") -> OneHotEncoder:
     """n-1 slots per column (last index dropped). After a ``keep`` indexer the dropped
     slot is the unseen bucket, so every known label keeps a slot."""

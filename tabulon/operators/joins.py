@@ -52,41 +52,71 @@ def with_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: s
     return _null_safe(big, F.broadcast(small) if fits else small, on, how)
 
 
-SALTABLE = ("inner", "left", "leftsemi", "leftanti")
+def skew_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
+              rows_per_task: int = 1_000_000) -> DataFrame:
+    """``equi_join`` of any of the six types for keys that are hot on either side, or on both.
+
+    Keys with more than ``rows_per_task`` rows on a side are counted apart (there are at most
+    rows / rows_per_task of them a side). A hot key on both sides fills a grid: its left rows
+    are dealt into i parts and its right rows into j, and every left part meets every right
+    part in a cell, each a task's work. On such keys every row has a partner, so outer
+    joins need nothing more, a semi join takes the left rows as they are, and rows of a hot
+    key that the other side lacks are added once, unjoined. All other keys join as usual.
+    Rows with a NULL key match nothing and are not shuffled.
+
+    Hot rows get their parts by their place in the scan, so equal rows spread too; they
+    are written to the shared folder with them, so a repeated task reads the same parts.
+    """
+    if how not in JOIN_TYPES:
+        raise ValueError(f"join type {how!r} not in {JOIN_TYPES}")
+    on = [on] if isinstance(on, str) else list(on)
+    names = equi_join(left, right, on, how).columns
+    keys = [f"__k{i}" for i in range(len(on))]
+
+    def own(df, letter):
+        rest = [c for c in df.columns if c not in on]
+        return df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(on, keys)],
+                         *[F.col(f"`{c}`").alias(f"__{letter}{i}") for i, c in enumerate(rest)])
+
+    a, b = own(left, "l"), own(right, "r")
+    exists = how in ("leftsemi", "leftanti")
+    out = [*keys, *a.columns[len(on):], *([] if exists else b.columns[len(on):])]
+    given = F.lit(True)
+    for k in keys:
+        given = given & F.col(k).isNotNull()
+
+    def counted(df, name):
+        return df.where(given).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    most = F.greatest(F.coalesce("__n", F.lit(0)), F.coalesce("__m", F.lit(0)))
+    hot = cut_lineage(counted(a, "__n").join(counted(b, "__m"), keys, "outer").where(most > rows_per_task).select(
+        *keys, F.ceil(F.coalesce("__n", F.lit(0)) / rows_per_task).cast("int").alias("__i"),
+        F.ceil(F.coalesce("__m", F.lit(0)) / rows_per_task).cast("int").alias("__j")))
+    small = hot.count() <= MAX_BROADCAST_ROWS
+    with_hot = lambda df, kind: df.where(given).join(F.broadcast(hot) if small else hot, keys, kind)
+    plain = with_hot(a, "leftanti").join(with_hot(b, "leftanti"), keys, how).select(*out)
+    parts = [plain]
+    alone_left, alone_right = how in ("left", "outer", "leftanti"), how in ("right", "outer")
+    if alone_left:
+        parts += [a.where(~given), with_hot(a, "inner").where("__j = 0")]
+    if alone_right:
+        parts += [b.where(~given), with_hot(b, "inner").where("__i = 0")]
+    if how == "leftsemi":
+        parts.append(with_hot(a, "inner").where("__j > 0"))
+    elif how != "leftanti":
+        at = F.monotonically_increasing_id()
+        x = cut_lineage(with_hot(a, "inner").where("__j > 0").withColumn("__x", F.pmod(at, F.col("__i")).cast("int")))
+        y = cut_lineage(with_hot(b, "inner").where("__i > 0").withColumn("__y", F.pmod(at, F.col("__j")).cast("int")))
+        x = x.withColumn("__y", F.explode(F.sequence(F.lit(0), F.col("__j") - 1))).drop("__i", "__j")
+        y = y.withColumn("__x", F.explode(F.sequence(F.lit(0), F.col("__i") - 1))).drop("__i", "__j")
+        parts.append(x.join(y, [*keys, "__x", "__y"]))
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.unionByName(part.select(*[c for c in part.columns if c in out]), allowMissingColumns=True)
+    return total.select(*out).toDF(*names)
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
                 rows_per_task: int = 1_000_000) -> DataFrame:
-    """Equi-join whose hot keys (more than ``rows_per_task`` rows on the left) are split
-    over as many tasks as their rows need.
-
-    A left row of a hot key takes its salt from its place in the scan (partition and
-    row number, the same when a task is repeated), so equal rows spread too; right rows
-    of a hot key are repeated once per salt; other keys keep salt 0. At most
-    ``rows / rows_per_task`` keys can be hot; the list is counted, and the bar raised
-    until it may be broadcast. Rows with a NULL key match nothing and are not shuffled.
-    Only join types where the repeated right rows cannot duplicate output are allowed
-    (the skewed side is the left one).
-    """
-    if how not in SALTABLE:
-        raise ValueError(f"salted join supports {SALTABLE}, not {how!r}")
-    on = list(on)
-    has_key = F.lit(True)
-    for k in on:
-        has_key = has_key & F.col(f"`{k}`").isNotNull()
-    counts = cut_lineage(left.where(has_key).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-                         .where(F.col("__n") > rows_per_task))
-    bar = rows_per_task
-    while counts.where(F.col("__n") > bar).count() > MAX_BROADCAST_ROWS:
-        bar *= 4
-    hot = F.broadcast(counts.where(F.col("__n") > bar)
-                      .select(*on, F.ceil(F.col("__n") / rows_per_task).cast("long").alias("__salts")))
-    salted = (left.where(has_key).withColumn("__at", F.monotonically_increasing_id()).join(hot, on=on, how="left")
-              .withColumn("__salt", F.pmod(F.col("__at"), F.coalesce("__salts", F.lit(1)))).drop("__salts", "__at"))
-    repeated = (right.join(hot, on=on, how="left")
-                .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1)))
-                .drop("__salts"))
-    out = salted.join(repeated, on=[*on, "__salt"], how=how).drop("__salt")
-    if how in ("left", "leftanti"):
-        out = out.unionByName(left.where(~has_key), allowMissingColumns=True)
-    return out
+    """``skew_join`` under its earlier name."""
+    return skew_join(left, right, on, how, rows_per_task)

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType, StringType
 
 from tabulon.functions.scalar import is_missing
 from tabulon.operators.columns import NUMERIC_TYPES, split_by_type
@@ -66,6 +69,16 @@ def significant(x: Column, digits: int = 9) -> Column:
     return F.when(x.isNotNull(), F.format_string(f"%.{digits - 1}e", x).cast("double"))
 
 
+#: Beyond this, squares and sums of doubles may overflow; the moments of a column that goes
+#: there are taken of its values divided by a power of two.
+_HUGE, _SCALE = 1e150, 2.0 ** 540
+
+
+def _moment(f, x: Column) -> Column:
+    """A mean or standard deviation that overflows only where its own value does."""
+    return F.when(F.max(F.abs(x)) > _HUGE, f(x / _SCALE) * _SCALE).otherwise(f(x))
+
+
 def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Typed ``describe``: one row per column with count, mean, stddev, min, max.
 
@@ -73,11 +86,15 @@ def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     ``min_num, max_num``; NaN is missing in all of them and in the count, infinities
     are values. Text columns fill
     ``min_str, max_str`` (mean and stddev of text are NULL, as in Spark). Columns of
-    other types are skipped, as Spark's ``describe`` does.
+    other types are skipped, as Spark's ``describe`` does; a table of only those gives no
+    rows.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, NUMERIC_TYPES + (StringType,))]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n bigint, mean double, stddev double, min_num double, "
+                                               "max_num double, min_str string, max_str string")
     structs = []
     for c in cols:
         x = F.col(f"`{c}`")
@@ -87,8 +104,8 @@ def describe_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.count(xd).alias("n"),
-            (significant(F.avg(xd)) if num else null_d).alias("mean"),
-            (significant(F.stddev_samp(xd)) if num else null_d).alias("stddev"),
+            (significant(_moment(F.avg, xd)) if num else null_d).alias("mean"),
+            (significant(_moment(F.stddev_samp, xd)) if num else null_d).alias("stddev"),
             (F.min(xd) if num else null_d).alias("min_num"),
             (F.max(xd) if num else null_d).alias("max_num"),
             (null_s if num else F.min(x).cast("string")).alias("min_str"),
@@ -161,16 +178,22 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     if st["lo"] is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
     lo = F.lit(st["lo"])
-    width = F.lit((st["hi"] - st["lo"]) / bins if st["hi"] > st["lo"] else 1.0)
-    b = F.least(F.floor((F.col("x") - lo) / width).cast("int"), F.lit(bins - 1))
+    wide = st["hi"] - st["lo"] == float("inf")  # the range is beyond the largest double: work on halves
+    width = F.lit(st["hi"] / bins - st["lo"] / bins if wide else (st["hi"] - st["lo"]) / bins if st["hi"] > st["lo"] else 1.0)
+    place = (F.col("x") / 2 - lo / 2) / (width / 2) if wide else (F.col("x") - lo) / width
+    b = F.least(F.floor(place).cast("int"), F.lit(bins - 1))
+
+    def edge(k: Column) -> Column:
+        return lo * (1 - k / bins) + F.lit(st["hi"]) * (k / bins) if wide else lo + k * width
+
     counts = base.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = grid.join(F.broadcast(counts), "bin", "left")  # both sides have <= bins rows
     return out.select(
         "bin",
-        F.round(lo + F.col("bin") * width, 6).alias("lo"),
-        F.round(lo + (F.col("bin") + 1) * width, 6).alias("hi"),
+        F.round(edge(F.col("bin")), 6).alias("lo"),
+        F.round(edge(F.col("bin") + 1), 6).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
     )
 
@@ -229,21 +252,85 @@ def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], cols: list[s
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair (col_a, col_b, corr).
+    """Pearson correlation of every ordered pair (col_a, col_b, corr), 6 places.
 
-    Only the upper triangle is computed; the result is mirrored in place with
-    ``stack``. The wide expressions are written as SQL text: one call to build them
-    instead of several hundred Column-API calls from Python.
+    Each pair keeps the rows in which both are present (NULL and NaN are missing, as in
+    pandas); NULL where a side does not vary, or has an infinity or squares beyond the double.
+
+    One scan. A task multiplies blocks of rows with the blocks' presence masks, which gives
+    the counts, means and centred sums of all pairs at once, and merges them (the pairwise
+    update of variances); what it hands on is a row for each column. Those rows are merged
+    by column, in two steps, so no task gets the rows of all tasks.
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = _pair_correlations(df, pairs, cols)
-    items = []
-    for k, (a, b) in enumerate(pairs):
-        items.append(f"{_text(a)}, {_text(b)}, round(c{k}, 6)")
-        if a != b:
-            items.append(f"{_text(b)}, {_text(a)}, round(c{k}, 6)")
-    return agg.selectExpr(f"stack({len(items)}, {', '.join(items)}) as (col_a, col_b, corr)")
+    width = len(cols)
+    base = df.select(*[F.col(_ident(c)).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    names = ["n", "mx", "my", "sxx", "syy", "sxy"]
+
+    def block(x):
+        """The six matrices of one block: of column i, over the rows that have column j too."""
+        there = ~np.isnan(x)
+        m = there.astype(float)
+        counts = np.maximum(m.sum(axis=0), 1)
+        full = np.where(there, x, 0.0)
+        least, most = (f(axis=0) for f in (np.where(there, x, np.inf).min, np.where(there, x, -np.inf).max))
+        # a column of one value is centred to zeros exactly
+        shift = np.where(least == most, least, full.sum(axis=0) / counts)
+        d = np.where(there, x - shift, 0.0)
+        n = m.T @ m
+        some = np.maximum(n, 1)
+        a = d.T @ m
+        mx = np.where(n > 0, a / some + shift[:, None], 0.0)
+        sxx = (d * d).T @ m - a * a / some
+        sxy = d.T @ d - a * a.T / some
+        return [n, mx, mx.T, np.maximum(sxx, 0), np.maximum(sxx, 0).T, sxy]
+
+    def merge(p, q):
+        n = p[0] + q[0]
+        share = np.where(n > 0, q[0] / np.maximum(n, 1), 0.0)
+        dx, dy, both = q[1] - p[1], q[2] - p[2], p[0] * share
+        dx, dy = (np.where((p[0] > 0) & (q[0] > 0), d, 0.0) for d in (dx, dy))
+        mx = np.where(p[0] > 0, p[1] + dx * share, q[1])
+        my = np.where(p[0] > 0, p[2] + dy * share, q[2])
+        return [n, mx, my, p[3] + q[3] + dx * dx * both, p[4] + q[4] + dy * dy * both, p[5] + q[5] + dx * dy * both]
+
+    def partial(batches):
+        total = None
+        with np.errstate(all="ignore"):
+            for batch in batches:
+                if batch.num_rows:
+                    x = np.stack([c.cast("float64").fill_null(float("nan")).to_numpy(zero_copy_only=False)
+                                  for c in batch.columns], axis=1)
+                    total = block(x) if total is None else merge(total, block(x))
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32())] + [pa.array(list(t)) for t in total],
+                                             names=["i", *names])
+
+    def merged(group):
+        total = None
+        with np.errstate(all="ignore"):
+            for k in range(group.num_rows):
+                row = [np.array(group[x][k].as_py()) for x in names]
+                total = row if total is None else merge(total, row)
+        return total
+
+    def halfway(group: pa.Table) -> pa.Table:
+        return pa.table({"i": group["i"][:1]} | {x: pa.array([t]) for x, t in zip(names, merged(group))})
+
+    def last(group: pa.Table) -> pa.Table:
+        n, _, _, sxx, syy, sxy = merged(group)
+        with np.errstate(all="ignore"):
+            r = sxy / (np.sqrt(sxx) * np.sqrt(syy))
+        r = np.where((n > 1) & np.isfinite(r), np.clip(r, -1, 1), np.nan)
+        i = group["i"][0].as_py()
+        return pa.table({"col_a": pa.array([cols[i]] * width), "col_b": pa.array(cols),
+                         "corr": pa.array(r, pa.float64(), from_pandas=True)})
+
+    arrays = ", ".join(f"{x} array<double>" for x in names)
+    rows = base.mapInArrow(partial, f"i int, {arrays}").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64)))
+    rows = rows.groupBy("i", "part").applyInArrow(halfway, f"i int, {arrays}")
+    out = rows.groupBy("i").applyInArrow(last, "col_a string, col_b string, corr double")
+    return out.withColumn("corr", F.round("corr", 6))
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -259,34 +346,51 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataF
 
 # ------------------------------------------------------------------------- median
 
-def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> dict[str, float | None]:
+def _exact_type(df: DataFrame, col: str) -> str:
+    """The type in which a column's values are compared: whole numbers and decimals as decimals
+    of their own scale, so none is rounded to a double."""
+    dtype = _dtype(df, col)
+    if isinstance(dtype, DecimalType):
+        return dtype.simpleString()
+    return "decimal(20, 0)" if isinstance(dtype, IntegralType) else "double"
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> dict[str, float | Decimal | None]:
     """Exact median of every column (mean of the two middle values for even n), NULL and
-    NaN skipped; infinities are values.
+    NaN skipped; infinities are values. Of whole numbers and decimals it is a decimal.
 
     Spark's ``median`` buffers every distinct value of a group in one task. Here the two
     middle ranks of all columns are narrowed down together: a round is one filtered
     scan and a ``groupBy(column, rank, bucket)``, and the interval of a rank shrinks to
     the least and largest value of the bucket that holds it, until they are one value.
-    Only those counts reach the driver. Both ends of an interval are values of the
-    column and fall in different buckets, so every round gets nearer.
+    The bucket is found by running counts on the cluster; a row for each column and
+    rank reaches the driver. Both ends of an interval are values of the column and
+    fall in different buckets, so every round gets nearer; a bucket's number is a double, but
+    the values are compared and kept in their own type.
     """
     names = [f"v{i}" for i in range(len(cols))]
-    base = df.select(*[F.nanvl(F.col(_ident(c)).cast("double"), F.lit(None).cast("double")).alias(v)
-                       for c, v in zip(cols, names)])
+    types = [_exact_type(df, c) for c in cols]
+    floats = [ty == "double" for ty in types]
+    base = df.select(*[(F.nanvl(F.col(_ident(c)).cast("double"), F.lit(None).cast("double")) if fl
+                        else F.col(_ident(c)).cast(ty)).alias(v) for c, v, ty, fl in zip(cols, names, types, floats)])
     inf = float("inf")
-    first = base.agg(*[f(F.when(F.abs(v) != inf, F.col(v))).alias(f"{k}{v}") for v in names
+
+    def finite(v, fl):
+        return F.abs(v) != inf if fl else F.col(v).isNotNull()
+
+    first = base.agg(*[f(F.when(finite(v, fl), F.col(v))).alias(f"{k}{v}") for v, fl in zip(names, floats)
                        for k, f in (("lo", F.min), ("hi", F.max))],
                      *[F.count(v).alias(f"n{v}") for v in names],
-                     *[F.count_if(F.col(v) == -inf).alias(f"under{v}") for v in names],
-                     *[F.count(F.when(F.abs(v) != inf, 1)).alias(f"fin{v}") for v in names]).first()
-    done: dict[tuple[int, int], float] = {}
-    open_: dict[tuple[int, int], tuple[float, float, int]] = {}  # (column, rank) -> lo, hi, rows below lo
+                     *[(F.count_if(F.col(v) == -inf) if fl else F.lit(0)).alias(f"under{v}") for v, fl in zip(names, floats)],
+                     *[F.count(F.when(finite(v, fl), 1)).alias(f"fin{v}") for v, fl in zip(names, floats)]).first()
+    done: dict[tuple[int, int], float | Decimal] = {}
+    open_: dict[tuple[int, int], tuple] = {}  # (column, rank) -> lo, hi, rows below lo
     for i, v in enumerate(names):
-        n, under, finite = first[f"n{v}"], first[f"under{v}"], first[f"fin{v}"]
+        n, under, fin = first[f"n{v}"], first[f"under{v}"], first[f"fin{v}"]
         for k in {(n - 1) // 2, n // 2} if n else ():
             if k < under:
                 done[i, k] = -inf
-            elif k >= under + finite:
+            elif k >= under + fin:
                 done[i, k] = inf
             else:
                 open_[i, k] = first[f"lo{v}"], first[f"hi{v}"], under
@@ -295,24 +399,38 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> di
             done[key] = open_.pop(key)[0]
         if not open_:
             break
-        parts = []
-        for (i, k), (lo, hi, _) in open_.items():
-            x = F.col(names[i])
-            # halves, so that the span of the largest doubles is not infinite
-            share = (x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else (x > lo).cast("double")
-            b = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
-            parts.append(F.when(x.between(lo, hi), F.struct(
-                F.lit(i).alias("i"), F.lit(k).cast("long").alias("k"), b.alias("b"), x.alias("x"))))
-        rows = (base.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).select("p.*")
-                .groupBy("i", "k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                .orderBy("i", "k", "b").collect())
-        for key in list(open_):
-            below = open_[key][2]
-            for r in (r for r in rows if (r["i"], r["k"]) == key):
-                if below + r["n"] > key[1]:
-                    open_[key] = r["lo"], r["hi"], below
-                    break
-                below += r["n"]
+        found = None
+        for exact in (True, False):  # doubles and decimals do not share a column
+            own = {key: x for key, x in open_.items() if floats[key[0]] != exact}
+            if not own:
+                continue
+            scale = max((int(types[i].rstrip(")").split(",")[1]) for i, _ in own), default=0) if exact else 0
+            kind = f"decimal(38, {scale})" if exact else "double"
+            parts, inside = [], F.lit(False)
+            for (i, k), (lo, hi, _) in own.items():
+                x = F.col(names[i])
+                if exact:
+                    share = (x - F.lit(lo).cast(types[i])).cast("double") / float(hi - lo)
+                else:  # halves, so that the span of the largest doubles is not infinite
+                    share = (x / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else (x > lo).cast("double")
+                here = x.between(F.lit(lo).cast(types[i]), F.lit(hi).cast(types[i]))
+                # only the greatest value is in the last bucket, so both ends never share one
+                b = F.when(x >= F.lit(hi).cast(types[i]), F.lit(buckets)).otherwise(
+                    F.least(F.floor(share * buckets), F.lit(buckets - 1))).cast("int")
+                parts.append(F.when(here, F.struct(F.lit(i).alias("i"), F.lit(k).cast("long").alias("k"), b.alias("b"),
+                                                   x.cast(kind).alias("x"))))
+                inside = inside | F.coalesce(here, F.lit(False))
+            rows = (base.where(inside).select(F.explode(F.array_compact(F.array(*parts))).alias("p")).select("p.*")
+                    .groupBy("i", "k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+            below = df.sparkSession.createDataFrame([(i, k, x[2]) for (i, k), x in own.items()], "i int, k long, below long")
+            upto = Window.partitionBy("i", "k").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # at most buckets rows
+            hit = (rows.join(F.broadcast(below), ["i", "k"]).withColumn("upto", F.col("below") + F.sum("n").over(upto))
+                   .where(F.col("upto") > F.col("k")).groupBy("i", "k")
+                   .agg(F.min_by(F.struct("lo", "hi", (F.col("upto") - F.col("n")).alias("below")), "b").alias("at")))
+            found = (found or []) + hit.collect()
+        for r in found:
+            at = r["at"]
+            open_[r["i"], r["k"]] = at["lo"], at["hi"], at["below"]
     out = {}
     for i, c in enumerate(cols):
         vals = [v for (j, _), v in done.items() if j == i]
@@ -320,14 +438,16 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> di
     return out
 
 
-def exact_median(df: DataFrame, col: str, buckets: int = 4096) -> float | None:
+def exact_median(df: DataFrame, col: str, buckets: int = 4096) -> float | Decimal | None:
     """``exact_medians`` of one column."""
     return exact_medians(df, [col], buckets)[col]
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
                   exact: bool = True, relative_error: float = 0.001) -> DataFrame:
-    """Replace NULL/NaN in ``cols`` by the column's median.
+    """Replace NULL/NaN in ``cols`` by the column's median. A column of whole numbers keeps its
+    type where the median is one, and becomes a decimal with one place where it lies
+    between two; a decimal column gets a place more in that case.
 
     ``exact=True``: the exact median by distributed selection (a few scans).
     ``exact=False``: MLlib's ``Imputer(strategy='median')`` — one pass of
@@ -343,7 +463,13 @@ def impute_median(df: DataFrame, cols: Sequence[str], buckets: int = 4096,
     for c, m in exact_medians(df, cols, buckets).items():
         x = F.col(f"`{c}`")
         miss = x.isNull() | (F.isnan(x) if isinstance(_dtype(df, c), (DoubleType, FloatType)) else F.lit(False))
-        fills[c] = F.when(miss, F.lit(m)).otherwise(x) if m is not None else x
+        if isinstance(m, Decimal):
+            whole = isinstance(_dtype(df, c), IntegralType)
+            places = 0 if whole else _dtype(df, c).scale
+            own = _dtype(df, c).simpleString() if m == round(m, places) else f"decimal({21 if whole else min(38, _dtype(df, c).precision + 1)}, {places + 1})"
+            fills[c] = F.when(miss, F.lit(m).cast(own)).otherwise(x.cast(own))
+        else:
+            fills[c] = F.when(miss, F.lit(m)).otherwise(x) if m is not None else x
     return df.withColumns(fills)
 
 

@@ -8,7 +8,7 @@ from tabulon.plans import has_node, physical_plan, pushed_filters, python_udf_no
 from tabulon.sources.tables import read_table
 
 LIGHT = ["claim_status", "join_left", "dedup_by_key", "top_k", "describe_columns", "missing_counts",
-         "distinct_counts", "histogram", "kde_density", "correlation_matrix", "value_counts",
+         "distinct_counts", "histogram", "kde_density", "value_counts",
          "feature_recipe", "auc_score", "confusion_metrics", "hash_split"]
 
 

@@ -115,7 +115,36 @@ def test_salted_join_equals_plain_join(spark, how):
     assert salted == sorted(plain, key=str)
 
 
-def test_salted_join_rejects_outer(spark, employees, salaries):
-    from tabulon.operators.joins import salted_join
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "leftsemi", "leftanti"])
+@pytest.mark.parametrize("rows", [40, 100_000])
+def test_skew_join_equals_plain_join(spark, how, rows):
+    """Keys hot on both sides (with equal rows), on one, and absent from the other; NULL keys;
+    a key of two columns; names that both sides have only in the key."""
+    import collections
+
+    from tabulon.operators.joins import skew_join
+    left = spark.range(1200).selectExpr("case when id % 3 = 0 then 7 when id % 5 = 0 then null when id % 7 = 0 then 100 "
+                                        "else id % 50 end as k", "'x' as c", "id % 20 as `a b`")
+    right = spark.range(500).selectExpr("case when id % 2 = 0 then 7 when id % 5 = 0 then 200 when id % 11 = 0 then null "
+                                        "else id % 60 end as k", "if(id % 9 = 0, 'y', 'x') as c", "id % 3 as v")
+    plain = left.join(right, ["k", "c"], how)
+    got = skew_join(left.repartition(3), right, ["k", "c"], how, rows_per_task=rows)
+    assert got.columns == plain.columns and got.schema.simpleString() == plain.schema.simpleString()
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, plain.collect()))
+    assert skew_join(left.limit(0), right.limit(0), ["k", "c"], how).count() == 0
+
+
+def test_skew_join_spreads_a_key_hot_on_both_sides(spark):
+    from tabulon.operators.joins import skew_join
+    left, right = spark.range(4000).selectExpr("1 as k", "0 as a"), spark.range(300).selectExpr("1 as k", "0 as b")
+    out = skew_join(left, right, "k", "inner", rows_per_task=100).withColumn("p", F.spark_partition_id())
+    assert out.count() == 1_200_000
     with pytest.raises(ValueError):
-        salted_join(employees, salaries, ["id"], "outer")
+        skew_join(left, right, "k", "cross")
+
+
+def test_dedup_of_rows_with_maps(spark):
+    from tabulon.operators.dedup import dedup_by_key
+    df = spark.createDataFrame([(1, 5, {"b": 2, "a": 1}), (1, 5, {"a": 0}), (2, 1, None)], "k int, o int, m map<string,int>")
+    got = {r["k"]: r["m"] for r in dedup_by_key(df, ["k"], ["o"]).collect()}
+    assert got == {1: {"a": 0}, 2: None}
