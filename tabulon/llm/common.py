@@ -23,7 +23,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "llm", label, unique=True)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that nothing reads any more: everything that
+    was made of them must have been written, too. Other tables are left alone."""
+    for df in tables:
+        path = df.__dict__.pop("_stored_at", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ascii_lower(text: Column) -> Column:

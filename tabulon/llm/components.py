@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import stored
+from tabulon.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-        e = stored(small, "cc")
+        last, e = e, stored(small, "cc")
+        discard(last)
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
