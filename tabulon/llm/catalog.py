@@ -7,7 +7,6 @@ from tabulon.llm import (bpe, collocations, digest_index, hard_negatives, html_m
 
 _QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
-    "op1_passage_dedup": line_dedup.op1_passage_dedup,
     "op2_bpe": bpe.op2_bpe,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality_outliers": quality_outliers.op4_quality_outliers,
@@ -23,7 +22,6 @@ _QUERIES = {
 }
 _ORACLES = {
     "op1_line_dedup": line_dedup.OP1_SQL,
-    "op1_passage_dedup": line_dedup.OP1_PASSAGE_SQL,
     "op6_exact_dedup": digest_index.OP6_SQL,
     "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_url_filter": url_filter.OP8_SQL,

@@ -1,15 +1,16 @@
 """Dedup of content-defined line chunks.
 
-A rolling hash over the hashes of the last lines decides after which lines a chunk ends,
-so boundaries move with the content when lines are put in or taken out. A chunk of
-several lines that occurs again anywhere is removed everywhere but at its first
-occurrence. Equal 64-bit hashes only nominate chunks; their bytes decide.
-
-``dedup_passages`` is the finest such rule: every line that is not blank is a boundary and
-neighbouring chunks share it, so that a repeated passage of two lines or more goes as a
-whole, whatever stands around it.
-
-DataFrame functions only: lines, hashes and chunks are arrays within the row.
+A window of two lines rolls over every text (blank lines between them belong to it, but are
+no lines of their own), and its hash is made of the lines' hashes. Where a window's
+hash comes again anywhere, its lines belong to a repeated chunk; a chunk begins and ends where
+the windows stop repeating. So boundaries move with the content when lines are put in or
+taken out, whatever stands around a passage, and a passage of two lines is found as surely
+as a long one. Equal 64-bit hashes only nominate windows; their bytes decide. A repeated
+chunk is removed everywhere but at its first occurrence.
+
+DataFrame functions only: lines, hashes and windows are arrays within the row. Of the texts,
+only the nominated windows are shuffled; the others and the rows themselves meet lists of
+checked size in the tasks that read them.
 """
 
 from __future__ import annotations
@@ -17,86 +18,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import packed, stored, table
+from tabulon.llm.common import discard, packed, stored, table
 
-# Multiplier and modulus of the rolling hash over 28-bit line hashes.
-ROLL, PRIME = 31, 65521
+#: Hashes, or windows to remove, that may be broadcast (a counted number of a few dozen
+#: bytes each); beyond it the rows are shuffled to them.
+BROADCAST = 2_000_000
 
 
-def chunks_of(text: str, window: int, divisor: int) -> Column:
-    """The chunks of a text column as array<struct<pos, lines, chunk>>. A chunk ends after
-    a line whose rolling hash over ``window`` lines is divisible by ``divisor``, and at
-    the end of the text. ``transform(array(x), ...)[0]`` binds x to a name, so that it is
+def windows_of(text: str, bits: int = 64) -> Column:
+    """The rolling windows of a text column, as array<struct<s, e, h>>: the first and last
+    line, and the hash of the hashes of the lines from the one through the other (cut to
+    ``bits`` for tests). ``transform(array(x), ...)[0]`` binds x to a name, so that it is
     computed once and not once per element."""
-    roll = " + ".join(f"coalesce(get(hs, i - {j}), 0L) * {ROLL ** j}L" for j in range(window))
+    cut = "" if bits == 64 else f" & {(1 << bits) - 1}L"
     return F.expr(f"""
       transform(array(split({text}, '\\n')), ls ->
-        transform(array(transform(ls, l -> cast(conv(substr(md5(cast(l as binary)), 1, 7), 16, 10) as bigint))), hs ->
-          transform(array(filter(sequence(0, size(ls) - 1),
-                                 i -> i = size(ls) - 1 or (({roll}) % {PRIME}L) % {divisor} = 0)), cuts ->
-            transform(cuts, (e, k) ->
-              transform(array(if(k = 0, 0, get(cuts, k - 1) + 1)), s ->
-                named_struct('pos', k, 'lines', e - s + 1, 'chunk', array_join(slice(ls, s + 1, e - s + 1), '\\n')))[0]
-            ))[0])[0])[0]""")
+        transform(array(transform(ls, l -> xxhash64(l))), hs ->
+          transform(array(filter(sequence(0, size(ls) - 1), i -> get(ls, i) rlike '[^\\\\x20\\\\x09-\\\\x0D]')), at ->
+            transform(if(size(at) > 1, slice(at, 1, size(at) - 1), cast(array() as array<int>)), (s, k) ->
+              named_struct('s', s, 'e', get(at, k + 1),
+                           'h', xxhash64(slice(hs, s + 1, get(at, k + 1) - s + 1)){cut})))[0])[0])[0]""")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2,
-                divisor: int = 3, min_lines: int = 2) -> DataFrame:
-    """One row per input row: ``_row`` (the input row), text (what is left of it), n_lines,
-    n_chunks, removed_chunks, removed_lines.
-
-    Chunks of at least ``min_lines`` lines count. The first occurrence, by id and place
-    in the text, stays; a NULL id comes first. Rows with the same id and text are one
-    document: they get the same result and do not repeat each other. NULL text stays
-    NULL, with no lines; an empty text is one empty line; a text all of whose chunks go
-    becomes empty. An empty table gives no rows.
-    """
-    text = F.col(f"`{text_col}`").cast("string")
-    rows = packed(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(text), text=text)
-    cut = (rows.where("text is not null").select("id", "fp", F.explode(chunks_of("text", window, divisor)).alias("c"))
-           .select("id", "fp", "c.pos", "c.lines", "c.chunk").where(F.col("lines") >= min_lines))
-    keyed = cut.withColumn("h", F.xxhash64("chunk"))
-    # written, so that the joins below shuffle both sides and Spark can split a hot hash
-    often = stored(keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "line_often")
-    same = stored(keyed.join(often, "h", "left_semi"), "line_chunks")
-    first = stored(same.groupBy("h", "chunk").agg(F.min(F.struct("id", "pos")).alias("first")), "line_first")
-    later = (same.join(first, ["h", "chunk"]).where(~F.struct("id", "pos").eqNullSafe(F.col("first")))
-             .groupBy("id", "fp").agg(F.collect_set("pos").alias("gone")))
-    later = later.select(F.col("id").alias("l_id"), F.col("fp").alias("l_fp"), "gone")
-    joined = rows.join(later, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
-    parts = joined.withColumn("cs", F.when(F.col("text").isNotNull(), chunks_of("text", window, divisor)))
-    stay = F.expr("""transform(array_sort(array_except(sequence(0, size(cs) - 1), gone)), k -> get(cs, k).chunk)""")
-    lines = F.size(F.split("text", "\n"))
-    left = F.expr("aggregate(array_sort(array_except(sequence(0, size(cs) - 1), gone)), 0, (n, k) -> n + get(cs, k).lines)")
-    return parts.select(
-        "_row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("cs")).cast("long").alias("n_chunks"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("removed_chunks"),
-        F.when(F.col("gone").isNull(), 0).otherwise(lines - left).cast("long").alias("removed_lines"))
-
-
-def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (dedup_lines(table(spark, sf_dir, "documents"))
-            .select("_row.doc_id", "n_lines", "n_chunks", "removed_chunks", "removed_lines",
-                    F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256")))
+def _fits(df: DataFrame, most: int) -> bool:
+    return df.limit(most + 1).count() <= most
 
 
-def pairs_of(text: str) -> Column:
-    """Each line of a text column that is not blank with the next such line, as
-    array<struct<pos, end, digest>>: where both stand, and the SHA-256 of what runs from
-    the one through the other."""
-    return F.expr(f"""
-      transform(array(split({text}, '\\n')), ls ->
-        transform(array(filter(sequence(0, size(ls) - 1), i -> get(ls, i) rlike '[^\\\\x20\\\\x09-\\\\x0D]')), at ->
-          transform(if(size(at) > 1, slice(at, 1, size(at) - 1), cast(array() as array<int>)), (s, k) ->
-            transform(array(get(at, k + 1)), e ->
-              named_struct('pos', s, 'end', e, 'digest',
-                           unhex(sha2(cast(array_join(slice(ls, s + 1, e - s + 1), '\\n') as binary), 256))))[0]
-          ))[0])[0]""")
+def _near(df: DataFrame, most: int) -> DataFrame:
+    """Broadcast if it is small, or else left to a shuffle."""
+    return F.broadcast(df) if _fits(df, most) else df
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64,
+                broadcast: int = BROADCAST) -> DataFrame:
     """One row per input row: ``_row`` (the input row), text (what is left of it), n_lines,
     removed_lines.
 
@@ -105,60 +59,56 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     passage of two lines or more that occurs again no line is left but at its first
     occurrence, and the first occurrence of every single line stays. Blank lines within
     a passage go with it; they alone are none. Where a passage repeats itself with a
-    line in common (a line three times over), that line stays. NULL ids and texts, rows
-    with the same id and text, and empty tables are as in ``dedup_lines``.
+    line in common (a line three times over), that line stays.
+
+    A NULL id comes first. Rows with the same id and text are one document: they get the
+    same result and do not repeat each other. NULL text stays NULL, with no lines; an empty
+    text is one empty line. An empty table gives no rows.
     """
     text = F.col(f"`{text_col}`").cast("string")
     rows = packed(docs, id=F.col(f"`{id_col}`"), fp=F.xxhash64(text), text=text)
-    pairs = (rows.where("text is not null").select("id", "fp", F.explode(pairs_of("text")).alias("p"))
-             .select("p.digest", F.struct("id", "fp", "p.pos", "p.end").alias("at")))
-    # written, so that the join below shuffles both sides and Spark can split a hot digest
-    first = stored(pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-                   .where("n > 1").select("digest", "first"), "line_pairs")
-    shared = F.expr("at.id <=> first.id and at.fp = first.fp and at.pos = first.end")
-    gone = (pairs.join(first, "digest").where(~F.col("at").eqNullSafe(F.col("first")))
+    cut = rows.where("text is not null").select("id", "fp", "text", F.explode(windows_of("text", bits)).alias("w"))
+    windows = stored(cut.select("w.h", F.struct("id", "fp", "w.s", "w.e").alias("at")), "line_windows")
+    often = stored(windows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "line_often")
+    # the bytes of nominated windows: if the least and the greatest are equal, all are
+    bytes_ = cut.select("w.h", F.struct("id", "fp", "w.s", "w.e").alias("at"), F.array_join(
+        F.slice(F.split("text", "\n"), F.col("w.s") + 1, F.col("w.e") - F.col("w.s") + 1), "\n").alias("chunk"))
+    same = bytes_.join(_near(often, broadcast), "h", "left_semi")
+    first = stored(same.groupBy("h").agg(F.min("at").alias("first"), (F.min("chunk") != F.max("chunk")).alias("mixed")),
+                   "line_first")
+    pairs = windows.join(first.where("not mixed").select("h", "first"), "h").select("at", "first")
+    mixed = first.where("mixed").select("h")
+    if not mixed.isEmpty():  # different windows of one hash
+        told = same.join(mixed, "h", "left_semi")
+        of_text = told.groupBy("h", "chunk").agg(F.min("at").alias("first"))
+        pairs = pairs.unionByName(told.join(of_text, ["h", "chunk"]).select("at", "first"))
+    shared = F.expr("at.id <=> first.id and at.fp = first.fp and at.s = first.e")
+    gone = (pairs.where(~F.col("at").eqNullSafe(F.col("first")))
             .select(F.col("at.id").alias("l_id"), F.col("at.fp").alias("l_fp"),
-                    F.struct((F.col("at.pos") + shared.cast("int")).alias("s"), F.col("at.end").alias("e")).alias("r"))
+                    F.struct((F.col("at.s") + shared.cast("int")).alias("s"), F.col("at.e").alias("e")).alias("r"))
             .groupBy("l_id", "l_fp").agg(F.collect_set("r").alias("gone")))
-    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
-    parts = joined.withColumn("ls", F.split("text", "\n")).withColumn("stay", F.expr(
+    gone = stored(gone, "line_gone")
+    discard(windows, often, first)
+    small = (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= broadcast
+    joined = rows.join(F.broadcast(gone) if small else gone,
+                       F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
+    parts = joined.withColumn("ls", F.when(F.col("gone").isNotNull(), F.split("text", "\n"))).withColumn("stay", F.expr(
         "array_except(sequence(0, size(ls) - 1), flatten(transform(gone, r -> sequence(r.s, r.e))))"))
+    n_lines = F.coalesce(F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1, F.lit(0))
     return parts.select(
         "_row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(
             F.expr("array_join(transform(stay, i -> get(ls, i)), '\\n')")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("ls")).cast("long").alias("n_lines"),
+        n_lines.cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("ls") - F.size("stay")).cast("long").alias("removed_lines"))
 
 
-def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (dedup_passages(table(spark, sf_dir, "documents"))
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_lines(table(spark, sf_dir, "documents"))
             .select("_row.doc_id", "n_lines", "removed_lines",
                     F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("text_sha256")))
 
 
-OP1_SQL = f"""
-with l as (
-  select doc_id, unnest(string_split(text, chr(10))) as line,
-         generate_subscripts(string_split(text, chr(10)), 1) as i
-  from documents where text is not null),
-h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as v from l),
-b as (select *, ((v + coalesce(lag(v) over (partition by doc_id order by i), 0) * {ROLL}) % {PRIME}) % 3 = 0 as ends
-      from h),
-c as (select *, coalesce(sum(ends::int) over (partition by doc_id order by i
-                         rows between unbounded preceding and 1 preceding), 0) as pos from b),
-chunks as (select doc_id, pos, count(*) as n, string_agg(line, chr(10) order by i) as chunk from c group by 1, 2),
-ranked as (select *, row_number() over (partition by chunk order by doc_id, pos) > 1 and n >= 2 as gone from chunks),
-r as (select doc_id, sum(n)::bigint as n_lines, count(*) as n_chunks, count(*) filter (gone) as removed_chunks,
-             coalesce(sum(n) filter (gone), 0)::bigint as removed_lines,
-             coalesce(string_agg(chunk, chr(10) order by pos) filter (not gone), '') as text
-      from ranked group by doc_id)
-select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_chunks, 0) as n_chunks,
-       coalesce(removed_chunks, 0) as removed_chunks, coalesce(removed_lines, 0) as removed_lines,
-       sha256(coalesce(r.text, '')) as text_sha256
-from documents left join r using (doc_id)
-"""
-
-OP1_PASSAGE_SQL = r"""
+OP1_SQL = r"""
 with l as (
   select doc_id, unnest(string_split(text, chr(10))) as line,
          generate_subscripts(string_split(text, chr(10)), 1) as i

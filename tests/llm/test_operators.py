@@ -38,58 +38,6 @@ def texts(n, seed=1, words=120):
 
 # ---------------------------------------------------------------- 1 line dedup
 
-def brute_chunks(text, window=2, divisor=3):
-    lines = text.split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    out, now = [], []
-    for i, line in enumerate(lines):
-        now.append(line)
-        roll = sum(h[i - j] * 31 ** j for j in range(window) if i >= j) % 65521
-        if roll % divisor == 0 or i == len(lines) - 1:
-            out.append(now)
-            now = []
-    return out
-
-
-def brute_line_dedup(rows):
-    seen, out = {}, {}
-    order = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    for i, t in order:
-        for k, c in enumerate(brute_chunks(t)):
-            if len(c) >= 2:
-                seen.setdefault("\n".join(c), (i, k))
-    for i, t in order:
-        out[i, t] = "\n".join("\n".join(c) for k, c in enumerate(brute_chunks(t))
-                              if len(c) < 2 or seen["\n".join(c)] == (i, k))
-    return out
-
-
-def test_line_dedup_against_brute_force(spark):
-    rnd = random.Random(4)
-    passage = [f"line {i} of the shared passage" for i in range(12)]
-    rows = []
-    for i in range(40):
-        own = [f"own {rnd.random()}" for _ in range(rnd.randint(0, 6))]
-        at = rnd.randint(0, len(own))
-        rows.append((i, "\n".join(own[:at] + passage[rnd.randint(0, 3):] + own[at:])))
-    rows += [(50, rows[3][1]), (51, "same\n" * 40), (52, "same\n" * 40)] + ODD
-    want = brute_line_dedup(rows)
-    got = line_dedup.dedup_lines(frame(spark, rows)).select("_row.doc_id", F.col("_row.text").alias("old"), "text",
-                                                            "n_lines", "removed_lines", "_row.size").collect()
-    assert len(got) == len(rows) and all(r["size"] == -1 for r in got)
-    for r in got:
-        if r["old"] is None:
-            assert r["text"] is None and r["n_lines"] == 0
-        else:
-            assert r["text"] == want[r["doc_id"], r["old"]]
-            assert r["n_lines"] == r["old"].count("\n") + 1
-    assert sum(r["removed_lines"] for r in got) > 200
-
-
-def test_line_dedup_of_nothing(spark):
-    assert line_dedup.dedup_lines(frame(spark, []).limit(0)).count() == 0
-
-
 def brute_passages(rows):
     """Lines to keep, of {(id, text)}: no two of them that stood together before."""
     docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -115,20 +63,22 @@ def test_passages_after_foreign_lines_go(spark):
         rows.append((i, "\n".join(own[0] + passages[i % 24] + own[1])))
     rows.append((200, "one\n\n" + passages[0][0] + "\n\n\ntwo"))  # a line alone, and blank lines, are no passage
     rows.append((201, "three\n\n" + passages[0][0] + "\n\n\nfour"))
-    got = {r["doc_id"]: r for r in line_dedup.dedup_passages(frame(spark, rows)).select("_row.doc_id", "text", "removed_lines").collect()}
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame(spark, rows)).select("_row.doc_id", "text", "removed_lines").collect()}
     assert len(got) == len(rows)
     for i, t in rows:
         want = t.split("\n") if i < 24 or i >= 200 else [x for x in t.split("\n") if x.startswith("own")]
         assert got[i]["text"].split("\n") == want and got[i]["removed_lines"] == t.count("\n") + 1 - len(want)
 
 
-def test_passages_against_brute_force(spark):
+@pytest.mark.parametrize("bits,broadcast", [(64, 2_000_000), (64, 0), (4, 2_000_000), (4, 0)])
+def test_passages_against_brute_force(spark, bits, broadcast):
+    """Also where hashes of four bits make different windows alike, and without broadcasts."""
     rnd = random.Random(9)
     rows = [(i, "\n".join(rnd.choice(["a", "b", "c", "d", "", " \t", f"own {i}", *"efghijkl"])
                           for _ in range(rnd.randint(1, 12)))) for i in range(150)]
     rows += [(300, "same\n" * 40), (301, "same\n" * 40), (302, "x\n\nx\n\nx"), (303, rows[5][1]), rows[6]] + ODD
     want = brute_passages(rows)
-    got = line_dedup.dedup_passages(frame(spark, rows)).select(
+    got = line_dedup.dedup_lines(frame(spark, rows), bits=bits, broadcast=broadcast).select(
         "_row.doc_id", F.col("_row.text").alias("old"), "text", "n_lines", "removed_lines", "_row.size").collect()
     assert len(got) == len(rows) and all(r["size"] == -1 for r in got)
     for r in got:
@@ -140,7 +90,7 @@ def test_passages_against_brute_force(spark):
     lines = lambda ts: {x for t in ts if t for x in t.split("\n") if x.strip()}
     assert lines(r["text"] for r in got) == lines(r["old"] for r in got)  # each line's first occurrence stays
     assert [r["text"] for r in got if r["doc_id"] == 302] == ["x\n\nx"]
-    assert line_dedup.dedup_passages(frame(spark, []).limit(0)).count() == 0
+    assert line_dedup.dedup_lines(frame(spark, []).limit(0)).count() == 0
 
 
 # ------------------------------------------------------------------------ 2 bpe
@@ -390,16 +340,61 @@ def near_rows(seed, n=25, copies=12, rate=0.04):
     return rows
 
 
-@pytest.mark.parametrize("block,most", [(2048, 1 << 19), (3, 0), (2, 50)])
-def test_near_duplicates_are_exact(spark, block, most):
+@pytest.mark.parametrize("block,most,waiting", [(2048, 1 << 18, 256), (3, 0, 256), (2, 50, 3), (5, 1 << 18, 1)])
+def test_near_duplicates_are_exact(spark, block, most, waiting):
     rows = near_rows(block)
     rows += [(2000, rows[0][1].upper()), (2001, rows[0][1])] + [(3000 + (i or 9), t) for i, t in ODD] + [rows[5], rows[5]]
     want = brute_components(rows)
-    got = jaccard_join.near_duplicates(frame(spark, rows), block=block, most_frequent=most).collect()
+    got = jaccard_join.near_duplicates(frame(spark, rows), block=block, most_frequent=most, waiting=waiting).collect()
     assert len(got) == len(rows)
     assert {r["id"]: r["component"] for r in got} == want
 
 
+@pytest.mark.parametrize("own,block", [(27, 2048), (27, 16), (24, 16), (20, 16)])
+def test_a_template_in_a_third_of_all_rows(spark, own, block):
+    """Rows that share a template and little else: Jaccard about 0.65 (no links), 0.68 and, for
+    those whose own words agree in part, 0.75 and more."""
+    rnd = random.Random(own + block)
+    template = " ".join(f"t{i}" for i in range(104))
+    rows = []
+    for i in range(240):
+        if i % 3:
+            rows.append((i, " ".join(f"own{i}w{rnd.random()}" for _ in range(rnd.randint(20, 160)))))
+        else:
+            shared = [f"g{i % 15}w{k}" for k in range(own)]
+            rows.append((i, template + " " + " ".join(w if rnd.random() < 0.85 else f"{w}x{i}" for w in shared)))
+    got = {r["id"]: r["component"] for r in
+           jaccard_join.near_duplicates(frame(spark, rows), block=block, waiting=8).collect()}
+    assert got == brute_components(rows)
+
+
+def test_similar_within_connects_what_is_similar(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 40)
+    rnd = random.Random(12)
+    for _ in range(30):
+        base = [rnd.sample(range(300), rnd.randint(1, 30)) for _ in range(6)]
+        sets = [np.unique(np.array([x if rnd.random() > 0.1 else rnd.randint(0, 300) for x in rnd.choice(base)], np.uint64))
+                for _ in range(40)]
+        ids = np.array(rnd.sample(range(1000), 40))
+        parent = {i: i for i in ids.tolist()}
+
+        def find(a):
+            while parent[a] != a:
+                a = parent[a]
+            return a
+        for (i, x), (j, y) in itertools.combinations(zip(ids.tolist(), sets), 2):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= 75 * (len(x) + len(y) - both):
+                p, q = find(i), find(j)
+                parent[max(p, q)] = min(p, q)
+        want = {i: find(i) for i in parent}
+        parent = {i: i for i in parent}
+        for a, b in jaccard_join.similar_within(ids, sets, 75):
+            p, q = find(a), find(b)
+            parent[max(p, q)] = min(p, q)
+        assert {i: find(i) for i in parent} == want
+
+
 def test_near_duplicates_of_ids_with_two_texts(spark):
     t = texts(4, 9)
     rows = [(1, t[0]), (1, t[1]), (2, t[0]), (3, t[1]), (4, t[2]), (None, t[3]), (None, t[3]), (5, None)]
