@@ -48,7 +48,7 @@ def statistics(text: str) -> dict[str, Column]:
                 get(s, j).k <=> get(s, j - 1).k or get(s, j).k <=> get(s, j + 1).k), j -> get(s, j).i))), p ->
               aggregate(sequence(0, size(p)), 0L, (n, j) ->
                 if(j >= size(p), n, n + coalesce(least(3, get(p, j + 1) - get(p, j)), 3))))[0])[0]))[0]"""
-    lines = f"filter(split({t}, '\\n'), l -> trim(BOTH ' \\t\\n\\u000b\\f\\r' FROM l) != '')"
+    lines = f"filter(split({t}, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
     dup = f"transform(array({lines}), ls -> size(ls) - size(array_distinct(ls)))[0]"
     col = F.coalesce(F.col(text), F.lit(""))
     return {
@@ -192,12 +192,11 @@ def quality_outliers(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         .when(of_lang >= LEAST_ROWS, F.col("lang")).otherwise(F.lit("")).alias("grp"), "n"), "mcd_groups")
     # a pooled group is estimated from all rows of its language, or from all rows
     good = rows.where("not base_failed").join(groups, ["lang", "source"])
-    pools = [r["grp"] for r in groups.where("not contains(grp, '\u0001')").select("grp").distinct().limit(10_001).collect()]
-    if len(pools) > 10_000:
-        raise ValueError("more than 10,000 languages")
-    wanted = F.array(F.when(F.contains("grp", F.lit("\u0001")), F.col("grp")),
-                     F.when(F.col("lang").isin([p for p in pools if p]), F.col("lang")),
-                     F.when(F.lit("" in pools), F.lit("")))
+    pools = groups.where("not contains(grp, '\u0001')").select(F.col("grp").alias("pool")).distinct()
+    everything = not pools.where("pool = ''").isEmpty()
+    good = good.join(pools.where("pool != ''"), F.col("lang") == F.col("pool"), "left")
+    wanted = F.array(F.when(F.contains("grp", F.lit("\u0001")), F.col("grp")), F.col("pool"),
+                     F.when(F.lit(everything), F.lit("")))
     cases = good.select(F.explode(F.array_compact(wanted)).alias("grp"), *VECTOR)
     est = stored(robust_estimates(stored(cases, "mcd_cases"), "grp"), "mcd_estimates")
     judged = rows.join(groups.drop("n"), ["lang", "source"]).join(est, "grp", "left").withColumn("distance2", distance())
