@@ -12,27 +12,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import stored
+from tabulon.llm.common import discard, stored
 
 BUCKETS = 1024
 
 
 def cuts(rows: DataFrame, groups: DataFrame, group: str, position: Column, amount: Column,
-         budget: str = "budget", levels: int = 4, label: str = "cuts") -> DataFrame:
+         budget: str = "budget", levels: int = 4, label: str = "cuts", most: int = 100_000) -> DataFrame:
     """``groups`` (one row per group: the group key and its budget) with three more columns:
     ``cut_lo``, ``cut_hi``: the last interval, and ``cut_below``: the amount of the group's
     rows before ``cut_lo``; ``cut_in``: the amount inside the interval.
 
     Rows with position < cut_lo sum to at most the budget, and the amount inside
     [cut_lo, cut_hi) goes beyond it. A group whose rows never exceed its budget gets the
-    interval [1, 1]. Groups without rows get it too.
+    interval [1, 1]. Groups without rows get it too. Up to ``most`` groups (four numbers
+    each) are broadcast to the rows; more are joined by a shuffle.
     """
+    few = groups.limit(most + 1).count() <= most
     state = groups.withColumns({"cut_lo": F.lit(0.0), "cut_hi": F.lit(1.0), "cut_below": F.lit(0.0),
                                 "cut_in": F.lit(0.0)})
     names = [c for c in state.columns if not c.startswith("cut_")]
     src = rows.select(F.col(group).alias("__g"), position.alias("__p"), amount.cast("double").alias("__a"))
     for _ in range(levels):
         at = state.select(F.col(group).alias("__g"), "cut_lo", "cut_hi")
+        at = F.broadcast(at) if few else at
         width = F.col("cut_hi") - F.col("cut_lo")
         inside = (src.join(at, "__g").where("__p >= cut_lo and __p < cut_hi")
                   .groupBy("__g", F.least(F.floor((F.col("__p") - F.col("cut_lo")) / width * BUCKETS),
@@ -47,12 +50,13 @@ def cuts(rows: DataFrame, groups: DataFrame, group: str, position: Column, amoun
         found, first = F.col("__hit").isNotNull(), F.col("cut_hi") == F.lit(1.0)
         step = (F.col("cut_hi") - F.col("cut_lo")) / BUCKETS
         low = F.col("cut_lo") + step * F.col("__hit.__b")
-        state = stored(joined.select(
+        last, state = state, stored(joined.select(
             *names,
             F.when(found, low).when(first & (F.col("cut_lo") == 0), F.lit(1.0)).otherwise(F.col("cut_lo")).alias("cut_lo"),
             F.when(found, low + step).otherwise(F.col("cut_hi")).alias("cut_hi"),
             F.when(found, F.col("cut_below") + F.col("__hit.__before")).otherwise(F.col("cut_below")).alias("cut_below"),
             F.when(found, F.col("__hit.__s")).otherwise(F.col("cut_in")).alias("cut_in")), label)
+        discard(last)
     return state
 
 

@@ -70,7 +70,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ones that still fit are taken instead, for two more rounds, or that document itself
     where this comes nearer to the target. NULL text has no words and is taken
     with the epochs only; NULL is a source like any other; rows equal in id and text have
-    equal keys and are taken alike. An empty table gives no rows.
+    equal keys and are taken alike. An empty table gives no rows. The fill of the last
+    rounds takes documents for their size as well as their key, so small documents next
+    to the budget are taken more often than their weight says; that concerns at most what
+    the document on the budget leaves open.
     """
     spark = docs.sparkSession
     text, src = F.col(f"`{text_col}`"), F.col(f"`{source_col}`").cast("string")
@@ -123,7 +126,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                     fits &= F.col("size") <= F.col(f"gap{j}")
         taken |= fits
     copies = F.col("epochs") + F.when(taken & (F.col("size") > 0), 1).otherwise(0)
-    return (rows.join(groups, "source")
+    return (rows.join(F.broadcast(groups), "source")  # at most MAX_SOURCES rows
             .select("_row", "size", "source_size", "target", copies.cast("long").alias("copies"),
                     (copies * F.col("size")).cast("long").alias("taken")))
 
