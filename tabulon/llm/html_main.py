@@ -5,7 +5,9 @@ ancestors, fewer the further up; a container's points are discounted by the shar
 its text that is link text. The best container, widened to the article element around
 it, is kept with those siblings that read like it. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are known by element, role,
-class and id, and never count.
+class and id, and never count; a class or id must name the part as a whole ("sidebar",
+"post-comments"; not "has-sidebar" or "related-work"), and no such name takes away what
+holds the main element or most of the page's text. The time is in proportion to the page.
 """
 
 from __future__ import annotations
@@ -49,52 +51,99 @@ BOILERPLATE = frozenset(
     "popup popover promo promoted promotion recommended related replies reply respond respondlist rss share sharing "
     "shoutbox sidebar sidebars signup skyscraper social sponsor sponsored subscribe subscription tags toolbar tooltip "
     "topbar widget widgets login alert".split())
+#: Words that may stand beside them in a name.
+FILLER = frozenset("site page post posts article articles entry box block area section list container wrapper wrap inner "
+                   "outer top bottom left right global primary secondary slot unit bar panel item items links buttons form "
+                   "count content story stories message popular more".split())
+#: Of these, a name is never overruled by how much text the part holds.
+COMMENTS = frozenset("comment comments commentlist commentarea discussion disqus reply replies respond respondlist".split())
+#: Ancestors that a paragraph passes points to.
+LEVELS = 10
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _ENDS_P = BLOCK - {"br", "body", "html", "head", "title", "option"}
-#: An opening tag ends an open element of these kinds that lies within the given scope.
-_CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
-           "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+#: An opening tag ends the outermost open element of these kinds within the given scope.
+_KINDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
+          "td": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+          "p": ({"p"}, {"td", "th", "table", "button", "body"})}
+_CLOSES = {"li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "td": "td", "th": "td", "option": "option"}
+_MARKS = {tag for ends, scope in _KINDS.values() for tag in ends | scope}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "drop", "score", "chars", "linked")
+    """An element. ``drop``: HARD where it never counts, SOFT where its name says so.
+    ``inside``: in an article or main element; ``open``: for every kind of ``_KINDS``, the
+    element that an opening tag of that kind would end."""
 
-    def __init__(self, tag: str, parent: "Node | None", drop: bool = False):
+    __slots__ = ("tag", "parent", "items", "drop", "score", "chars", "linked", "inside", "open")
+
+    def __init__(self, tag: str, parent: "Node | None", drop: int = 0):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.items: list[Node | str] = []
         self.score, self.chars, self.linked = 0.0, 0, 0
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.open: dict[str, Node] = parent.open if parent is not None else {}
+        if tag in _MARKS:
+            self.open = {k: x for k, x in self.open.items() if tag not in _KINDS[k][1]}
+            for kind, (ends, _) in _KINDS.items():
+                if tag in ends:
+                    self.open.setdefault(kind, self)
+
+
+HARD, SOFT = 2, 1
 
 
-def _unwanted(tag: str, attrs: str, inside_article: bool) -> bool:
+def _boilerplate(value: str, inside: bool) -> tuple[bool, bool]:
+    """Whether one of the names in a class or id is that of a part which is none of the
+    article's, and whether of reader comments."""
+    found = False
+    for name in value.split():
+        words = {w.lower() for w in _NAME.findall(name)}
+        named = words & BOILERPLATE
+        if named and words <= BOILERPLATE | FILLER and not (inside and named == {"header"}):
+            found = True
+            if named & COMMENTS:
+                return True, True
+    return found, False
+
+
+def _unwanted(tag: str, attrs: str, inside_article: bool) -> int:
     if tag in ("html", "body"):
-        return False
+        return 0
     if tag in DROPPED and not (tag == "header" and inside_article):
-        return True
-    if not attrs:
-        return False
-    for name, a, b, c in _ATTR.findall(attrs):
+        return HARD
+    soft = 0
+    for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), unescape(a or b or c)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return HARD
         if name == "role" and value.lower() in ROLES or name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id") and tag not in ("article", "main"):
-            words = {w.lower() for w in _NAME.findall(value)}
-            if words & BOILERPLATE and not (inside_article and words & {"header"} and len(words & BOILERPLATE) == 1):
-                return True
-        elif name in ("class", "id") and {w.lower() for w in _NAME.findall(value)} & {"comment", "comments", "reply"}:
-            return True
-    return False
+            return HARD
+        if name in ("class", "id"):
+            named, comments = _boilerplate(value, inside_article)
+            if comments and tag != "main":
+                return HARD
+            if named and tag not in ("article", "main"):
+                soft = SOFT
+    return soft
 
 
 def parse(html: str) -> Node:
     """The page's tree: elements with text and elements inside; unknown ends are ignored,
     missing ends are supplied."""
     root = node = Node("#root", None)
+    count: dict[str, int] = {}  # open elements by tag
     at, n = 0, len(html)
     lowered = None
+
+    def close(top: Node) -> Node:
+        """Leave the open elements up to ``top``; its parent is open then."""
+        here = node
+        while here is not top.parent:
+            count[here.tag] -= 1
+            here = here.parent
+        return here
+
     while at < n:
         m = _TOKEN.search(html, at)
         if not m:
@@ -109,45 +158,56 @@ def parse(html: str) -> Node:
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            up = node
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = up.parent
+            if count.get(tag):
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = close(up)
             elif tag == "p":
                 node.items.append(Node("p", node))
             continue
-        if tag in _ENDS_P:
-            up = node
-            while up.parent is not None and up.tag not in ("p", "td", "th", "table", "button", "body", "#root"):
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
-        if tag in _CLOSES:
-            ends, scope = _CLOSES[tag]
-            up, last = node, None
-            while up.parent is not None and up.tag not in scope:
-                last = up if up.tag in ends else last
-                up = up.parent
-            if last is not None:
-                node = last.parent
-        inside, up = False, node
-        while up is not None and not inside:
-            inside, up = up.tag in ("article", "main"), up.parent
-        new = Node(tag, node, _unwanted(tag, m["attrs"] or "", inside))
+        if tag in _ENDS_P and "p" in node.open:
+            node = close(node.open["p"])
+        if tag in _CLOSES and _CLOSES[tag] in node.open:
+            node = close(node.open[_CLOSES[tag]])
+        new = Node(tag, node, _unwanted(tag, m["attrs"] or "", node.inside or node.tag in ("article", "main")))
         node.items.append(new)
         if tag in RAW:
             lowered = lowered or html.lower()
             end = lowered.find(f"</{tag}", at) if len(lowered) == n else html.find(f"</{tag}", at)
             end = n if end < 0 else end
             new.items.append(unescape(html[at:end]) if tag in ("title", "textarea") else "")
-            close = html.find(">", end)
-            at = n if close < 0 else close + 1
+            shut = html.find(">", end)
+            at = n if shut < 0 else shut + 1
         elif tag not in VOID and not (m["attrs"] or "").endswith("/") or tag in ("p", "div", "article"):
+            count[tag] = count.get(tag, 0) + 1
             node = new
     return root
 
 
+def overrule_names(root: Node) -> None:
+    """Keep what only its name would drop where it holds the main element, or, on a page
+    without an article or main element elsewhere, over half of the text outside links."""
+    order, todo, elsewhere = [], [(root, False)], False
+    while todo:
+        node, named = todo.pop()
+        if node.drop == HARD:
+            continue
+        order.append(node)
+        named = named or node.drop == SOFT
+        elsewhere = elsewhere or not named and node.tag in ("article", "main")
+        todo += [(x, named) for x in node.items if isinstance(x, Node)]
+    text, main = {}, set()
+    for node in reversed(order):  # children first
+        text[id(node)] = 0 if node.tag == "a" else sum(
+            len(x.strip()) if isinstance(x, str) else text.get(id(x), 0) for x in node.items)
+        if node.tag == "main" or any(id(x) in main for x in node.items if isinstance(x, Node)):
+            main.add(id(node))
+    for node in order:
+        if node.drop == SOFT and (id(node) in main or not elsewhere and 2 * text[id(node)] > text[id(root)]):
+            node.drop = 0
+
+
 def _nodes(root: Node) -> list[Node]:
     """All kept elements, parents before children."""
     out, todo = [], [root]
@@ -193,10 +253,10 @@ def score(root: Node) -> Node | None:
             up, share = node.parent, 1.0
         else:
             up, share = node, 1.0  # text that lies in a container directly
-        level = 0
-        while up is not None and up.tag != "#root":
+        for level in range(1, LEVELS + 1):
+            if up is None or up.tag == "#root":
+                break
             up.score += points * share
-            level += 1
             share = 0.5 if level == 1 else 1 / (3 * level)
             up = up.parent
     best, most = None, 0.0
@@ -242,6 +302,7 @@ def _around(best: Node) -> list[Node | str]:
 def main_text(html: str | None) -> str:
     """The main text of a page; empty where nothing scores."""
     root = parse(html or "")
+    overrule_names(root)
     best = score(root)
     if best is None:
         return _text(root)
@@ -252,11 +313,11 @@ def main_text(html: str | None) -> str:
         up = up.parent
     if best.parent is None:
         return _text(best)
-    if best.tag != "article":
+    if best.tag != "article" or best.parent.tag == "main":
         return _text(*_around(best))
-    # what lies around an article is not part of it, but for articles as good
+    # what lies around an article is not part of it, but for articles that score like it
     return " ".join(filter(None, (_text(x) for x in best.parent.items if x is best or isinstance(x, Node) and not x.drop
-                                  and x.tag == "article" and x.chars and x.score >= max(10, 0.2 * best.score))))
+                                  and x.tag == "article" and x.chars and x.score >= 0.2 * best.score)))
 
 
 def extract_main(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id", "url")) -> DataFrame:

@@ -608,6 +608,34 @@ def test_main_text_beside_the_best_container(before, after, want):
     assert html_main.main_text(page) == want % f"{body} {body}"
 
 
+@pytest.mark.parametrize("wrapper", ['<div class="content-sidebar-wrap">', '<div id="page" class="layout has-sidebar">',
+                                     '<div class="no-banner">', '<div class="sidebar">', '<div class="social widget">'])
+@pytest.mark.parametrize("inner", ["main", "article", "div"])
+def test_main_text_inside_a_wrapper_of_any_name(wrapper, inner):
+    text = "A first paragraph, of some length, with commas. " * 5
+    page = (f"<html><body><nav>menu</nav>{wrapper}<{inner}><p>{text}</p><section class='social-history'><p>Of the time, a word.</p>"
+            f"</section><p id='related-work'>Others did so, too.</p></{inner}></div><div class='sidebar'><p>Side, note</p></div>"
+            "<div class='post-comments'><p>Great, post</p></div></body></html>")
+    assert html_main.main_text(page) == f"{text.strip()} Of the time, a word. Others did so, too."
+
+
+def test_what_stands_beside_the_article_in_main():
+    text = "A first paragraph, of some length, with commas. " * 9
+    page = f"<main><p>Before it.</p><article><p>{text}</p></article><article><p>Short one.</p></article><nav>no</nav><p>After.</p></main>"
+    assert html_main.main_text(page) == f"Before it. {text.strip()} Short one. After."
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "deep", "<div>" * 50_000 + "</span>" * 50_000 + "deep",
+                                  "<ul><li><div>" * 30_000 + "deep", "<div><p>x, y</p>" * 50_000, "<b>" * 50_000 + "<p>deep" * 20_000,
+                                  "<table><tr><td>" * 30_000 + "deep"])
+def test_hostile_pages_take_time_in_proportion(page):
+    import time
+
+    began = time.process_time()
+    html_main.main_text(page)
+    assert time.process_time() - began < 8  # 2 on an idle machine; minutes where it is quadratic
+
+
 def test_main_text_of_odd_input(spark):
     for html in (None, "", "<", "<p", "<p class=", "</p></div>", "<!--", "<nav>menu</nav>", "<script>a", "&", "<a href='>"):
         assert isinstance(html_main.main_text(html), str)
