@@ -22,7 +22,7 @@ from tabulon.llm.common import discard, packed, stored, table
 
 #: Hashes, or windows to remove, that may be broadcast (a counted number of a few dozen
 #: bytes each); beyond it the rows are shuffled to them.
-BROADCAST = 2_000_000
+BROADCAST = 1_000_000
 
 
 def windows_of(text: str, bits: int = 64) -> Column:
