@@ -18,7 +18,7 @@ BUCKETS = 1024
 
 
 def cuts(rows: DataFrame, groups: DataFrame, group: str, position: Column, amount: Column,
-         budget: str = "budget", levels: int = 4, label: str = "cuts", most: int = 100_000) -> DataFrame:
+         budget: str = "budget", levels: int = 4, label: str = "cuts", few: bool | None = None, most: int = 100_000) -> DataFrame:
     """``groups`` (one row per group: the group key and its budget) with three more columns:
     ``cut_lo``, ``cut_hi``: the last interval, and ``cut_below``: the amount of the group's
     rows before ``cut_lo``; ``cut_in``: the amount inside the interval.
@@ -26,9 +26,11 @@ def cuts(rows: DataFrame, groups: DataFrame, group: str, position: Column, amoun
     Rows with position < cut_lo sum to at most the budget, and the amount inside
     [cut_lo, cut_hi) goes beyond it. A group whose rows never exceed its budget gets the
     interval [1, 1]. Groups without rows get it too. Up to ``most`` groups (four numbers
-    each) are broadcast to the rows; more are joined by a shuffle.
+    each) are broadcast to the rows; more are joined by a shuffle. ``few`` says which, where
+    the caller has counted them.
     """
-    few = groups.limit(most + 1).count() <= most
+    if few is None:
+        few = groups.limit(most + 1).count() <= most
     state = groups.withColumns({"cut_lo": F.lit(0.0), "cut_hi": F.lit(1.0), "cut_below": F.lit(0.0),
                                 "cut_in": F.lit(0.0)})
     names = [c for c in state.columns if not c.startswith("cut_")]

@@ -22,7 +22,7 @@ from tabulon.llm.descent import cuts
 #: Rows numbered together when a shard's rows get their slots.
 ROWS_A_BUCKET = 2000
 #: Rounds that fill the gap at a cut, and the share of a node's bytes under which it stays.
-ROUNDS, GAP = 3, 0.0005
+ROUNDS, GAP = 2, 0.001
 
 
 def text_size(text: Column) -> Column:
@@ -72,14 +72,14 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     tree = stored(rows.select("row", "size", "tie", *names, F.lit(0).alias("node"), F.lit(shards).alias("holds")),
                   "kd_level")
     for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
-        tree = _split(tree, names)
+        tree = _split(tree, names, shards <= 100_000)
     placed = rows.join(tree.select("row", F.col("node").alias("shard")), "row")
     return _slots(placed, n).select("_row", "size", "text_crc32", "shard", "slot")
 
 
-def _split(tree: DataFrame, names: list[str]) -> DataFrame:
+def _split(tree: DataFrame, names: list[str], few: bool) -> DataFrame:
     """Split every node that still holds more than one shard; nodes are named by the first
-    shard that they hold."""
+    shard that they hold. ``few``: so few shards, and nodes, that they may be broadcast."""
     spread = F.greatest(*[F.struct((F.max(d) - F.min(d)).alias("width"), F.lit(-i).alias("dim"))
                           for i, d in enumerate(names)])
     nodes = stored(tree.where("holds > 1").groupBy("node", "holds")
@@ -89,12 +89,12 @@ def _split(tree: DataFrame, names: list[str]) -> DataFrame:
                            (F.col("bytes") * F.floor(F.col("holds") / 2) / F.col("holds")).alias("budget")), "kd_nodes")
     along = F.element_at(F.array(*names), F.col("dim") + 1)
     inner = tree.join(nodes.select("node", "dim"), "node").withColumn("at", along)
-    first = cuts(inner, nodes, "node", F.col("at"), F.col("size"), levels=2, label="kd_cuts")
+    first = cuts(inner, nodes, "node", F.col("at"), F.col("size"), levels=2, label="kd_cuts", few=few)
     edge = stored(first.select("node", "cut_lo", "cut_hi", (F.col("budget") - F.col("cut_below")).alias("budget")), "kd_edge")
     tied = (inner.select("node", "at", "size", "tie").join(edge.select("node", "cut_lo", "cut_hi"), "node")
             .where("at >= cut_lo and at < cut_hi"))
-    second = cuts(tied, edge.select("node", "budget"), "node", F.col("tie"), F.col("size"), levels=3,
-                  label="kd_ties")
+    second = cuts(tied, edge.select("node", "budget"), "node", F.col("tie"), F.col("size"), levels=2,
+                  label="kd_ties", few=few)
     # rows up to the cut leave a gap of less than the row that lies on it
     ends = second.select("node", F.when(F.col("cut_lo") < 1, F.col("cut_lo")).otherwise(F.lit(2.0)).alias("tie_cut"),
                          F.when(F.col("cut_lo") < 1, F.col("budget") - F.col("cut_below")).otherwise(F.lit(0.0)).alias("gap0"))
@@ -105,9 +105,9 @@ def _split(tree: DataFrame, names: list[str]) -> DataFrame:
     while rounds < ROUNDS and not limits.where(F.col(f"gap{rounds}") > GAP * F.col("budget")).isEmpty():
         gap = F.col(f"gap{rounds}")
         start = F.col(f"end{rounds - 1}") if rounds else F.lit(0.0)
-        rest = (tree.join(F.broadcast(limits), "node").where(~before & (F.col("size") <= gap) & (F.col("tie") >= start))
+        rest = (tree.join(F.broadcast(limits) if few else limits, "node").where(~before & (F.col("size") <= gap) & (F.col("tie") >= start))
                 .select("node", "tie", "size"))
-        found = cuts(rest, limits.select("node", gap.alias("budget")), "node", F.col("tie"), F.col("size"), levels=3, label="kd_fill")
+        found = cuts(rest, limits.select("node", gap.alias("budget")), "node", F.col("tie"), F.col("size"), levels=2, label="kd_fill", few=few)
         last = limits
         all_ = rest.groupBy("node").agg(F.sum("size").alias("all"))
         limits = stored(limits.join(found.select("node", "cut_lo", "cut_below").withColumnsRenamed(
@@ -120,7 +120,7 @@ def _split(tree: DataFrame, names: list[str]) -> DataFrame:
     for k in range(rounds):
         taken = (F.col("size") <= F.col(f"gap{k}")) & (F.col("tie") < F.col(f"end{k}"))
         left = left | (taken & (F.col("tie") >= F.col(f"end{k - 1}")) if k else taken)
-    moved = tree.join(F.broadcast(limits), "node", "left")  # at most as many nodes as shards
+    moved = tree.join(F.broadcast(limits) if few else limits, "node", "left")
     left = F.coalesce(left, F.lit(True))
     out = stored(moved.select(
         "row", "size", "tie", *names,

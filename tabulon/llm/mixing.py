@@ -100,7 +100,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             small = stored(small.join(groups.select("source", "budget", f"hi{k - 1}"), "source")
                            .where(F.col("position") >= F.col(f"hi{k - 1}")).where("size <= budget")
                            .drop("budget", f"hi{k - 1}"), "mix_left")
-        found = cuts(small, groups, "source", F.col("position"), F.col("size"), levels=3, label="mix_cuts").join(
+        found = cuts(small, groups, "source", F.col("position"), F.col("size"), levels=3, label="mix_cuts", few=True).join(
             small.groupBy("source").agg(F.sum("size").alias("all")), "source", "left")
         below = F.when(F.col("cut_lo") < 1, F.col("cut_below")).otherwise(F.coalesce("all", F.lit(0)))
         left = F.col("budget") - below
