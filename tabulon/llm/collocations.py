@@ -131,21 +131,31 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[slot >> np.uint64(3)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal tuples together, with their number."""
-    order = np.argsort(phrase_hash(columns))
+def _counted(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Equal tuples together, in the order of their hashes, with the sums of ``n``; also the
+    hashes."""
+    h = phrase_hash(columns)
+    order = np.argsort(h)
     columns = [c[order] for c in columns]
     new = np.ones(len(order), bool)
     if len(order) > 1:
         new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
     first = np.flatnonzero(new)
-    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
+    sums = np.add.reduceat(n[order], first) if len(first) else n
+    return [c[first] for c in columns], sums, h[order][first]
 
 
-def count_phrases(texts: DataFrame, m: int, known, seed: int) -> DataFrame:
-    """From (lang, text): c1..cm and f of the phrases of ``m`` words, within pieces, whose
-    first and last m - 1 words are in the bitmap ``known`` (a broadcast)."""
+def count_phrases(texts: DataFrame, m: int, known, seed: int, least: int, buckets: int) -> DataFrame:
+    """From (lang, text): c1..cm and f of the phrases of ``m`` words, within pieces, that
+    occur ``least`` times or more, of those whose first and last m - 1 words are in the
+    bitmap ``known`` (a broadcast).
+
+    Tasks hand on sorted runs, a row of packed numbers for each of ``buckets`` ranges of
+    hashes (a power of two); the runs of a range are merged together. Of a frequent
+    phrase a run has one entry, however often it occurs.
+    """
     names = _names(m)
+    shift = np.uint64(65 - buckets.bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = known.value
@@ -153,11 +163,14 @@ def count_phrases(texts: DataFrame, m: int, known, seed: int) -> DataFrame:
         waiting = 0
 
         def hand_on():
-            columns, n = _counted([np.concatenate([k[i] for k in kept]) for i in range(m)])
-            for at in range(0, len(n), 1 << 16):
-                cut = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(c[cut].view(np.int64)) for c in columns]
-                                                 + [pa.array(n[cut].astype(np.int64))], names=[*names, "n"])
+            columns = [np.concatenate([k[i] for k in kept]) for i in range(m)]
+            columns, n, h = _counted(columns, np.ones(len(columns[0]), np.uint64))
+            bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
+            edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            runs = [np.stack([c[i:j] for c in [*columns, n]]).tobytes() for i, j in zip(edge[:-1], edge[1:])]
+            for at in range(0, len(runs), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[edge[:-1]][at:at + 64]), pa.array(runs[at:at + 64], pa.binary())],
+                                                 names=["bucket", "run"])
 
         for batch in batches:
             for part in byte_slices(batch, 1, SLICE):
@@ -175,8 +188,15 @@ def count_phrases(texts: DataFrame, m: int, known, seed: int) -> DataFrame:
         if waiting:
             yield from hand_on()
 
-    fields = ", ".join(f"{c} long" for c in [*names, "n"])
-    return texts.mapInArrow(run, fields).groupBy(*names).agg(F.sum("n").alias("f"))
+    def merged(group: pa.Table) -> pa.Table:
+        runs = [np.frombuffer(r.as_buffer(), np.uint64).reshape(m + 1, -1) for r in group["run"]]
+        columns, f, _ = _counted([np.concatenate([r[i] for r in runs]) for i in range(m)],
+                                 np.concatenate([r[m] for r in runs]))
+        enough = f >= least
+        return pa.table({x: pa.array(c[enough].view(np.int64)) for x, c in zip([*names, "f"], [*columns, f])})
+
+    fields = ", ".join(f"{c} long" for c in [*names, "f"])
+    return texts.mapInArrow(run, "bucket long, run binary").groupBy("bucket").applyInArrow(merged, fields)
 
 
 # ------------------------------------------------------------------ sorted streams
@@ -305,12 +325,14 @@ def count_all(texts: DataFrame, least: int, longest: int, seed: int = 0, bits: i
             break
         seed += 1
     totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
+    # ranges that hold about TOGETHER different phrases at most
+    buckets = 1 << ((totals.agg(F.sum("n")).first()[0] or 0) // TOGETHER).bit_length()
     words = stored(every.where(F.col("f") >= least).join(totals, "lang"), "co_frequent")
     orders = [words.select(F.col("t").alias("c1"), "f", "n")]
     last, names = orders[0], ["c1"]
     for m in range(2, longest + 1):
         known = spark.sparkContext.broadcast(bitmap(last, names, bits))
-        last, names = stored(count_phrases(texts, m, known, seed).where(F.col("f") >= least), "co_phrases"), _names(m)
+        last, names = stored(count_phrases(texts, m, known, seed, least, buckets), "co_phrases"), _names(m)
         if last.isEmpty():
             break
         orders.append(last)

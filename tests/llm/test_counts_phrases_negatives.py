@@ -118,8 +118,10 @@ def phrase_rows(seed, n=400):
     return rows + [(r[0], r[1], "en") for r in ODD] + [rows[0]] + [(900 + i, "hot pair " * 300, "hot") for i in range(3)]
 
 
-@pytest.mark.parametrize("seed,least,ranges,bits,top", [(1, 10, 500_000, 26, 2000), (2, 4, 7, 26, 2000), (3, 3, 40, 4, 25)])
-def test_collocations_against_brute_force(spark, seed, least, ranges, bits, top):
+@pytest.mark.parametrize("seed,least,ranges,bits,top,together", [
+    (1, 10, 500_000, 26, 2000, 1 << 20), (2, 4, 7, 26, 2000, 300), (3, 3, 40, 4, 25, 4000)])
+def test_collocations_against_brute_force(spark, monkeypatch, seed, least, ranges, bits, top, together):
+    monkeypatch.setattr(collocations, "TOGETHER", together)
     rows = phrase_rows(seed)
     want = brute_collocations([(r[2], r[1]) for r in rows], least, top=top)
     got = collocations.collocations(frame(spark, rows).repartition(5), least=least, range_rows=ranges, bits=bits, top=top)
