@@ -16,7 +16,7 @@ import corpus_pipeline  # noqa: E402
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.execute(catalog.oracle_sql()[name]).df()
     got = catalog.queries()[name](spark, SF_SMALL).toPandas()[list(want.columns)]
