@@ -44,11 +44,6 @@ def _fits(df: DataFrame, most: int) -> bool:
     return df.limit(most + 1).count() <= most
 
 
-def _near(df: DataFrame, most: int) -> DataFrame:
-    """Broadcast if it is small, or else left to a shuffle."""
-    return F.broadcast(df) if _fits(df, most) else df
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 64,
                 broadcast: int = BROADCAST) -> DataFrame:
     """One row per input row: ``_row`` (the input row), text (what is left of it), n_lines,
@@ -73,7 +68,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the bytes of nominated windows: if the least and the greatest are equal, all are
     bytes_ = cut.select("w.h", F.struct("id", "fp", "w.s", "w.e").alias("at"), F.array_join(
         F.slice(F.split("text", "\n"), F.col("w.s") + 1, F.col("w.e") - F.col("w.s") + 1), "\n").alias("chunk"))
-    same = bytes_.join(_near(often, broadcast), "h", "left_semi")
+    if _fits(often, broadcast):
+        same = bytes_.join(F.broadcast(often), "h", "left_semi")
+    else:  # the nominated windows go to their rows, not the bytes of all windows to the hashes
+        wanted = (windows.join(often, "h", "left_semi").groupBy(F.col("at.id").alias("l_id"), F.col("at.fp").alias("l_fp"))
+                  .agg(F.collect_set(F.struct("at.s", "at.e", "h")).alias("ws")))
+        here = F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp"))
+        same = (rows.select("id", "fp", "text").join(wanted, here)
+                .select("id", "fp", F.split("text", "\n").alias("ls"), F.explode("ws").alias("w"))
+                .select("w.h", F.struct("id", "fp", "w.s", "w.e").alias("at"),
+                        F.array_join(F.slice("ls", F.col("w.s") + 1, F.col("w.e") - F.col("w.s") + 1), "\n").alias("chunk")))
     first = stored(same.groupBy("h").agg(F.min("at").alias("first"), (F.min("chunk") != F.max("chunk")).alias("mixed")),
                    "line_first")
     pairs = windows.join(first.where("not mixed").select("h", "first"), "h").select("at", "first")
@@ -90,8 +94,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = stored(gone, "line_gone")
     discard(windows, often, first)
     small = (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= broadcast
-    joined = rows.join(F.broadcast(gone) if small else gone,
-                       F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
+    # the row has its text, which is not shuffled a second time beside it
+    joined = rows.drop("text").join(F.broadcast(gone) if small else gone,
+                                    F.col("id").eqNullSafe(F.col("l_id")) & (F.col("fp") == F.col("l_fp")), "left")
+    joined = joined.withColumn("text", F.col("_row")[text_col].cast("string"))
     parts = joined.withColumn("ls", F.when(F.col("gone").isNotNull(), F.split("text", "\n"))).withColumn("stay", F.expr(
         "array_except(sequence(0, size(ls) - 1), flatten(transform(gone, r -> sequence(r.s, r.e))))"))
     n_lines = F.coalesce(F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1, F.lit(0))
