@@ -130,6 +130,39 @@ def q_kde_density(spark, sf):
     return P.kde_density(t(spark, sf, "orders"), "o_totalprice", gridsize=200, cut=3.0)
 
 
+@query("kde_binned", oracle="""
+with b as (select l_extendedprice as x from lineitem where l_extendedprice is not null and not isnan(l_extendedprice)),
+     st as (select cast(count(*) as double) as n, stddev_samp(x) * pow(cast(count(*) as double), -0.2) as h,
+                   min(x) as lo, max(x) as hi from b),
+     p as (select n, h, lo, h / 32 as width, lo - 3.0 * h as g_lo, ((hi + 3.0 * h) - (lo - 3.0 * h)) / 199 as step from st),
+     c as (select floor((x - lo) / width) as cell, (x - lo) / width - floor((x - lo) / width) as upper from b, p),
+     w as (select cell, 1 - upper as weight from c union all select cell + 1, upper from c),
+     e as (select cell, sum(weight) as weight from w group by cell),
+     g as (select cast(range as integer) as i from range(200))
+select g.i, round(p.g_lo + g.i * p.step, 4) as x,
+       round(sum(e.weight * exp(-0.5 * pow((p.g_lo + g.i * p.step - (p.lo + e.cell * p.width)) / p.h, 2)))
+             / (p.n * p.h * sqrt(2 * pi())), 12) as density,
+       round(1 / (8 * 32 * 32 * p.h * sqrt(2 * pi())), 12) as max_error
+from g, p, e
+group by g.i, p.g_lo, p.step, p.n, p.h, p.lo, p.width
+""")
+def q_kde_binned(spark, sf):
+    return P.kde_binned(t(spark, sf, "lineitem"), "l_extendedprice", gridsize=200, cut=3.0)
+
+
+@query("kde_binned_error", oracle="select 200 as points, 200 as within, true as cheaper_is_close")
+def q_kde_binned_error(spark, sf):
+    """The binned curve against the exact one, point by point: all lie within the stated bound,
+    and the greatest error is below a thousandth of the greatest density."""
+    orders = t(spark, sf, "orders")
+    exact = P.kde_density(orders, "o_totalprice").select("i", F.col("density").alias("exact"))
+    both = P.kde_binned(orders, "o_totalprice").join(exact, "i")
+    off = F.abs(F.col("density") - F.col("exact"))
+    return both.agg(F.count(F.lit(1)).cast("int").alias("points"),
+                    F.count_if(off <= F.col("max_error") + 2e-12).cast("int").alias("within"),
+                    (F.max(off) < 0.001 * F.max("exact")).alias("cheaper_is_close"))
+
+
 # ------------------------------------------------------------- correlations
 
 ENCODED_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_amount",

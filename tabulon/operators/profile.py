@@ -229,6 +229,50 @@ def kde_density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0)
     )
 
 
+def kde_binned(df: DataFrame, col: str, gridsize: int = 200, cut: float = 3.0, cells_a_bandwidth: int = 32) -> DataFrame:
+    """The curve of ``kde_density`` from a table of counts: (i, x, density, max_error).
+
+    Every value is divided between the two edges of its cell by how near it lies to each
+    (linear binning), with ``cells_a_bandwidth`` = c cells to a bandwidth h; the kernel is then
+    summed over cells in place of rows. A row costs one addition, and the kernel
+    is evaluated for cells x grid points. Kernel values between edges are so interpolated
+    on a line, and as the kernel's second derivative is at most 1 / h^2, no density is off by
+    more than ``max_error`` = 1 / (8 c^2 h sqrt(2 pi)), whatever the data.
+
+    Cells are rows of a table, of which only those with values exist: their number
+    grows with range / h, at most with the 0.7th power of the rows. Infinities, NaN and
+    NULL are left out; fewer than two different values give no rows.
+    """
+    spark = df.sparkSession
+    base = _finite(df, col)
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                  F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
+    if not st["n"] or not st["sd"]:
+        return spark.createDataFrame([], "i int, x double, density double, max_error double")
+    n, lo = float(st["n"]), st["lo"]
+    h = st["sd"] * n ** -0.2
+    width = h / cells_a_bandwidth
+    g_lo = lo - cut * h
+    step = ((st["hi"] + cut * h) - g_lo) / (gridsize - 1)
+
+    place = (F.col("x") - F.lit(lo)) / F.lit(width)
+    cells = (base.select(F.floor(place).alias("cell"), place.alias("p"))
+             .groupBy("cell").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("p") - F.col("cell")).alias("upper")))
+    edges = cells.selectExpr(f"{lo!r}D + cell * {width!r}D as e", f"{lo!r}D + (cell + 1) * {width!r}D as f",
+                             "c - upper as lower", "upper")
+    points = [g_lo + i * step for i in range(gridsize)]
+    sums = edges.selectExpr("array(" + ", ".join(
+        f"sum(lower * exp(-0.5D * pow(({p!r}D - e) / {h!r}D, 2)) + upper * exp(-0.5D * pow(({p!r}D - f) / {h!r}D, 2)))"
+        for p in points) + ") as s")
+    norm = h * math.sqrt(2 * math.pi)
+    return sums.select(F.posexplode("s").alias("i", "s")).select(
+        F.col("i").cast("int").alias("i"),
+        F.round(F.lit(g_lo) + F.col("i") * F.lit(step), 4).alias("x"),
+        F.round(F.col("s") / F.lit(n * norm), 12).alias("density"),
+        F.round(F.lit(1 / (8 * cells_a_bandwidth ** 2 * norm)), 12).alias("max_error"),
+    )
+
+
 # ------------------------------------------------------------------- correlations
 
 def _ident(name: str) -> str:

@@ -69,6 +69,26 @@ def test_kde_matches_brute_force(numbers):
     assert float(np.trapezoid([r.density for r in out], grid)) == pytest.approx(1.0, abs=0.01)
 
 
+@pytest.mark.parametrize("c", [1, 4, 32])
+def test_binned_kde_keeps_its_bound(spark, c):
+    """Against the exact curve, with values on cell edges, repeated ones and far outliers."""
+    rng = np.random.default_rng(c)
+    vals = np.concatenate([rng.normal(size=400), np.repeat([0.0, 3.0, -7.5], 40), [60.0, -80.0]])
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    exact = {r.i: r for r in P.kde_density(df, "x", gridsize=80).collect()}
+    got = P.kde_binned(df, "x", gridsize=80, cells_a_bandwidth=c).collect()
+    assert [r.i for r in got] == list(range(80)) and all(r.x == exact[r.i].x for r in got)
+    off = [abs(r.density - exact[r.i].density) for r in got]
+    assert max(off) <= got[0].max_error + 2e-12 and (c > 1 or max(off) > 1e-6)
+    h = vals.std(ddof=1) * len(vals) ** -0.2
+    assert got[0].max_error == pytest.approx(1 / (8 * c * c * h * math.sqrt(2 * math.pi)), abs=1e-12)
+
+
+def test_binned_kde_of_one_value_and_of_nothing(spark):
+    same = spark.createDataFrame([(2.5,)] * 5, "x double")
+    assert P.kde_binned(same, "x").count() == P.kde_binned(same.limit(0), "x").count() == 0
+
+
 def test_correlations_match_numpy(spark):
     rng = np.random.default_rng(1)
     a = rng.normal(size=300)
