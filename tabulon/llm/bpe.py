@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import table
+from tabulon.llm.common import Recent, table
 
 #: Pieces up to this many bytes are leaves of the tree.
 LEAF_BYTES = 6
-#: Distinct pieces remembered by a task before it starts afresh.
-CACHED_PIECES = 300_000
+#: Distinct pieces, and pairs of tokens, of a generation of what a task remembers (see ``Recent``).
+CACHED_PIECES = 150_000
 #: Texts encoded before a task hands their rows on.
 ROWS_AT_ONCE = 200
 
@@ -45,9 +45,9 @@ class BytePairs:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.leaves: dict[bytes, list[int]] = {}
-        self.fit: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.leaves = Recent(CACHED_PIECES)  # bytes -> ids
+        self.fit = Recent(CACHED_PIECES)  # (id, id) -> bool
+        self.cache = Recent(CACHED_PIECES)  # piece -> (ids, ids as decimals)
 
     def leaf(self, piece: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost of equals, until no pair is
@@ -76,22 +76,18 @@ class BytePairs:
 
     def short(self, data: bytes) -> list[int]:
         """``leaf``, remembered: parts of words come again far more often than words."""
-        got = self.leaves.get(data)
+        got = self.leaves[data]
         if got is None:
             got = self.leaf(data)
             if len(data) <= 2 * LEAF_BYTES:
-                if len(self.leaves) >= CACHED_PIECES:
-                    self.leaves.clear()
-                self.leaves[data] = got
+                self.leaves.put(data, got)
         return got
 
     def fits(self, a: int, b: int) -> bool:
         """Whether tokens a, b next to each other are what their bytes encode to."""
-        ok = self.fit.get((a, b))
+        ok = self.fit[a, b]
         if ok is None:
-            if len(self.fit) >= CACHED_PIECES:
-                self.fit.clear()
-            ok = self.fit[a, b] = self.leaf(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            ok = self.fit.put((a, b), self.leaf(self.bytes_of[a] + self.bytes_of[b]) == [a, b])
         return ok
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
@@ -123,12 +119,10 @@ class BytePairs:
         return self.join(self.piece(data[:mid]), self.piece(data[mid:]))
 
     def known(self, piece: str) -> tuple[tuple[int, ...], str]:
-        got = self.cache.get(piece)
+        got = self.cache[piece]
         if got is None:
-            if len(self.cache) >= CACHED_PIECES:
-                self.cache.clear()
             ids = tuple(self.piece(piece.encode("utf-8", "surrogatepass")))
-            got = self.cache[piece] = ids, ",".join(map(str, ids))
+            got = self.cache.put(piece, (ids, ",".join(map(str, ids))))
         return got
 
     def encode(self, text: str) -> tuple[list[int], str]:

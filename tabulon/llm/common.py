@@ -61,3 +61,26 @@ def packed(df: DataFrame, **inner: Column) -> DataFrame:
     own names never clash with the input's. ``df.select("_row.*")`` unpacks it."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
                      *[c.alias(k) for k, c in inner.items()])
+
+
+class Recent(dict):
+    """What a task remembers, at most twice ``most`` entries: when it is full it becomes the
+    older generation, of which only what is asked for again comes back."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        """The older generation's value, remembered anew; None if there is none."""
+        value = self.older.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value):
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tabulon.llm.common import table, unit_hash
+from tabulon.llm.common import Recent, table, unit_hash
 
 #: Hash space of the features.
 DIMENSIONS = 1 << 20
@@ -29,7 +29,7 @@ POSITIVES, UNLABELLED = 2_500, 7_500
 #: Lengths of word beginnings that are features beside the word itself.
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.7
-CACHED_WORDS = 200_000
+CACHED_WORDS = 50_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -37,19 +37,16 @@ class Features:
     """Texts -> sorted distinct feature numbers."""
 
     def __init__(self):
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache = Recent(CACHED_WORDS)  # word -> feature numbers
 
     def _of(self, word: str) -> tuple[int, ...]:
-        if len(self.cache) >= CACHED_WORDS:
-            self.cache.clear()
         parts = {"=" + word} | {word[:n] for n in BEGINNINGS if len(word) > n}
-        got = self.cache[word] = tuple(zlib.crc32(p.encode()) % DIMENSIONS for p in parts)
-        return got
+        return self.cache.put(word, tuple(zlib.crc32(p.encode()) % DIMENSIONS for p in parts))
 
     def __call__(self, text: str | None) -> np.ndarray:
         cache, found = self.cache, set()
         for word in set(_WORD.findall((text or "").lower())):
-            found.update(cache.get(word) or self._of(word))
+            found.update(cache[word] or self._of(word))
         return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
@@ -154,8 +151,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
     column named like the score is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))
-    schema = StructType([*src.schema.fields[:-1], StructField(score_col, DoubleType())])
+    src = docs.select(*[F.col(f"`{c}`") for c in keep])
+    if text_col in keep and isinstance(src.schema[text_col].dataType, StringType):
+        at_text = keep.index(text_col)  # texts that are kept travel once
+    else:
+        src, at_text = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text")), len(keep)
+    schema = StructType([*src.schema.fields[:len(keep)], StructField(score_col, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
@@ -164,7 +165,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 z = np.array([weights[features(t)].sum(dtype=np.float64) + bias
-                              for t in part.column(len(keep)).to_pylist()])
+                              for t in part.column(at_text).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))],
                     names=[*keep, score_col])
