@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from tabulon.llm.common import Recent, table
+from tabulon.llm.common import Recent, small_batches, table
 
 #: Pieces up to this many bytes are leaves of the tree.
 LEAF_BYTES = 6
@@ -164,6 +164,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int] | str, pattern: str, text_co
     so repeated rows give repeated results and an empty table none.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     vocabulary = _ranks_of(spark, ranks, max_tokens)
     keep = [c for c in keep if c not in outputs]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))

@@ -38,6 +38,19 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows of an Arrow batch of whole texts, where the session does not say otherwise.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of BATCH_ROWS rows from now on. Spark's default
+    of 10,000 holds tens of megabytes of text several times over in every running task. A
+    session that sets ``spark.sql.execution.arrow.maxRecordsPerBatch`` itself keeps its value."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is. On all-ASCII texts the (much cheaper)
     full lower() changes the same letters only."""

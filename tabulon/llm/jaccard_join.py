@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import discard, stored, table
+from tabulon.llm.common import discard, small_batches, stored, table
 from tabulon.llm.components import components
 from tabulon.llm.shingles import byte_slices, shingle_sets
 
@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     connect what each of them links with. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     seen = stored(set_digests(docs, words), "jj_sets")
     known = spark.sparkContext.broadcast(frequent(seen, most_frequent))

@@ -4,8 +4,8 @@ A linear classifier over hashed word and word-beginning features is trained from
 confirmed toxic texts and from unlabelled ones. The unlabelled texts stand for the
 negative class after the class prior's share of positive risk is taken off; where that
 difference falls below zero the step goes against it, so the classifier cannot win by
-calling toxic texts in the unlabelled set negative. Features are made in the tasks; the
-driver trains on a bounded sample with numpy; scoring runs over all texts in the tasks.
+calling toxic texts in the unlabelled set negative. Features are made in the tasks; one
+task trains on a bounded sample with numpy; scoring runs over all texts in the tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tabulon.llm.common import Recent, table, unit_hash
+from tabulon.llm.common import Recent, small_batches, table, unit_hash
 
 #: Hash space of the features.
 DIMENSIONS = 1 << 20
@@ -58,6 +58,14 @@ def _flat(rows: Sequence[np.ndarray], column: np.ndarray) -> tuple[np.ndarray, n
     return (np.concatenate(kept) if kept else np.zeros(0, np.int64)), np.repeat(np.arange(len(kept)), sizes), sizes
 
 
+def _texts_with(rows: Sequence[np.ndarray]) -> np.ndarray:
+    """For every feature the number of rows that have it."""
+    n = np.zeros(DIMENSIONS, np.int32)
+    for at in range(0, len(rows), 512):
+        n += np.bincount(np.concatenate(rows[at:at + 512]), minlength=DIMENSIONS).astype(np.int32)
+    return n
+
+
 def train(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], prior: float, rounds: int = 200,
           rate: float = 0.05, shrink: float = 2e-4, least: int = 3, sure: float = 5.0) -> tuple[np.ndarray, float]:
     """Weights over the hash space and a bias, by full-batch Adam on the non-negative risk
@@ -71,8 +79,7 @@ def train(positive: Sequence[np.ndarray], unlabelled: Sequence[np.ndarray], prio
     if not len(positive) or not len(unlabelled):
         return weights, bias
     n_p, n_u = len(positive), len(unlabelled)
-    in_p = np.bincount(np.concatenate(positive), minlength=DIMENSIONS)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=DIMENSIONS)
+    in_p, in_u = _texts_with(positive), _texts_with(unlabelled)
     usual = (in_p + in_u + 1) / (n_p + n_u + 2)
     used = (in_p >= least) & (np.abs(in_p / n_p - in_u / n_u) > sure * np.sqrt(usual * (1 - usual) / n_p))
     column = np.full(DIMENSIONS, -1, np.int64)
@@ -112,8 +119,9 @@ def in_held_out(id_col: str) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         seed: int = 3) -> tuple[np.ndarray, float]:
     """Train on at most POSITIVES confirmed toxic and UNLABELLED other texts, those of the
-    least hash of their id, from the rows that are not held out. The class prior is the
-    share of toxic ones among all labels outside the held-out rows."""
+    least hash of their id, from the rows that are not held out, in one task; only the
+    weights that are not zero come back. The class prior is the share of toxic ones among
+    all labels outside the held-out rows."""
     known = (labels.where(~in_held_out(id_col)).where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")))
     share = known.agg(F.avg(F.col("y").cast("double"))).first()[0]
@@ -124,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = (pos.select("id", F.lit(1).alias("p"), F.lit(0).alias("u"))
               .union(unl.select("id", F.lit(0).alias("p"), F.lit(1).alias("u")))
               .groupBy("id").agg(F.max("p").alias("p"), F.max("u").alias("u")))
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
         .join(F.broadcast(chosen), "id").select("id", "p", "u", "text")
 
@@ -136,12 +145,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(found, pa.binary())],
                                                  names=["id", "p", "u", "f"])
 
-    # an id that comes more than once gives its first text only
+    prior = share if share is not None else 0.0
+
+    def trained(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")  # sums of doubles depend on the order
+        rows = [np.frombuffer(f.as_buffer(), np.int32) for f in group["f"]]
+        pos = [r for r, p in zip(rows, group["p"].to_pylist()) if p]
+        unl = [r for r, u in zip(rows, group["u"].to_pylist()) if u]
+        weights, bias = train(pos, unl, prior)
+        at = np.flatnonzero(weights).astype(np.int32)
+        return pa.table({"at": pa.array([at.tobytes()], pa.binary()),
+                         "w": pa.array([weights[at].tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
+
+    # an id that comes more than once gives its first text only; the group is the bounded sample
     got = texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, p int, u int, f binary")
-    rows = got.groupBy("id", "p", "u").agg(F.min("f").alias("f")).orderBy("id").collect()
-    pos = [np.frombuffer(bytes(r["f"]), np.int32) for r in rows if r["p"]]
-    unl = [np.frombuffer(bytes(r["f"]), np.int32) for r in rows if r["u"]]
-    return train(pos, unl, share if share is not None else 0.0)
+    model = (got.groupBy("id", "p", "u").agg(F.min("f").alias("f")).withColumn("all", F.lit(0))
+             .groupBy("all").applyInArrow(trained, "at binary, w binary, bias double").first())
+    if model is None:
+        return train([], [], prior)
+    weights = np.zeros(DIMENSIONS, np.float32)
+    weights[np.frombuffer(bytes(model["at"]), np.int32)] = np.frombuffer(bytes(model["w"]), np.float32)
+    return weights, model["bias"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text",
@@ -149,6 +173,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
     """``docs`` (its ``keep`` columns, all by default) with the toxicity score, 0 to 1, of
     every whole text; NULL counts as empty, and an empty text gets the bias's score. A
     column named like the score is replaced."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in (docs.columns if keep is None else keep) if c != score_col]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])
