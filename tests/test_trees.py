@@ -12,6 +12,7 @@ from conftest import SF_SMALL
 from tabulon.catalog import modeling as C
 from tabulon.operators import models as MD
 from tabulon.operators import trees as T
+from tabulon.operators import tuning
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +138,13 @@ def test_kappa_and_mcc_as_evaluators(spark):
     assert ConfusionEvaluator("kappa").evaluate(df) == 0.5
     assert ConfusionEvaluator("mcc").copy().evaluate(df) == pytest.approx(0.57735, abs=1e-5)
     assert ConfusionEvaluator("mcc").evaluate(df.withColumn("prediction", F.lit(0))) == 0.0
+
+
+def test_folds_without_a_score_are_left_out(spark):
+    trial = tuning.Trial({}, {"score": [0.5, float("nan"), 1.0]})
+    assert trial.mean("score") == 0.75 and trial.std("score") == 0.25
+    assert np.isnan(tuning.Trial({}, {"score": [float("nan")]}).mean("score"))
+    trials = [tuning.Trial({"a": i}, {"score": s}) for i, s in enumerate([[float("nan")], [0.5, float("nan")], [0.75]])]
+    assert tuning.best_params(trials) == {"a": 2} and tuning.best_params(trials, False) == {"a": 1}
+    got = [(r["params"], r["mean_test_score"]) for r in tuning.results_table(spark, trials).collect()]
+    assert got == [('{"a": 2}', 0.75), ('{"a": 1}', 0.5), ('{"a": 0}', None)]
