@@ -143,6 +143,30 @@ def test_skew_join_spreads_a_key_hot_on_both_sides(spark):
         skew_join(left, right, "k", "cross")
 
 
+def test_skew_join_repeats_rows_by_a_bounded_factor(spark):
+    """With a grid as fine as its parts, rows are repeated with the square of the input."""
+    from tabulon.operators.joins import MAX_CELLS, grid_parts
+    sizes = [(0, 900), (900, 0), (300, 900), (50_000, 1_500), (3_000_000, 90_000), (90_000, 3_000_000), (1, 40_000_000), (10**9, 10**9)]
+    df = spark.createDataFrame(sizes, "n long, m long").select("n", "m", *grid_parts(F.col("n"), F.col("m"), 400))
+    for n, m, i, j in map(tuple, df.collect()):
+        assert n * j + m * i <= 2 * MAX_CELLS ** 0.5 * (n + m)
+        assert i <= -(-n // 400) and j <= -(-m // 400) and (i == 0) == (n == 0) and (j == 0) == (m == 0)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer", "leftsemi", "leftanti"])
+def test_skew_join_with_empty_cells(spark, how, monkeypatch):
+    """More parts than a side has rows in some: no row is lost or added in a cell without partners."""
+    import collections
+
+    from tabulon.operators import joins as J
+    monkeypatch.setattr(J, "MAX_CELLS", 6)
+    left = spark.range(90).selectExpr("if(id % 4 = 0, null, if(id % 3 = 0, 5, 7)) as k", "id % 2 as a")
+    right = spark.range(40).selectExpr("if(id % 5 = 0, null, if(id % 3 = 0, 9, 7)) as k", "id % 2 as b")
+    plain = left.join(right, "k", how)
+    got = J.skew_join(left.repartition(7), right.repartition(5), "k", how, rows_per_task=2)
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, plain.collect()))
+
+
 def test_dedup_of_rows_with_maps(spark):
     from tabulon.operators.dedup import dedup_by_key
     df = spark.createDataFrame([(1, 5, {"b": 2, "a": 1}), (1, 5, {"a": 0}), (2, 1, None)], "k int, o int, m map<string,int>")
