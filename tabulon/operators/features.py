@@ -63,6 +63,9 @@ def dummies(df: DataFrame, cols: Sequence[str], drop_first: bool = False,
 # ids or free text should be dropped first, see profile.drop_uninformative).
 MAX_INDEX_LEVELS = 1_000_000
 
+# Most rows (so, values) of the range of a label table that one task sorts, about.
+LABELS_A_RANGE = 500_000
+
 
 def check_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_INDEX_LEVELS) -> dict[str, int]:
     """Approximate distinct count of each column (HyperLogLog++, one pass); raises if
@@ -87,19 +90,23 @@ def label_table(df: DataFrame, col: str) -> DataFrame:
     """(value, n, label) of a column's values as text: labels 0, 1, 2 ... (double) by descending
     frequency, ties by value, as ``StringIndexer`` numbers them, for any number of values.
 
-    The counts are range-partitioned in that order and written; a label is the place within
-    its range plus the size of the ranges before it. No list of labels reaches the driver.
-    NULL has no label.
+    The counts are range-partitioned and sorted in that order, a range for so many rows, and
+    written; a label is the place within its range plus the size of the ranges before it. No
+    list of labels reaches the driver. NULL has no label.
     """
-    counts = (df.select(F.col(f"`{col}`").cast("string").alias("value")).where("value is not null")
-              .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    values = df.select(F.col(f"`{col}`").cast("string").alias("value")).where("value is not null")
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     order = [F.desc("n"), F.asc("value")]
-    ranges = cut_lineage(counts.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-values.count() // LABELS_A_RANGE))
+    # the id has the partition above its 33 low bits and the place in the partition in them
+    ranges = cut_lineage(counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                         .withColumn("at", F.monotonically_increasing_id())
+                         .select("value", "n", F.shiftright("at", 33).alias("range"),
+                                 F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place")))
     sizes = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("size"))  # a row for each partition
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
-    return (ranges.withColumn("place", place).join(F.broadcast(starts), "range")
+    return (ranges.join(F.broadcast(starts), "range")
             .select("value", "n", (F.col("start") + F.col("place")).cast("double").alias("label")))
 
 

@@ -101,3 +101,18 @@ def test_a_million_labels(spark):
     top = table.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("d"), F.max("label").alias("hi")).first()
     assert (top["n"], top["d"], top["hi"]) == (1_050_000, 1_050_000, 1_049_999.0)
     assert table.where("label in (0, 1)").orderBy("label").select("value").collect() == [("user-77",), ("user-0",)]
+
+
+def test_label_table_over_ranges_of_few_rows(spark, monkeypatch):
+    """Ranges and join tasks follow the number of rows; labels are the indexer's all the same."""
+    from tabulon.operators import joins as J
+
+    monkeypatch.setattr(FE, "LABELS_A_RANGE", 20)
+    monkeypatch.setattr(J, "ROWS_A_JOIN_TASK", 40)
+    df = spark.range(300).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("v"), F.col("id") % 120)).alias("c"))
+    table = FE.label_table(df, "c")
+    got = FE.index_by_table(df, "c", table, "i", "skip")
+    assert got.rdd.getNumPartitions() == -(-(300 + table.count()) // 40)
+    want = StringIndexer(inputCol="c", outputCol="i", handleInvalid="skip").fit(df).transform(df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(r["label"] for r in table.collect()) == [float(i) for i in range(table.count())]
