@@ -209,12 +209,9 @@ def q_feature_recipe_wide(spark, sf):
     out = FE.feature_recipe(WIDE_CAT, WIDE_NUM).fit(df).transform(df)
     names = FE.feature_names(out, scaled=WIDE_NUM)
     named = [n for n in names if n.endswith("_normalized")]
-    k = len(names) - len(WIDE_NUM)
-    arr = vector_to_array(F.col("features"))
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    onehot_sum, scaled_sum = FE.block_sums(F.col("features"), len(names) - len(WIDE_NUM))
     return out.select(*LINE_KEY, F.lit(len(names)).cast("long").alias("n_slots"),
-                      total(F.slice(arr, 1, k)).alias("onehot_sum"),
-                      F.round(total(F.slice(arr, k + 1, len(WIDE_NUM))), 6).alias("scaled_sum"),
+                      onehot_sum.alias("onehot_sum"), F.round(scaled_sum, 6).alias("scaled_sum"),
                       F.lit(sum(f"{c}_normalized" == n for c, n in zip(WIDE_NUM, named))).alias("n_normalized"))
 
 

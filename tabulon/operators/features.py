@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.columns import split_by_type
@@ -201,3 +201,15 @@ def feature_names(df: DataFrame, vector_col: str = "features", scaled: Sequence[
     attrs = meta.get("attrs", {})
     slots = [(a["idx"], a["name"]) for group in attrs.values() for a in group]
     return [own.get(name, name) for _, name in sorted(slots)]
+
+
+def block_sums(vector: Column, first: int) -> tuple[Column, Column]:
+    """The sums of a vector's first ``first`` slots and of the rest, each in slot order. Only the
+    slots that the vector stores are read: a one-hot block of many slots stores one a column."""
+    stored = F.unwrap_udt(vector)  # a sparse vector (type 0) has the slots of its values in indices
+    below = F.when(stored["type"] == 0, F.size(F.filter(stored["indices"], lambda i: i < first))).otherwise(first)
+
+    def total(start, length):
+        return F.aggregate(F.slice(stored["values"], start, length), F.lit(0.0), lambda x, y: x + y)
+
+    return total(F.lit(1), below), total(below + 1, F.size(stored["values"]))

@@ -116,3 +116,13 @@ def test_label_table_over_ranges_of_few_rows(spark, monkeypatch):
     want = StringIndexer(inputCol="c", outputCol="i", handleInvalid="skip").fit(df).transform(df)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert sorted(r["label"] for r in table.collect()) == [float(i) for i in range(table.count())]
+
+
+def test_block_sums_of_sparse_and_dense_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(1, Vectors.sparse(6, [1, 3, 5], [1.0, 0.5, 0.25])), (2, Vectors.dense([1, 0, 2, 3, 0, 4])),
+            (3, Vectors.sparse(6, [], [])), (4, Vectors.sparse(6, [4], [0.5])), (5, None)]
+    a, b = FE.block_sums(F.col("v"), 3)
+    got = spark.createDataFrame(rows, ["id", "v"]).select("id", a, b).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, 1.0, 0.75), (2, 3.0, 7.0), (3, 0.0, 0.0), (4, 0.0, 0.5), (5, None, None)]
