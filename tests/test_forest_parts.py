@@ -73,3 +73,18 @@ def test_fits_leave_nothing_kept(spark, points):
     TU.cross_validate(MD.forest_classifier(numTrees=2), {}, BinaryClassificationEvaluator(labelCol="label"), points, 3)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
     assert model.stages[-1].getNumTrees == 2
+
+
+def test_grid_keeps_node_ids(spark, points, monkeypatch):
+    """Kept node ids give the same trees; bounds that cut nothing are scored once."""
+    estimator = MD.forest_classifier(numTrees=4)
+    fit, seen, read, reads = type(estimator).fit, [], T.mask_reader, []
+    monkeypatch.setattr(type(estimator), "fit", lambda self, df, params=None: seen.append(
+        {p.name: v for p, v in params.items()}.get("cacheNodeIds")) or fit(self, df, params))
+    monkeypatch.setattr(T, "mask_reader", lambda paths: reads.append(paths) or read(paths))
+    trials = TU.forest_grid(estimator, points, 3, [2, 4], min_leaf=[9], min_split=[2, 3, 18])
+    assert seen == [True] * 3 and len(reads) == 3
+    assert len(trials) == 6 and all(len(t.scores["score"]) == 3 for t in trials)
+    own = {k: T.node_table(spark, fit(estimator, points, {estimator.cacheNodeIds: k})).orderBy("treeID", "id").collect()
+           for k in (True, False)}
+    assert own[True] == own[False]
