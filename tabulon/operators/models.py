@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.ml.feature import StringIndexer
 
 from tabulon.operators.features import MAX_INDEX_LEVELS, check_levels
+from tabulon.operators.trees import joined_forest
 from tabulon.session import kept
 
 # The reference's MLlib forest settings.
@@ -78,6 +79,26 @@ def fit_with_recipe(recipe: Pipeline, estimator: Estimator, train: DataFrame,
     return fit_prepared(stages, estimator, train)
 
 
+#: Most trees that are fitted together: MLlib keeps a number for every row and tree.
+TREES_A_FIT = 150
+
+
+def fit_forest(estimator: RandomForestRegressor, train: DataFrame, trees_a_fit: int = TREES_A_FIT):
+    """The forest, a part of its trees at a time where they are many, each part drawn by a seed
+    of its own: rows kept with a number for each of 754 trees do not fit into memory. Node
+    ids are kept too, which gives the same trees without a walk down each at every level."""
+    total = estimator.getOrDefault("numTrees")
+    parts = -(-total // trees_a_fit)
+    if parts == 1:
+        return estimator.fit(train)
+    ends = [total * i // parts for i in range(parts + 1)]
+    seed = estimator.getOrDefault("seed")
+    # MLlib adds the number of the partition to the seed
+    own = [{"numTrees": ends[i + 1] - ends[i], "seed": seed + 1_000_003 * i, "cacheNodeIds": True} for i in range(parts)]
+    forests = [estimator.fit(train, {estimator.getParam(p): v for p, v in values.items()}) for values in own]
+    return joined_forest(forests, train.sparkSession)
+
+
 def fit_prepared(stages: Sequence, estimator: Estimator, train: DataFrame) -> PipelineModel:
     """``Pipeline(stages + [estimator]).fit(train)``; the rows that the stages prepared are kept
     while the estimator reads them, which a forest does four times."""
@@ -85,7 +106,8 @@ def fit_prepared(stages: Sequence, estimator: Estimator, train: DataFrame) -> Pi
     read = [estimator.getOrDefault(p) for p in ("labelCol", "featuresCol", "weightCol")
             if estimator.hasParam(p) and estimator.isDefined(p)]
     with kept(fitted.transform(train).select(*read)) as prepared:
-        return PipelineModel([*fitted.stages, estimator.fit(prepared)])
+        fit = fit_forest if isinstance(estimator, RandomForestRegressor) else type(estimator).fit
+        return PipelineModel([*fitted.stages, fit(estimator, prepared)])
 
 
 def extend_fitted(fitted: PipelineModel, estimator: Estimator, train: DataFrame) -> PipelineModel:

@@ -75,6 +75,34 @@ def test_fits_leave_nothing_kept(spark, points):
     assert model.stages[-1].getNumTrees == 2
 
 
+def test_a_forest_fitted_in_parts(spark, points):
+    estimator = MD.forest_regressor(numTrees=5, maxDepth=3, minInstancesPerNode=2)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    whole = MD.fit_forest(estimator, points, trees_a_fit=2)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert whole.getNumTrees == 5 and len(whole.trees) == 5
+    nodes = T.node_table(spark, whole).collect()
+    trees = [tuple(tuple(r)[1:] for r in sorted(nodes, key=lambda r: r["id"]) if r["treeID"] == k) for k in range(5)]
+    assert len(set(map(str, trees))) == 5  # each part draws its own rows
+    for r in whole.transform(points).limit(60).collect():
+        assert r["prediction"] == pytest.approx(np.mean(by_hand(nodes, r["features"], 3)))
+
+
+def test_many_trees_are_fitted_in_parts(spark, points, monkeypatch):
+    sizes = []
+    estimator = MD.forest_regressor(numTrees=5, maxDepth=1)
+    fit = type(estimator).fit
+
+    def counted(self, df, params=None):
+        sizes.append({p.name: v for p, v in (params or {}).items()}.get("numTrees"))
+        return fit(self, df, params)
+
+    monkeypatch.setattr(type(estimator), "fit", counted)
+    monkeypatch.setattr(MD.fit_forest, "__defaults__", (2,))
+    assert MD.fit_prepared([], estimator, points).stages[-1].getNumTrees == 5
+    assert sizes == [1, 2, 2]
+
+
 def test_grid_keeps_node_ids(spark, points, monkeypatch):
     """Kept node ids give the same trees; bounds that cut nothing are scored once."""
     estimator = MD.forest_classifier(numTrees=4)
