@@ -158,7 +158,7 @@ def q_rf_classify(spark, sf):
     train, test = claims_split(spark, sf)
     model = classification_model(train, numTrees=MD.REFERENCE_CLASSIFIER["numTrees"])
     pred = model.transform(with_label(test)).withColumn("p1", MD.positive_probability())
-    pred = cut_lineage(pred.select("label", "p1", "prediction", "rawPrediction"))  # scored once
+    pred = written(pred.select("label", "p1", "prediction", "rawPrediction"))  # scored once
     auc = M.auc(pred, "label", "p1").first()["auc"]
     mllib = _auc_evaluator().evaluate(pred)
     return pred.agg(
